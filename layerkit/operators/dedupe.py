@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,23 +13,30 @@ def latest_per_key(df: DataFrame, keys: Iterable[str], order: Iterable[str]) ->
     """The newest row of each key; null keys form one group.
 
     Rows that tie on the order columns are settled by their remaining columns,
-    so the answer does not depend on how the rows were split or merged. It is a
-    plain aggregate: each task first reduces a key to one row, so a hot key
-    costs one row per task in the shuffle.
+    so the answer does not depend on how the rows were split or merged. Spark
+    cuts each task to one row per key before the shuffle (WindowGroupLimit), so
+    a hot key costs one row per task.
     """
     keys, order = list(keys), list(order)
-    picked = df.groupBy(*keys).agg(newest(df, keys, order).alias("_row"))
-    return picked.select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    ranking = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in [*order, *_ties(df, keys, order)]])
+    ranked = df.withColumn("_rank", F.row_number().over(ranking))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+
+def _ties(df: DataFrame, keys: list[str], order: list[str]) -> list[str]:
+    """The other columns that can be ordered."""
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    return [c for c in rest if _orderable(df.schema[c].dataType)]
 
 
 def newest(df: DataFrame, keys: Iterable[str], order: Iterable[str]) -> Column:
     """Aggregate giving the struct of non-key columns of the newest row."""
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    if all(_orderable(df.schema[c].dataType) for c in rest):
+    ties = _ties(df, keys, order)
+    if ties == rest:
         return F.max(F.struct(*order, *rest))
-    ranked = [c for c in rest if _orderable(df.schema[c].dataType)]
-    return F.max_by(F.struct(*order, *rest), F.struct(*order, *ranked))
+    return F.max_by(F.struct(*order, *rest), F.struct(*order, *ties))
 
 
 def _orderable(kind: T.DataType) -> bool:

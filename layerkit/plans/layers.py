@@ -21,7 +21,7 @@ from layerkit.contract import Contract
 from layerkit.functions.text import standardize
 from layerkit.operators.aggregate import apply_delta, group_count, tracked_delta
 from layerkit.operators.dedupe import latest_per_key
-from layerkit.operators.incremental import new_rows, read_watermark
+from layerkit.operators.incremental import latest_batch, new_rows, read_watermark
 from layerkit.operators.retention import expired
 from layerkit.operators.upsert import upsert_tracking
 from layerkit.quality.evaluate import check_status, error_records, verdict
@@ -147,8 +147,9 @@ def merge_rows(spark: SparkSession, layers: Layers, rows: DataFrame, delete_miss
     must then be a full snapshot.
     """
     clean, agg = layers.clean, layers.agg
-    batch = _stage(curate(rows, layers), f"{clean.name}__batch", clean)
-    touched = list(range(clean.buckets)) if delete_missing else clean.touched(batch)
+    batch, touched = _stage(curate(rows, layers), f"{clean.name}__batch", clean)
+    if delete_missing:
+        touched = list(range(clean.buckets))
     if not touched:
         return
     merged = upsert_tracking(
@@ -162,29 +163,31 @@ def merge_rows(spark: SparkSession, layers: Layers, rows: DataFrame, delete_miss
     try:
         kept = merged.filter("_sighted") if delete_missing else merged
         delta = tracked_delta(merged, layers.groups, layers.measure, delete_missing)
-        delta = _stage(delta, f"{agg.name}__delta", agg)
+        delta, moved = _stage(delta, f"{agg.name}__delta", agg)
         _set_pending(spark, layers, True)
         clean.write_buckets(kept, touched)
-        _apply(spark, layers, delta)
+        _apply(spark, layers, delta, moved)
         _set_pending(spark, layers, False)
     finally:
         merged.unpersist()
 
 
-def _stage(df: DataFrame, name: str, like: KeyedTable) -> DataFrame:
-    """Write an intermediate result once, with its bucket, and go on from there."""
-    like.with_bucket(df).write.mode("overwrite").saveAsTable(name)
-    return df.sparkSession.table(name)
+def _stage(df: DataFrame, name: str, like: KeyedTable) -> tuple[DataFrame, list[int]]:
+    """Write an intermediate result once and go on from there.
+
+    Also gives the buckets it falls in, at most one integer per bucket.
+    """
+    seen = Observation()
+    placed = like.with_bucket(df).observe(seen, F.collect_set(BUCKET).alias("buckets"))
+    placed.write.mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name), sorted(seen.get["buckets"])
 
 
-def _apply(spark: SparkSession, layers: Layers, delta: DataFrame) -> None:
-    agg = layers.agg
-    touched = agg.touched(delta)
+def _apply(spark: SparkSession, layers: Layers, delta: DataFrame, touched: list[int]) -> None:
     if touched:
-        totals = apply_delta(
-            agg.slice(spark, touched), delta, [BUCKET, *layers.groups], layers.measure
-        )
-        agg.write_buckets(totals.repartition(BUCKET), touched)
+        keys = [BUCKET, *layers.groups]
+        totals = apply_delta(layers.agg.slice(spark, touched), delta, keys, layers.measure)
+        layers.agg.write_buckets(totals.repartition(BUCKET), touched)
 
 
 def _set_pending(spark: SparkSession, layers: Layers, on: bool) -> None:
@@ -199,14 +202,21 @@ def _is_pending(spark: SparkSession, layers: Layers) -> bool:
 def refresh(
     spark: SparkSession, layers: Layers, strict_day: bool = False, delete_missing: bool = False
 ) -> None:
-    """Bring clean and agg up to date with raw, reading only batches not yet merged."""
+    """Bring clean and agg up to date with raw, reading only batches not yet merged.
+
+    With delete_missing the newest batch is taken as a full snapshot.
+    """
     if not layers.clean.exists(spark):
         rebuild_clean(spark, layers)
         rebuild_agg(spark, layers)
         return
     ensure_agg(spark, layers)
-    mark = read_watermark(layers.clean.read(spark), BATCH)
-    fresh = new_rows(spark.table(layers.raw), BATCH, mark, strict_day)
+    log_rows = spark.table(layers.raw)
+    if delete_missing:
+        fresh = latest_batch(log_rows, BATCH)
+    else:
+        mark = read_watermark(layers.clean.read(spark), BATCH)
+        fresh = new_rows(log_rows, BATCH, mark, strict_day)
     merge_rows(spark, layers, fresh, delete_missing)
 
 

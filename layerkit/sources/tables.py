@@ -122,20 +122,20 @@ class KeyedTable:
         return spark.catalog.tableExists(self.name)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.table(self.name).drop(BUCKET)
+        return self._current(spark).drop(BUCKET)
+
+    def _current(self, spark: SparkSession) -> DataFrame:
+        """The table as it is now, also when another session rewrote it."""
+        spark.catalog.refreshTable(self.name)
+        return spark.table(self.name)
 
     def with_bucket(self, df: DataFrame) -> DataFrame:
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
         return df.withColumn(BUCKET, bucket)
 
-    def touched(self, df: DataFrame) -> list[int]:
-        """Buckets the rows fall in; at most `buckets` integers reach the driver."""
-        placed = df if BUCKET in df.columns else self.with_bucket(df)
-        return sorted(r[BUCKET] for r in placed.select(BUCKET).distinct().collect())
-
     def slice(self, spark: SparkSession, touched: list[int]) -> DataFrame:
         """The rows of some buckets, bucket column included; other folders are not read."""
-        table = spark.table(self.name)
+        table = self._current(spark)
         return table if len(touched) == self.buckets else table.filter(F.col(BUCKET).isin(touched))
 
     def rebuild(self, df: DataFrame) -> None:
@@ -155,7 +155,7 @@ class KeyedTable:
         columns = spark.table(self.name).columns
         rows = placed.select(*columns).observe(written, F.collect_set(BUCKET).alias("buckets"))
         rows.write.insertInto(self.name, overwrite=True)
-        emptied = self._stored(spark) & (set(replaced) - set(written.get.get("buckets", [])))
+        emptied = self._stored(spark) & (set(replaced) - set(written.get["buckets"]))
         if emptied:
             parts = ", ".join(f"PARTITION ({BUCKET} = {b})" for b in sorted(emptied))
             spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {parts}")
