@@ -9,16 +9,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def latest_per_key(df: DataFrame, keys: Iterable[str], order: Iterable[str]) -> DataFrame:
+def latest_per_key(
+    df: DataFrame,
+    keys: Iterable[str],
+    order: Iterable[str],
+    settle: Iterable[str] | None = None,
+) -> DataFrame:
     """The newest row of each key; null keys form one group.
 
-    Rows that tie on the order columns are settled by their remaining columns,
-    so the answer does not depend on how the rows were split or merged. Spark
-    cuts each task to one row per key before the shuffle (WindowGroupLimit), so
-    a hot key costs one row per task.
+    Rows that tie on the order columns are settled by the `settle` columns, by
+    default all the others, so the answer does not depend on how the rows were
+    split or merged. Pass settle=() where the order columns never tie: columns
+    nobody uses are then not read. Spark cuts each task to one row per key
+    before the shuffle (WindowGroupLimit), so a hot key costs one row per task.
     """
     keys, order = list(keys), list(order)
-    ranking = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in [*order, *_ties(df, keys, order)]])
+    ties = _ties(df, keys, order) if settle is None else list(settle)
+    ranking = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in [*order, *ties]])
     ranked = df.withColumn("_rank", F.row_number().over(ranking))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
@@ -26,7 +33,11 @@ def latest_per_key(df: DataFrame, keys: Iterable[str], order: Iterable[str]) ->
 def _ties(df: DataFrame, keys: list[str], order: list[str]) -> list[str]:
     """The other columns that can be ordered."""
     rest = [c for c in df.columns if c not in keys and c not in order]
-    return [c for c in rest if _orderable(df.schema[c].dataType)]
+    return orderable(df, rest)
+
+
+def orderable(df: DataFrame, columns: Iterable[str]) -> list[str]:
+    return [c for c in columns if _orderable(df.schema[c].dataType)]
 
 
 def newest(df: DataFrame, keys: Iterable[str], order: Iterable[str]) -> Column:

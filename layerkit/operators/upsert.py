@@ -21,6 +21,7 @@ def upsert(
     source: DataFrame,
     keys: Iterable[str],
     order: Iterable[str] | None = None,
+    settle: Iterable[str] | None = None,
 ) -> DataFrame:
     """Target with the source rows updated or inserted by key.
 
@@ -29,7 +30,7 @@ def upsert(
     """
     keys = list(keys)
     if order is not None:
-        return latest_per_key(target.unionByName(source), keys, order)
+        return latest_per_key(target.unionByName(source), keys, order, settle)
     untouched = target.alias("t").join(source.alias("s"), same_key(keys), "left_anti")
     return untouched.unionByName(source)
 
@@ -67,6 +68,19 @@ def upsert_tracking(
     return merged.select(*columns, "_before", "_sighted")
 
 
+def split_by_source(
+    target: DataFrame, source: DataFrame, keys: Iterable[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Target rows whose key the source holds, and all others, without shuffling the target.
+
+    Broadcasts the source's keys: the caller must have checked their size.
+    """
+    keys = list(keys)
+    present = F.broadcast(source.select(*keys)).alias("s")
+    rows = target.alias("t")
+    return rows.join(present, same_key(keys), "left_semi"), rows.join(present, same_key(keys), "left_anti")
+
+
 def delete_missing(target: DataFrame, source: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Target rows whose key is still in the source, a full snapshot.
 

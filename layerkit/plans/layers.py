@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
+from operator import add
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -23,7 +25,7 @@ from layerkit.operators.aggregate import apply_delta, group_count, tracked_delta
 from layerkit.operators.dedupe import latest_per_key
 from layerkit.operators.incremental import latest_batch, new_rows, read_watermark
 from layerkit.operators.retention import expired
-from layerkit.operators.upsert import upsert_tracking
+from layerkit.operators.upsert import split_by_source, upsert_tracking
 from layerkit.quality.evaluate import check_status, error_records, verdict
 from layerkit.quality.log import audit_rows, ensure_log_tables, error_rows, log
 from layerkit.quality.rules import Rule
@@ -47,6 +49,7 @@ from layerkit.sources.tables import (
 
 BATCH = "_ingestion_date"
 PENDING = "layerkit.pending"
+KEY_OVERHEAD = 32  # bytes a key takes in memory beside its text
 
 
 @dataclass(frozen=True)
@@ -66,6 +69,7 @@ class Layers:
     drop_null_keys: bool = False
     clean_buckets: int = 16
     agg_buckets: int = 4
+    broadcast_bytes: int = 32 << 20  # most key bytes of a batch that are broadcast
 
     @property
     def raw(self) -> str:
@@ -137,33 +141,37 @@ def rebuild_agg(spark: SparkSession, layers: Layers) -> None:
     _set_pending(spark, layers, False)
 
 
-def merge_rows(spark: SparkSession, layers: Layers, rows: DataFrame, delete_missing: bool = False) -> None:
+def merge_rows(
+    spark: SparkSession, layers: Layers, rows: DataFrame, delete_missing: bool = False
+) -> None:
     """Upsert raw rows into clean and carry the change over to agg.
 
-    Old and new rows of the touched buckets meet in one shuffle by bucket. The
-    count change of each group is read off the same result before clean is
-    overwritten. A crash between the two writes leaves agg flagged, and the
-    next run recounts it. delete_missing drops keys absent from rows, which
-    must then be a full snapshot.
+    A batch whose keys are few enough to broadcast leaves the rest of the
+    touched buckets in place, unshuffled; a larger one meets them in a single
+    shuffle by bucket. The count change of each group is read off the merged
+    rows before clean is overwritten. A crash between the two writes leaves agg
+    flagged, and the next run recounts it. delete_missing drops keys absent
+    from rows, which must then be a full snapshot.
     """
-    clean, agg = layers.clean, layers.agg
-    batch, touched = _stage(curate(rows, layers), f"{clean.name}__batch", clean)
+    clean, agg, order = layers.clean, layers.agg, layers.contract.order
+    batch, touched, key_bytes = _stage(curate(rows, layers), f"{clean.name}__batch", clean)
     if delete_missing:
         touched = list(range(clean.buckets))
     if not touched:
         return
-    merged = upsert_tracking(
-        clean.slice(spark, touched),
-        batch,
-        [BUCKET, *clean.keys],
-        layers.contract.order,
-        layers.groups,
-        cluster_by=BUCKET,
-    ).persist(StorageLevel.DISK_ONLY)
-    try:
+    old, keys = clean.slice(spark, touched), [BUCKET, *clean.keys]
+    if key_bytes <= layers.broadcast_bytes and not delete_missing:
+        met, others = split_by_source(old, batch, keys)
+        merged = upsert_tracking(met, batch, keys, order, layers.groups)
+        merged = merged.persist(StorageLevel.DISK_ONLY)
+        kept = others.unionByName(merged.select(*old.columns))
+    else:
+        merged = upsert_tracking(old, batch, keys, order, layers.groups, cluster_by=BUCKET)
+        merged = merged.persist(StorageLevel.DISK_ONLY)
         kept = merged.filter("_sighted") if delete_missing else merged
+    try:
         delta = tracked_delta(merged, layers.groups, layers.measure, delete_missing)
-        delta, moved = _stage(delta, f"{agg.name}__delta", agg)
+        delta, moved, _ = _stage(delta, f"{agg.name}__delta", agg)
         _set_pending(spark, layers, True)
         clean.write_buckets(kept, touched)
         _apply(spark, layers, delta, moved)
@@ -172,15 +180,21 @@ def merge_rows(spark: SparkSession, layers: Layers, rows: DataFrame, delete_miss
         merged.unpersist()
 
 
-def _stage(df: DataFrame, name: str, like: KeyedTable) -> tuple[DataFrame, list[int]]:
+def _stage(df: DataFrame, name: str, like: KeyedTable) -> tuple[DataFrame, list[int], int]:
     """Write an intermediate result once and go on from there.
 
-    Also gives the buckets it falls in, at most one integer per bucket.
+    Also gives the buckets it falls in, at most one integer per bucket, and the
+    size of its keys.
     """
     seen = Observation()
-    placed = like.with_bucket(df).observe(seen, F.collect_set(BUCKET).alias("buckets"))
+    width = reduce(add, [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in like.keys])
+    placed = like.with_bucket(df).observe(
+        seen,
+        F.collect_set(BUCKET).alias("buckets"),
+        F.coalesce(F.sum(width + KEY_OVERHEAD), F.lit(0)).alias("key_bytes"),
+    )
     placed.write.mode("overwrite").saveAsTable(name)
-    return df.sparkSession.table(name), sorted(seen.get["buckets"])
+    return df.sparkSession.table(name), sorted(seen.get["buckets"]), seen.get["key_bytes"]
 
 
 def _apply(spark: SparkSession, layers: Layers, delta: DataFrame, touched: list[int]) -> None:

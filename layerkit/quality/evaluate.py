@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerkit.operators.dedupe import duplicate_keys
+from layerkit.operators.dedupe import duplicate_keys, orderable
 from layerkit.operators.sample import first_per_group
 from layerkit.quality.rules import (
     Fresh,
@@ -105,8 +106,10 @@ def error_records(
     if row_rules:
         failing = F.array_compact(F.array(*[F.when(r.fails(), F.lit(r.name)) for r in row_rules]))
         names = df.columns
-        hits = df.withColumn("_check", F.explode(failing))
-        cut = first_per_group(hits, [*batch, "_check"], [*order, F.struct(*names)], limit)
+        # the plain filter reaches the scan, which can then skip row groups without failures
+        hits = df.filter(reduce(or_, [r.fails() for r in row_rules])).withColumn("_check", F.explode(failing))
+        ties = [c for c in orderable(df, names) if c not in order]
+        cut = first_per_group(hits, [*batch, "_check"], [*order, *ties], limit)
         record = F.to_json(F.struct(*names), options)
         for rule in row_rules:
             if rule.evidence():

@@ -101,11 +101,16 @@ def drop_batches(
         F.regexp_extract("partition", f"^{batch}=(.*)$", 1).alias(batch)
     )
     values = sorted(row[batch] for row in doomed(listed).collect())
-    for value in values:
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({batch} = '{value}')")
+    _drop_partitions(spark, name, [f"{batch} = '{value}'" for value in values])
     return values
 
 
+def _drop_partitions(spark: SparkSession, name: str, specs: list[str]) -> None:
+    if specs:
+        parts = ", ".join(f"PARTITION ({spec})" for spec in specs)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """A Parquet table with one row per key, partitioned by a hash bucket of the key.
@@ -156,9 +161,7 @@ class KeyedTable:
         rows = placed.select(*columns).observe(written, F.collect_set(BUCKET).alias("buckets"))
         rows.write.insertInto(self.name, overwrite=True)
         emptied = self._stored(spark) & (set(replaced) - set(written.get["buckets"]))
-        if emptied:
-            parts = ", ".join(f"PARTITION ({BUCKET} = {b})" for b in sorted(emptied))
-            spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {parts}")
+        _drop_partitions(spark, self.name, [f"{BUCKET} = {b}" for b in sorted(emptied)])
 
     def _stored(self, spark: SparkSession) -> set[int]:
         listed = spark.sql(f"SHOW PARTITIONS {self.name}").collect()

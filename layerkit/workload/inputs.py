@@ -87,8 +87,10 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def curated(rows: DataFrame) -> DataFrame:
+    """Clean rows of the log; an order's moment is unique, so the order columns never tie."""
     contract: Contract = presets.CONTRACT
-    return standardize(latest_per_key(rows, contract.keys, contract.order), presets.TEXT_FORMS)
+    newest = latest_per_key(rows, contract.keys, contract.order, settle=())
+    return standardize(newest, presets.TEXT_FORMS)
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:

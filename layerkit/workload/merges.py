@@ -35,7 +35,7 @@ def old_and_new(spark, sf) -> tuple[DataFrame, DataFrame]:
 @query(f"WITH {CLEAN} SELECT {RAW_COLUMNS} FROM clean")
 def merge_upsert_rows(spark, sf):
     old, new = old_and_new(spark, sf)
-    return plain(upsert(old, new, KEYS, ORDER))
+    return plain(upsert(old, new, KEYS, ORDER, settle=()))
 
 
 @query(
@@ -94,12 +94,12 @@ def snapshot_change_report(spark, sf):
 )
 def merge_change_report(spark, sf):
     old, new = old_and_new(spark, sf)
-    return change_report(old, upsert(old, new, KEYS, ORDER), KEYS)
+    return change_report(old, upsert(old, new, KEYS, ORDER, settle=()), KEYS)
 
 
 @query(f"WITH {CLEAN} {COUNTS} FROM clean GROUP BY ALL")
 def agg_incremental_delta(spark, sf):
-    old, new = old_and_new(spark, sf)
+    old, new = [df.select(*KEYS, *ORDER, *presets.GROUPS) for df in old_and_new(spark, sf)]
     totals = group_count(old, presets.GROUPS, presets.MEASURE)
     merged = upsert_tracking(old, new, KEYS, ORDER, presets.GROUPS)
     delta = tracked_delta(merged, presets.GROUPS, presets.MEASURE)
@@ -118,7 +118,7 @@ def agg_count_delta(spark, sf):
 
 @query(f"WITH {OLD_NEW} {COUNTS} FROM new GROUP BY ALL")
 def agg_delta_full_snapshot(spark, sf):
-    old, new = old_and_new(spark, sf)
+    old, new = [df.select(*KEYS, *ORDER, *presets.GROUPS) for df in old_and_new(spark, sf)]
     totals = group_count(old, presets.GROUPS, presets.MEASURE)
     merged = upsert_tracking(old, new, KEYS, ORDER, presets.GROUPS)
     delta = tracked_delta(merged, presets.GROUPS, presets.MEASURE, delete_missing=True)

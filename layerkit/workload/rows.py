@@ -147,7 +147,7 @@ def dedup_latest(spark, sf):
 )
 def dedup_latest_event(spark, sf):
     events = table(spark, sf, "events")
-    return plain(latest_per_key(events, ["user_id"], ["ts", "event_id"]))
+    return plain(latest_per_key(events, ["user_id"], ["ts", "event_id"], settle=()))
 
 
 @query(f"WITH {RAW},{curated_sql('clean', 'raw', IS_NEW)} SELECT {RAW_COLUMNS} FROM clean")

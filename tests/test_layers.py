@@ -38,9 +38,10 @@ LOADS = [
 ]
 
 
-@pytest.fixture
-def layers(schema):
-    return Layers(schema=schema, clean_buckets=4, agg_buckets=2)
+@pytest.fixture(params=["broadcast", "shuffle"])
+def layers(request, schema):
+    limit = 1 << 20 if request.param == "broadcast" else -1
+    return Layers(schema=schema, clean_buckets=4, agg_buckets=2, broadcast_bytes=limit)
 
 
 @pytest.fixture
