@@ -24,7 +24,7 @@ from layerkit.plans.layers import BATCH, Layers, create, expire_raw, merge_rows,
 from layerkit.quality.evaluate import check_status, error_records
 from layerkit.quality.rules import RowRule, Unique
 from layerkit.session import local_session, scratch_schema
-from layerkit.sources.tables import append, gather
+from layerkit.sources.tables import append, batches, gather
 from layerkit.workload import QUERIES
 from layerkit.workload.inputs import CUT, raw
 
@@ -36,7 +36,7 @@ FROM_TABLES = [
     "agg_full",
     "dedup_latest",
     "standardize_text",
-    "duplicate_key_groups",
+    "duplicate_keys",
     "merge_upsert_rows",
     "merge_change_report",
     "agg_incremental_delta",
@@ -86,7 +86,7 @@ def main() -> None:
     append(gather(raw(spark, SF_DIR), BATCH), layers.raw)
     log = spark.table(layers.raw)
     late = log.filter(F.col(BATCH) > CUT)
-    day = log.filter(F.col(BATCH) == log.agg(F.max(BATCH)).scalar())
+    day = log.filter(F.col(BATCH) == batches(spark, layers.raw, BATCH).agg(F.max(BATCH)).first()[0])
 
     seconds["table_rebuild_clean"] = median_of(lambda: rebuild_clean(spark, layers))
     seconds["table_rebuild_agg"] = median_of(lambda: rebuild_agg(spark, layers))

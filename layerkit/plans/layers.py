@@ -23,7 +23,7 @@ from layerkit.contract import Contract
 from layerkit.functions.text import standardize
 from layerkit.operators.aggregate import apply_delta, group_count, tracked_delta
 from layerkit.operators.dedupe import latest_per_key
-from layerkit.operators.incremental import latest_batch, new_rows, read_watermark
+from layerkit.operators.incremental import new_rows, read_watermark
 from layerkit.operators.retention import expired
 from layerkit.operators.upsert import split_by_source, upsert_tracking
 from layerkit.quality.evaluate import check_status, error_records, verdict
@@ -41,6 +41,7 @@ from layerkit.sources.tables import (
     BUCKET,
     KeyedTable,
     append,
+    batches,
     drop_batches,
     ensure_schema,
     ensure_table,
@@ -57,6 +58,7 @@ class Layers:
     """Table names, data model and rules of one set of layers."""
 
     schema: str
+    names: Mapping[str, str] = field(default_factory=dict)  # layer -> table, where not schema.layer
     source: str = "pages"
     contract: Contract = presets.CONTRACT
     text_forms: Mapping[str, str] = field(default_factory=lambda: presets.TEXT_FORMS)
@@ -71,26 +73,35 @@ class Layers:
     agg_buckets: int = 4
     broadcast_bytes: int = 32 << 20  # most key bytes of a batch that are broadcast
 
+    def table(self, layer: str) -> str:
+        return self.names.get(layer, f"{self.schema}.{layer}")
+
     @property
     def raw(self) -> str:
-        return f"{self.schema}.raw"
+        return self.table("raw")
 
     @property
     def quarantine(self) -> str:
-        return f"{self.schema}.raw_quarantine"
+        return f"{self.raw}_quarantine"
 
     @property
     def clean(self) -> KeyedTable:
-        return KeyedTable(f"{self.schema}.clean", self.contract.keys, self.clean_buckets)
+        return KeyedTable(self.table("clean"), self.contract.keys, self.clean_buckets)
 
     @property
     def agg(self) -> KeyedTable:
-        return KeyedTable(f"{self.schema}.agg", self.groups, self.agg_buckets)
+        return KeyedTable(self.table("agg"), self.groups, self.agg_buckets)
+
+    @property
+    def quality_schema(self) -> str:
+        """Where dq_audit and dq_errors live."""
+        return self.names.get("quality", self.schema)
 
 
 def create(spark: SparkSession, layers: Layers) -> None:
-    """Schema and raw tables, where absent."""
-    ensure_schema(spark, layers.schema)
+    """Schemas and raw tables, where absent."""
+    for name in (layers.raw, layers.clean.name, layers.agg.name):
+        ensure_schema(spark, name.rpartition(".")[0])
     ensure_table(spark, layers.raw, layers.contract.raw_schema, [BATCH])
     ensure_table(spark, layers.quarantine, _quarantine_schema(), [BATCH])
 
@@ -227,7 +238,8 @@ def refresh(
     ensure_agg(spark, layers)
     log_rows = spark.table(layers.raw)
     if delete_missing:
-        fresh = latest_batch(log_rows, BATCH)
+        newest = read_watermark(batches(spark, layers.raw, BATCH), BATCH)
+        fresh = log_rows.filter(F.col(BATCH) == newest)
     else:
         mark = read_watermark(layers.clean.read(spark), BATCH)
         fresh = new_rows(log_rows, BATCH, mark, strict_day)
@@ -267,7 +279,7 @@ def run_quality(
 
     Failing rows are looked up only for checks that failed.
     """
-    audit, errors = ensure_log_tables(spark, layers.schema)
+    audit, errors = ensure_log_tables(spark, layers.quality_schema)
     at = utc(as_of)
     order = (*layers.contract.keys, BATCH)
     checked = {

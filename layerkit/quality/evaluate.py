@@ -128,12 +128,8 @@ def error_records(
             record = F.to_json(F.struct(*rule.keys, "count"), options)
             parts.append(cut.select(*batch, F.lit(rule.name).alias("check_name"), record.alias("error_record")))
         if isinstance(rule, (NoExtraColumns, HasColumns)) and not by:
-            names = rule.offending(df.columns)
-            if names:
-                listed = F.explode(F.array(*[F.lit(c) for c in names])).alias(rule.reported_as)
-                rows = df.sparkSession.range(1).select(listed)
-                record = F.to_json(F.struct(rule.reported_as))
-                parts.append(rows.select(F.lit(rule.name).alias("check_name"), record.alias("error_record")))
+            record = F.to_json(F.struct(rule.reported_as)).alias("error_record")
+            parts.append(_column_names(df, rule).select(F.lit(rule.name).alias("check_name"), record))
     if not parts:
         empty = df.limit(0).select(*batch, F.lit("").alias("check_name"), F.lit("").alias("error_record"))
         parts.append(empty)
@@ -141,6 +137,34 @@ def error_records(
     return errors.select(*batch, F.lit(layer).alias("layer"), "check_name", "error_record")
 
 
+def failing_rows(df: DataFrame, rule: Rule) -> DataFrame:
+    """All that breaks one rule: whole rows with their evidence, repeated keys, or column names."""
+    if isinstance(rule, RowRule):
+        return df.filter(rule.fails()).withColumns(rule.evidence())
+    if isinstance(rule, Unique):
+        return duplicate_keys(df, rule.keys)
+    if isinstance(rule, (NoExtraColumns, HasColumns)):
+        return _column_names(df, rule)
+    return df.limit(0)
+
+
+def _column_names(df: DataFrame, rule: NoExtraColumns | HasColumns) -> DataFrame:
+    names = F.array(*[F.lit(c) for c in rule.offending(df.columns)]).cast("array<string>")
+    return df.sparkSession.range(1).select(F.explode(names).alias(rule.reported_as))
+
+
+def check_layer(
+    df: DataFrame, rules: Iterable[Rule], layer: str = ""
+) -> tuple[bool, dict[str, bool], dict[str, DataFrame]]:
+    """Verdict, status of each check, and a lazy frame of what breaks it.
+
+    The status pass runs once and brings one row per rule to the driver.
+    """
+    rules = list(rules)
+    checks = {r["check_name"]: r["status"] for r in check_status(df, rules, layer).collect()}
+    return all(checks.values()), checks, {rule.name: failing_rows(df, rule) for rule in rules}
+
+
 def verdicts(status: DataFrame) -> DataFrame:
     """The verdict of each layer, and of all of them together."""
     rolled = status.rollup("layer").agg(F.bool_and("status").alias("passed"))

@@ -90,6 +90,13 @@ def full_refresh(df: DataFrame, name: str, partition_by: Iterable[str] = ()) ->
     spark.sql(f"DROP TABLE {staged}")
 
 
+def batches(spark: SparkSession, name: str, batch: str) -> DataFrame:
+    """The batches of a table partitioned by batch, from the catalog: no file is opened."""
+    value = F.regexp_extract("partition", f"^{batch}=(.*)$", 1)
+    listed = spark.sql(f"SHOW PARTITIONS {name}").select(value.alias(batch))
+    return listed.filter(F.col(batch) != "__HIVE_DEFAULT_PARTITION__")
+
+
 def drop_batches(
     spark: SparkSession, name: str, batch: str, doomed: Callable[[DataFrame], DataFrame]
 ) -> list[str]:
@@ -97,10 +104,7 @@ def drop_batches(
 
     The list of batches comes from the catalog and holds one value per batch.
     """
-    listed = spark.sql(f"SHOW PARTITIONS {name}").select(
-        F.regexp_extract("partition", f"^{batch}=(.*)$", 1).alias(batch)
-    )
-    values = sorted(row[batch] for row in doomed(listed).collect())
+    values = sorted(row[batch] for row in doomed(batches(spark, name, batch)).collect())
     _drop_partitions(spark, name, [f"{batch} = '{value}'" for value in values])
     return values
 

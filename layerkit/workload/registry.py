@@ -14,15 +14,15 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable[[Query], Query]:
-    """Register a function under its own name together with its SQL."""
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function together with its SQL, under its own name unless one is given."""
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return fn(configure(spark), sf_dir)
 
-        QUERIES[fn.__name__] = run
-        ORACLES[fn.__name__] = sql
+        QUERIES[name or fn.__name__] = run
+        ORACLES[name or fn.__name__] = sql
         return fn
 
     return register

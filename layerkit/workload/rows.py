@@ -45,7 +45,8 @@ def contract_project(spark, sf):
 
 @query(
     """SELECT c_custkey, c_name, c_nationkey, c_mktsegment, 'crm' AS _source,
-    '2024-01-01 06:30:00.000000' AS _ingestion_ts, '2024-01-01' AS _ingestion_date FROM customer"""
+    '2024-01-01 06:30:00.000000' AS _ingestion_ts, '2024-01-01' AS _ingestion_date FROM customer""",
+    name="add_lineage",
 )
 def add_lineage_columns(spark, sf):
     customer = table(spark, sf, "customer").drop("c_acctbal")
@@ -129,7 +130,8 @@ def filter_any_key_null(spark, sf):
 
 @query(
     """SELECT l_orderkey, l_linenumber, count(*) AS "count" FROM lineitem
-    GROUP BY ALL HAVING count(*) > 1"""
+    GROUP BY ALL HAVING count(*) > 1""",
+    name="duplicate_keys",
 )
 def duplicate_key_groups(spark, sf):
     return duplicate_keys(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -155,17 +157,17 @@ def dedup_batch(spark, sf):
     return plain(curated(new_rows(raw(spark, sf), BATCH, CUT, strict_day=True)))
 
 
-@query(f"WITH {RAW} SELECT DISTINCT _ingestion_date FROM raw ORDER BY 1 NULLS FIRST LIMIT 50")
+@query(f"WITH {RAW} SELECT DISTINCT _ingestion_date FROM raw ORDER BY 1 NULLS FIRST LIMIT 50", name="distinct_batches")
 def first_batches(spark, sf):
     return distinct_batches(raw(spark, sf), BATCH)
 
 
-@query(f"WITH {RAW} SELECT _ingestion_date, count(*) AS row_count FROM raw GROUP BY ALL")
+@query(f"WITH {RAW} SELECT _ingestion_date, count(*) AS row_count FROM raw GROUP BY ALL", name="row_counts")
 def batch_row_counts(spark, sf):
     return row_counts(raw(spark, sf), BATCH)
 
 
-@query(f"WITH {RAW} SELECT max(_ingestion_date) AS watermark FROM raw")
+@query(f"WITH {RAW} SELECT max(_ingestion_date) AS watermark FROM raw", name="max_watermark")
 def watermark(spark, sf):
     return max_watermark(raw(spark, sf), BATCH)
 
@@ -207,7 +209,8 @@ def retention_delete(spark, sf):
     f"""WITH {RAW} SELECT _ingestion_date, count(*) AS row_count,
     CASE WHEN _ingestion_date < '2001-06-16' THEN 'expired'
          WHEN _ingestion_date IS NULL THEN 'undated' ELSE 'kept' END AS fate
-    FROM raw GROUP BY ALL"""
+    FROM raw GROUP BY ALL""",
+    name="retention_report",
 )
 def retention_counts(spark, sf):
     return retention_report(raw(spark, sf), BATCH, RETAINED_FROM, presets.RETENTION_DAYS)

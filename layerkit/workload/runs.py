@@ -75,7 +75,7 @@ def quarantine_corrupt(spark, sf):
     return load_pages(spark, folder, Contract.of_strings(["k"], ["k"])).withColumnRenamed(CORRUPT, "broken")
 
 
-@query(f"WITH {RAW} SELECT {RAW_COLUMNS} FROM raw")
+@query(f"WITH {RAW} SELECT {RAW_COLUMNS} FROM raw", name="append_snapshot")
 def snapshot_append(spark, sf):
     """The log written in two loads; the second is run twice and replaces itself."""
     path, rows = scratch_dir(spark, "log"), raw(spark, sf)
@@ -86,14 +86,14 @@ def snapshot_append(spark, sf):
     return plain(scan_snapshot(spark, path, presets.CONTRACT.raw_schema))
 
 
-@query(f"WITH {RAW} SELECT {RAW_COLUMNS} FROM raw WHERE _ingestion_date = '{CUT}'")
+@query(f"WITH {RAW} SELECT {RAW_COLUMNS} FROM raw WHERE _ingestion_date = '{CUT}'", name="scan_snapshot")
 def snapshot_scan(spark, sf):
     path = scratch_dir(spark, "log")
     append_snapshot(gather(raw(spark, sf), BATCH), path, BATCH)
     return plain(scan_snapshot(spark, path, presets.CONTRACT.raw_schema).filter(F.col(BATCH) == CUT))
 
 
-@query(f"WITH {CLEAN} SELECT {RAW_COLUMNS} FROM clean")
+@query(f"WITH {CLEAN} SELECT {RAW_COLUMNS} FROM clean", name="full_refresh")
 def table_rebuild(spark, sf):
     """A key-bucketed table built, then replaced by itself."""
     target = KeyedTable(f"{scratch_schema(spark, 'rebuild')}.clean", presets.CONTRACT.keys, 8)
@@ -102,7 +102,7 @@ def table_rebuild(spark, sf):
     return plain(target.read(spark))
 
 
-@query(f"WITH {CLEAN} {COUNTS} FROM clean GROUP BY ALL")
+@query(f"WITH {CLEAN} {COUNTS} FROM clean GROUP BY ALL", name="refresh_schema_change")
 def table_refresh(spark, sf):
     """Clean rows written as a table, which is then replaced by their counts: a new schema."""
     name = f"{scratch_schema(spark, 'refresh')}.entities"

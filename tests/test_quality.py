@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerkit import presets
-from layerkit.quality.evaluate import check_status, error_records, verdict, verdicts
+from layerkit.quality.evaluate import check_layer, check_status, error_records, verdict, verdicts
 from layerkit.quality.log import audit_rows, ensure_log_tables, error_rows, log
 from layerkit.quality.monitor import check_trend, failures_with_samples, latest_failures, newest_errors
 from layerkit.quality.rules import (
@@ -169,3 +169,22 @@ def test_verdicts(edge):
 def test_the_preset_has_all_checks():
     counts = [len(f()) for f in (presets.raw_rules, presets.clean_rules, presets.agg_rules)]
     assert counts == [6, 8, 4]
+
+
+def test_check_layer_gives_verdict_status_and_failing_rows(edge):
+    rules = [*ROW_RULES, Unique("u", ("id",)), NoExtraColumns("drift", ("id",)), MinRows("filled")]
+    passed, checks, errors = check_layer(edge, rules)
+    assert passed is False and checks["filled"] is True and checks["numeric"] is False
+    assert set(errors) == set(checks) == {r.name for r in rules}
+    assert errors["numeric"].columns == [*edge.columns, "lat_num"] and errors["numeric"].count() == 1
+    assert rows(errors["u"]) == [("a", 3), (None, 2)]
+    assert errors["drift"].columns == ["unexpected_column"] and errors["drift"].count() == 6
+    assert errors["filled"].count() == 0
+    assert check_layer(edge, [MinRows("filled")])[0] is True
+
+
+def test_monitoring_questions_in_sql(spark, schema, logs):
+    newest = spark.sql(f"SELECT * FROM {schema}.dq_audit WHERE status = false ORDER BY timestamp DESC")
+    assert newest.count() == latest_failures(logs[0]).count()
+    samples = f"SELECT layer, check_name, error_record, timestamp FROM {schema}.dq_errors"
+    assert spark.sql(f"{samples} ORDER BY timestamp DESC LIMIT 100").count() == newest_errors(logs[1]).count()
