@@ -23,7 +23,7 @@ from layerkit.contract import Contract
 from layerkit.functions.text import standardize
 from layerkit.operators.aggregate import apply_delta, group_count, tracked_delta
 from layerkit.operators.dedupe import latest_per_key
-from layerkit.operators.incremental import new_rows, read_watermark
+from layerkit.operators.incremental import load_mark, loads_after, new_rows, read_watermark
 from layerkit.operators.retention import expired
 from layerkit.operators.upsert import split_by_source, upsert_tracking
 from layerkit.quality.evaluate import check_status, error_records, verdict
@@ -49,6 +49,7 @@ from layerkit.sources.tables import (
 )
 
 BATCH = "_ingestion_date"
+MOMENT = "_ingestion_ts"
 PENDING = "layerkit.pending"
 KEY_OVERHEAD = 32  # bytes a key takes in memory beside its text
 
@@ -225,11 +226,16 @@ def _is_pending(spark: SparkSession, layers: Layers) -> bool:
 
 
 def refresh(
-    spark: SparkSession, layers: Layers, strict_day: bool = False, delete_missing: bool = False
+    spark: SparkSession,
+    layers: Layers,
+    since: str = "load",
+    delete_missing: bool = False,
 ) -> None:
-    """Bring clean and agg up to date with raw, reading only batches not yet merged.
+    """Bring clean and agg up to date with raw, reading only what is not yet merged.
 
-    With delete_missing the newest batch is taken as a full snapshot.
+    since="load" takes the loads after the newest one in clean, "day" takes that
+    load's whole day again, "next_day" only later days. With delete_missing the
+    newest batch is taken as a full snapshot.
     """
     if not layers.clean.exists(spark):
         rebuild_clean(spark, layers)
@@ -240,9 +246,13 @@ def refresh(
     if delete_missing:
         newest = read_watermark(batches(spark, layers.raw, BATCH), BATCH)
         fresh = log_rows.filter(F.col(BATCH) == newest)
-    else:
+    elif since == "load":
+        fresh = loads_after(log_rows, BATCH, MOMENT, load_mark(layers.clean.read(spark), BATCH, MOMENT))
+    elif since in ("day", "next_day"):
         mark = read_watermark(layers.clean.read(spark), BATCH)
-        fresh = new_rows(log_rows, BATCH, mark, strict_day)
+        fresh = new_rows(log_rows, BATCH, mark, strict_day=since == "next_day")
+    else:
+        raise ValueError(f"since must be load, day or next_day, not {since!r}")
     merge_rows(spark, layers, fresh, delete_missing)
 
 

@@ -79,10 +79,13 @@ def test_rerun_of_a_day_changes_nothing(spark, layers, landings):
     for i, folder in enumerate(landings[:2]):
         run_daily(spark, layers, folder, at(i + 1))
     before = state(spark, layers)
-    refresh(spark, layers)
-    assert state(spark, layers) == before
+    for since in ("load", "day", "next_day"):
+        refresh(spark, layers, since=since)
+        assert state(spark, layers) == before
+    with pytest.raises(ValueError, match="since"):
+        refresh(spark, layers, since="ever")
     ingest(spark, layers, landings[1], at(2), replace_day=True)
-    refresh(spark, layers)
+    refresh(spark, layers, since="day")
     assert state(spark, layers) == before
     assert spark.table(layers.raw).count() == 6
 
@@ -91,7 +94,7 @@ def test_second_load_on_the_same_day_is_merged(spark, layers, landings):
     run_daily(spark, layers, landings[0], at(1, 1))
     run_daily(spark, layers, landings[1], at(1, 2))
     assert layers.clean.read(spark).filter("id = '1'").first()["brewery_type"] == "closed"
-    run_daily(spark, layers, landings[2], at(1, 3), strict_day=True)  # the old rule: not taken
+    run_daily(spark, layers, landings[2], at(1, 3), since="next_day")  # not a later day: not taken
     assert layers.clean.read(spark).filter("id = '2'").first()["country"] == "X"
 
 
