@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerkit import presets
-from layerkit.quality.evaluate import check_status, error_records, verdict, verdicts
+from layerkit.quality.evaluate import check_status, error_records, failing_rows, verdict, verdicts
 from layerkit.quality.log import audit_rows, ensure_log_tables, error_rows, log
 from layerkit.quality.monitor import (
     check_trend as trend_of,
@@ -19,7 +19,7 @@ from layerkit.quality.monitor import (
 )
 from layerkit.session import scratch_schema
 from layerkit.workload.inputs import BATCH, agg, clean, plain, raw
-from layerkit.workload.oracle import AGG, CLEAN, RAW
+from layerkit.workload.oracle import AGG, CLEAN, RAW, RAW_COLUMNS
 from layerkit.workload.registry import query
 
 CHECKED_AT = datetime(2024, 1, 8, tzinfo=timezone.utc)
@@ -192,6 +192,25 @@ def dq_error_records(spark, sf):
     return error_records(clean(spark, sf), presets.clean_rules(), "clean", KEY_ORDER)
 
 
+@query(
+    f"""WITH {CLEAN} SELECT {RAW_COLUMNS}, try_cast(latitude AS DOUBLE) AS lat_num,
+    try_cast(longitude AS DOUBLE) AS lon_num FROM clean WHERE {RANGE}"""
+)
+def dq_failing_rows(spark, sf):
+    """Every row outside the coordinate range, whole and with its parsed values."""
+    rule = next(r for r in presets.clean_rules() if r.name == "valid_geolocation_range")
+    return plain(failing_rows(clean(spark, sf), rule))
+
+
+@query(
+    f"""WITH {RAW} SELECT id, _ingestion_date, count(*) AS "count" FROM raw
+    GROUP BY ALL HAVING count(*) > 1"""
+)
+def dq_repeated_keys(spark, sf):
+    rule = next(r for r in presets.raw_rules() if r.name == "uniqueness_id_snapshot")
+    return failing_rows(raw(spark, sf), rule)
+
+
 @query(f"WITH {RAW} {_raw_samples()}")
 def dq_error_records_raw(spark, sf):
     return error_records(raw(spark, sf), presets.raw_rules(), "raw", KEY_ORDER)

@@ -12,7 +12,7 @@ from layerkit.functions import predicates
 from layerkit.functions.text import standardize, to_number
 from layerkit.operators.aggregate import group_count, latest_batch_count, row_counts
 from layerkit.operators.dedupe import distinct_batches, duplicate_keys, latest_per_key
-from layerkit.operators.incremental import latest_batch, max_watermark, new_rows
+from layerkit.operators.incremental import latest_batch, load_mark, loads_after, max_watermark, new_rows
 from layerkit.operators.retention import keep_recent, retention_report
 from layerkit.sources.pages import add_lineage
 from layerkit.workload.inputs import BATCH, CUT, agg, clean, curated, plain, raw, table
@@ -21,6 +21,7 @@ from layerkit.workload.oracle import (
     CLEAN,
     COUNTS,
     IS_NEW,
+    IS_OLD,
     RAW,
     RAW_COLUMNS,
     STANDARD,
@@ -182,6 +183,20 @@ def incremental_new_rows_strict(spark, sf):
     return plain(new_rows(raw(spark, sf), BATCH, CUT, strict_day=True))
 
 
+@query(
+    f"""WITH {RAW}, seen AS (SELECT * FROM raw WHERE {IS_OLD}),
+    mark AS (SELECT _ingestion_date AS day, max(_ingestion_ts) AS moment FROM seen
+             WHERE _ingestion_date = (SELECT max(_ingestion_date) FROM seen) GROUP BY 1)
+    SELECT {RAW_COLUMNS} FROM raw, mark
+    WHERE _ingestion_date > day OR (_ingestion_date = day AND _ingestion_ts > moment)"""
+)
+def incremental_loads_after(spark, sf):
+    """Rows past the newest load of the batches up to the cut."""
+    rows = raw(spark, sf)
+    mark = load_mark(rows.filter(F.col(BATCH) <= CUT), BATCH, "_ingestion_ts")
+    return plain(loads_after(rows, BATCH, "_ingestion_ts", mark))
+
+
 @query(_raw_filter("_ingestion_date = (SELECT max(_ingestion_date) FROM raw)"))
 def latest_batch_rows(spark, sf):
     return plain(latest_batch(raw(spark, sf), BATCH))
