@@ -50,7 +50,6 @@ from layerkit.sources.tables import (
 
 BATCH = "_ingestion_date"
 MOMENT = "_ingestion_ts"
-PENDING = "layerkit.pending"
 KEY_OVERHEAD = 32  # bytes a key takes in memory beside its text
 
 
@@ -150,7 +149,6 @@ def rebuild_clean(spark: SparkSession, layers: Layers) -> None:
 def rebuild_agg(spark: SparkSession, layers: Layers) -> None:
     clean = require_table(spark, layers.clean.name, "run rebuild_clean first")
     layers.agg.rebuild(group_count(clean, layers.groups, layers.measure))
-    _set_pending(spark, layers, False)
 
 
 def merge_rows(
@@ -161,9 +159,9 @@ def merge_rows(
     A batch whose keys are few enough to broadcast leaves the rest of the
     touched buckets in place, unshuffled; a larger one meets them in a single
     shuffle by bucket. The count change of each group is read off the merged
-    rows before clean is overwritten. A crash between the two writes leaves agg
-    flagged, and the next run recounts it. delete_missing drops keys absent
-    from rows, which must then be a full snapshot.
+    rows before clean is overwritten. A table stays marked as broken from its
+    first to its last move, see repair. delete_missing drops keys absent from
+    rows, which must then be a full snapshot.
     """
     clean, agg, order = layers.clean, layers.agg, layers.contract.order
     batch, touched, key_bytes = _stage(curate(rows, layers), f"{clean.name}__batch", clean)
@@ -184,10 +182,10 @@ def merge_rows(
     try:
         delta = tracked_delta(merged, layers.groups, layers.measure, delete_missing)
         delta, moved, _ = _stage(delta, f"{agg.name}__delta", agg)
-        _set_pending(spark, layers, True)
+        agg.mark_whole(spark, False)
         clean.write_buckets(kept, touched)
         _apply(spark, layers, delta, moved)
-        _set_pending(spark, layers, False)
+        agg.mark_whole(spark, True)
     finally:
         merged.unpersist()
 
@@ -216,15 +214,6 @@ def _apply(spark: SparkSession, layers: Layers, delta: DataFrame, touched: list[
         layers.agg.write_buckets(totals.repartition(BUCKET), touched)
 
 
-def _set_pending(spark: SparkSession, layers: Layers, on: bool) -> None:
-    spark.sql(f"ALTER TABLE {layers.agg.name} SET TBLPROPERTIES ('{PENDING}' = '{str(on).lower()}')")
-
-
-def _is_pending(spark: SparkSession, layers: Layers) -> bool:
-    shown = spark.sql(f"SHOW TBLPROPERTIES {layers.agg.name}").collect()
-    return any(r["key"] == PENDING and r["value"] == "true" for r in shown)
-
-
 def refresh(
     spark: SparkSession,
     layers: Layers,
@@ -237,11 +226,8 @@ def refresh(
     load's whole day again, "next_day" only later days. With delete_missing the
     newest batch is taken as a full snapshot.
     """
-    if not layers.clean.exists(spark):
-        rebuild_clean(spark, layers)
-        rebuild_agg(spark, layers)
+    if repair(spark, layers):
         return
-    ensure_agg(spark, layers)
     log_rows = spark.table(layers.raw)
     if delete_missing:
         newest = read_watermark(batches(spark, layers.raw, BATCH), BATCH)
@@ -256,10 +242,14 @@ def refresh(
     merge_rows(spark, layers, fresh, delete_missing)
 
 
-def ensure_agg(spark: SparkSession, layers: Layers) -> None:
-    """Build agg where it is absent or a run broke off halfway."""
-    if not layers.agg.exists(spark) or _is_pending(spark, layers):
+def repair(spark: SparkSession, layers: Layers) -> bool:
+    """Build what is absent or was left broken by a crash; True if clean is new from raw."""
+    renew = not layers.clean.exists(spark) or not layers.clean.is_whole(spark)
+    if renew:
+        rebuild_clean(spark, layers)
+    if renew or not layers.agg.exists(spark) or not layers.agg.is_whole(spark):
         rebuild_agg(spark, layers)
+    return renew
 
 
 def run_daily(

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKET = "_bucket"
+BUCKETS = "layerkit.buckets"  # table property: the bucket number rows were placed with
+WHOLE = "layerkit.whole"  # table property: false while buckets are being replaced
 
 
 def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -144,32 +146,64 @@ class KeyedTable:
 
     def slice(self, spark: SparkSession, touched: list[int]) -> DataFrame:
         """The rows of some buckets, bucket column included; other folders are not read."""
+        made_with = get_property(spark, self.name, BUCKETS)
+        if made_with != str(self.buckets):
+            raise ValueError(f"{self.name} was built with {made_with} buckets, not {self.buckets}: rebuild it")
         table = self._current(spark)
         return table if len(touched) == self.buckets else table.filter(F.col(BUCKET).isin(touched))
 
     def rebuild(self, df: DataFrame) -> None:
-        """Replace all rows; a changed schema replaces the table's schema too."""
+        """Replace all rows; a changed schema or bucket number replaces the table's too."""
         spark = df.sparkSession
         placed = self.with_bucket(df).repartition(BUCKET)
         if self.exists(spark) and _types(spark.table(self.name)) != _types(placed):
             full_refresh(placed, self.name, [BUCKET])
-            return
-        ensure_table(spark, self.name, placed.schema, [BUCKET])
-        self.write_buckets(placed, range(self.buckets))
+        else:
+            ensure_table(spark, self.name, placed.schema, [BUCKET])
+            self._overwrite(placed, None)
+        set_property(spark, self.name, BUCKETS, str(self.buckets))
+        self.mark_whole(spark, True)
 
     def write_buckets(self, placed: DataFrame, replaced: Iterable[int]) -> None:
-        """Overwrite the replaced buckets with rows already clustered by bucket."""
+        """Overwrite the replaced buckets; rows are best clustered by bucket.
+
+        The move of many folders is not one atomic step, so the table counts as
+        broken until it is done.
+        """
+        spark = placed.sparkSession
+        self.mark_whole(spark, False)
+        self._overwrite(placed, set(replaced))
+        self.mark_whole(spark, True)
+
+    def mark_whole(self, spark: SparkSession, whole: bool) -> None:
+        set_property(spark, self.name, WHOLE, str(whole).lower())
+
+    def is_whole(self, spark: SparkSession) -> bool:
+        """False after a write that broke off; rebuild the table then."""
+        return get_property(spark, self.name, WHOLE) != "false"
+
+    def _overwrite(self, placed: DataFrame, replaced: set[int] | None) -> None:
+        """Write buckets and drop those of `replaced` (None: all) that got no row."""
         spark = placed.sparkSession
         written = Observation()
         columns = spark.table(self.name).columns
         rows = placed.select(*columns).observe(written, F.collect_set(BUCKET).alias("buckets"))
         rows.write.insertInto(self.name, overwrite=True)
-        emptied = self._stored(spark) & (set(replaced) - set(written.get["buckets"]))
+        stored = {
+            int(row["partition"].split("=")[1])
+            for row in spark.sql(f"SHOW PARTITIONS {self.name}").collect()
+        }
+        emptied = (stored if replaced is None else stored & replaced) - set(written.get["buckets"])
         _drop_partitions(spark, self.name, [f"{BUCKET} = {b}" for b in sorted(emptied)])
 
-    def _stored(self, spark: SparkSession) -> set[int]:
-        listed = spark.sql(f"SHOW PARTITIONS {self.name}").collect()
-        return {int(row["partition"].split("=")[1]) for row in listed}
+
+def set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{key}' = '{value}')")
+
+
+def get_property(spark: SparkSession, name: str, key: str) -> str | None:
+    shown = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return shown.get(key)
 
 
 def _types(df: DataFrame) -> dict[str, str]:

@@ -23,7 +23,7 @@ from layerkit.plans.layers import (
     run_weekly,
 )
 from layerkit.quality.rules import MinRows, NotMissing
-from layerkit.sources.tables import append
+from layerkit.sources.tables import BUCKET, KeyedTable, append
 from layerkit.streaming.upsert import run_stream
 from tests.conftest import at, rows
 
@@ -130,7 +130,7 @@ def test_crash_between_the_two_writes_is_repaired(spark, layers, landings, monke
 def test_crash_before_the_first_write_is_harmless(spark, layers, landings, monkeypatch):
     run_daily(spark, layers, landings[0], at(1))
     with monkeypatch.context() as m:
-        m.setattr(plans, "_set_pending", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        m.setattr(plans, "tracked_delta", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError, match="lost"):
             run_daily(spark, layers, landings[1], at(2))
     refresh(spark, layers)
@@ -138,6 +138,40 @@ def test_crash_before_the_first_write_is_harmless(spark, layers, landings, monke
     assert layers.clean.read(spark).filter("id = '1'").first()["brewery_type"] == "closed"
 
 
+def test_crash_while_clean_is_moved_rebuilds_it(spark, layers, landings, monkeypatch):
+    run_daily(spark, layers, landings[0], at(1))
+    moves = KeyedTable._overwrite
+
+    def crash(table, placed, replaced):
+        if table == layers.clean and replaced is not None:
+            spark.sql(f"ALTER TABLE {table.name} DROP PARTITION ({BUCKET} = {min(replaced)})")
+            raise RuntimeError("lost")
+        return moves(table, placed, replaced)
+
+    with monkeypatch.context() as m:
+        m.setattr(KeyedTable, "_overwrite", crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            run_daily(spark, layers, landings[1], at(2))
+    assert not layers.clean.is_whole(spark)
+    refresh(spark, layers)
+    assert layers.clean.is_whole(spark) and layers.agg.is_whole(spark)
+    assert rows(layers.clean.read(spark)) == rows(curate(spark.table(layers.raw), layers).select(layers.clean.read(spark).columns))
+    assert state(spark, layers)[1] == recount(spark, layers)
+
+
+def test_changed_bucket_number_asks_for_a_rebuild(spark, layers, landings):
+    run_daily(spark, layers, landings[0], at(1))
+    wider = replace(layers, clean_buckets=7)
+    with pytest.raises(ValueError, match="rebuild it"):
+        run_daily(spark, wider, landings[1], at(2))
+    before = rows(layers.clean.read(spark).select("id"))
+    rebuild_clean(spark, wider)
+    rebuild_agg(spark, wider)
+    assert len(rows(wider.clean.read(spark))) == len(before) + 1
+    run_daily(spark, wider, landings[2], at(3))
+    assert state(spark, wider)[1] == recount(spark, wider)
+
+
 def test_null_keys_can_be_dropped(spark, layers, landings):
     strict = replace(layers, drop_null_keys=True)
     run_daily(spark, strict, landings[0], at(1))

@@ -1,6 +1,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from layerkit.workload.inputs import SCHEMAS, table
 from tests.oracle import connect, difference
 
 SF = "/root/testdata/sf0.001"
@@ -21,6 +22,12 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
+def test_declared_schemas_are_those_of_the_files(spark):
+    for name in SCHEMAS:
+        found = spark.read.parquet(f"{SF}/{name}.parquet").schema
+        assert table(spark, SF, name).schema.simpleString() == found.simpleString()
+
+
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query_matches_its_oracle(spark, con, name):
     assert difference(contract.queries()[name](spark, SF), con, contract.oracle_sql()[name]) is None

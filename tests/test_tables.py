@@ -100,11 +100,12 @@ def test_only_touched_buckets_are_read_and_rewritten(spark, keyed):
     keyed.rebuild(spark.range(100).select(F.col("id").cast("string"), F.lit(1).alias("v")))
     one = keyed.slice(spark, [2])
     assert "PartitionFilters: [isnotnull(_bucket" in plan_of(one)
+    size = one.count()
     before = {r["f"] for r in spark.table(keyed.name).select(F.input_file_name().alias("f")).distinct().collect()}
     keyed.write_buckets(one.withColumn("v", F.lit(2)).repartition(BUCKET), [2])
     after = {r["f"] for r in spark.table(keyed.name).select(F.input_file_name().alias("f")).distinct().collect()}
     assert len(before & after) == 3
-    assert keyed.read(spark).filter("v = 2").count() == one.count()
+    assert keyed.read(spark).filter("v = 2").count() == size
 
 
 def test_null_keys_have_a_bucket(spark, keyed):
