@@ -133,6 +133,15 @@ def ingest(
         append(bad, layers.quarantine, replace_day)
 
 
+def ingest_frame(
+    layers: Layers, df: DataFrame, as_of: datetime, replace_day: bool = False
+) -> None:
+    """Append the rows of any frame to raw, projected to the contract."""
+    create(df.sparkSession, layers)
+    rows = add_lineage(layers.contract.project(df), layers.source, as_of)
+    append(rows, layers.raw, replace_day)
+
+
 def curate(df: DataFrame, layers: Layers) -> DataFrame:
     """Newest row per key with its text standardised."""
     contract = layers.contract

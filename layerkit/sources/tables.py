@@ -155,7 +155,7 @@ class KeyedTable:
     def rebuild(self, df: DataFrame) -> None:
         """Replace all rows; a changed schema or bucket number replaces the table's too."""
         spark = df.sparkSession
-        placed = self.with_bucket(df).repartition(BUCKET)
+        placed = gather(self.with_bucket(df), BUCKET)
         if self.exists(spark) and _types(spark.table(self.name)) != _types(placed):
             full_refresh(placed, self.name, [BUCKET])
         else:

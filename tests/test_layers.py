@@ -15,6 +15,7 @@ from layerkit.plans.layers import (
     create,
     curate,
     ingest,
+    ingest_frame,
     rebuild_agg,
     rebuild_clean,
     refresh,
@@ -178,6 +179,17 @@ def test_null_keys_can_be_dropped(spark, layers, landings):
     assert {r["id"] for r in strict.clean.read(spark).collect()} == {"1", "2"}
 
 
+def test_any_frame_can_be_ingested(spark, layers):
+    df = spark.createDataFrame([(1, "ann", 2.5, "z")], "id int, name string, latitude double, odd string")
+    for _ in range(2):
+        ingest_frame(layers, df, at(1), replace_day=True)
+    row = spark.table(layers.raw).first()
+    assert spark.table(layers.raw).count() == 1
+    assert (row["id"], row["latitude"], row["city"], row[BATCH]) == ("1", "2.5", None, "2024-01-01")
+    refresh(spark, layers)
+    assert layers.clean.read(spark).first()["name"] == "Ann"
+
+
 def test_agg_needs_clean(spark, layers):
     create(spark, layers)
     with pytest.raises(LookupError, match="rebuild_clean"):
