@@ -178,16 +178,14 @@ def merge_rows(
         touched = list(range(clean.buckets))
     if not touched:
         return
-    old, keys = clean.slice(spark, touched), [BUCKET, *clean.keys]
+    old, keys, others = clean.slice(spark, touched), [BUCKET, *clean.keys], None
     if key_bytes <= layers.broadcast_bytes and not delete_missing:
-        met, others = split_by_source(old, batch, keys)
-        merged = upsert_tracking(met, batch, keys, order, layers.groups)
-        merged = merged.persist(StorageLevel.DISK_ONLY)
-        kept = others.unionByName(merged.select(*old.columns))
-    else:
-        merged = upsert_tracking(old, batch, keys, order, layers.groups, cluster_by=BUCKET)
-        merged = merged.persist(StorageLevel.DISK_ONLY)
-        kept = merged.filter("_sighted") if delete_missing else merged
+        old, others = split_by_source(old, batch, keys)
+    merged = upsert_tracking(old, batch, keys, order, layers.groups, cluster_by=BUCKET)
+    merged = merged.persist(StorageLevel.DISK_ONLY)
+    kept = merged.filter("_sighted") if delete_missing else merged
+    if others is not None:
+        kept = others.unionByName(kept.select(*others.columns))
     try:
         delta = tracked_delta(merged, layers.groups, layers.measure, delete_missing)
         delta, moved, _ = _stage(delta, f"{agg.name}__delta", agg)
