@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from layerkit.operators.aggregate import row_counts
 from layerkit.operators.retention import expired, keep_recent, retention_report
+from layerkit.quality.evaluate import check_status
+from layerkit.quality.rules import InRange, NotMissing, Unique
 from layerkit.session import scratch_dir
 from layerkit.sources.tables import (
     BUCKET,
@@ -136,3 +138,13 @@ def test_scratch_lies_in_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     place = scratch_dir(spark, "x")
     assert place.startswith(root if root else "/tmp/run-") and place != scratch_dir(spark, "x")
+
+
+def test_checks_after_retention_equal_checks_on_the_kept_rows(spark, schema, edge):
+    rules = [NotMissing("name", ("name",)), Unique("u", ("id", "day")), InRange("lat", {"lat": (-90, 90)})]
+    name = f"{schema}.log"
+    ensure_table(spark, name, edge.schema, ["day"])
+    append(edge, name)
+    drop_batches(spark, name, "day", lambda b: b.filter(expired("day", DAY, 60)))
+    kept = keep_recent(edge, "day", DAY, 60)
+    assert rows(check_status(spark.table(name), rules, "x")) == rows(check_status(kept, rules, "x"))
