@@ -45,10 +45,18 @@ def require_table(spark: SparkSession, name: str, hint: str) -> DataFrame:
 
 def append(df: DataFrame, name: str, replace_partitions: bool = False) -> None:
     """Insert rows by column name; optionally replace the partitions they fall in."""
+    if replace_partitions:
+        _require_dynamic(df.sparkSession, name)
     columns = df.sparkSession.table(name).columns
     df.select(*columns).write.insertInto(name, overwrite=replace_partitions)
 
 
+def _require_dynamic(spark: SparkSession, name: str) -> None:
+    """Refuse a table whose overwrite would also remove the partitions not written."""
+    if get_property(spark, name, "option.partitionOverwriteMode") != "dynamic":
+        raise ValueError(f"{name} lacks the table option partitionOverwriteMode=dynamic")
+
+
 def gather(df: DataFrame, batch: str) -> DataFrame:
     """Bring the rows of a batch together before a write that spans many batches.
 
@@ -160,6 +168,7 @@ class KeyedTable:
             full_refresh(placed, self.name, [BUCKET])
         else:
             ensure_table(spark, self.name, placed.schema, [BUCKET])
+            _require_dynamic(spark, self.name)
             self._overwrite(placed, None)
         set_property(spark, self.name, BUCKETS, str(self.buckets))
         self.mark_whole(spark, True)
@@ -171,6 +180,7 @@ class KeyedTable:
         broken until it is done.
         """
         spark = placed.sparkSession
+        _require_dynamic(spark, self.name)
         self.mark_whole(spark, False)
         self._overwrite(placed, set(replaced))
         self.mark_whole(spark, True)

@@ -46,6 +46,16 @@ def test_append_goes_by_name_and_can_replace_a_batch(spark, schema, edge):
     assert counts == {"2024-01-01": 3, "2024-01-02": 2, "2023-01-01": 1, None: 1, "junk": 1}
 
 
+def test_overwrite_is_refused_where_it_would_wipe_other_partitions(spark, schema, edge):
+    name = f"{schema}.foreign"
+    edge.write.partitionBy("day").saveAsTable(name)
+    with pytest.raises(ValueError, match="partitionOverwriteMode"):
+        append(edge.filter("day = 'junk'"), name, replace_partitions=True)
+    with pytest.raises(ValueError, match="partitionOverwriteMode"):
+        KeyedTable(name, ("id",), 4).write_buckets(KeyedTable(name, ("id",), 4).with_bucket(edge), [0])
+    assert spark.table(name).count() == edge.count()
+
+
 def test_rerun_of_a_day_replaces_its_folder_only(spark, edge, folder):
     append_snapshot(gather(edge, "day"), folder, "day")
     append_snapshot(edge.filter("day = '2024-01-02'").limit(1), folder, "day", replace_batch=True)
