@@ -23,33 +23,29 @@ def latest_per_key(
     nobody uses are then not read. Spark cuts each task to one row per key
     before the shuffle (WindowGroupLimit), so a hot key costs one row per task.
     """
-    keys, order = list(keys), list(order)
-    ties = _ties(df, keys, order) if settle is None else list(settle)
-    ranking = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in [*order, *ties]])
+    keys = list(keys)
+    ranking = Window.partitionBy(*keys).orderBy(*newest_order(df, keys, order, settle))
     ranked = df.withColumn("_rank", F.row_number().over(ranking))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
-def _ties(df: DataFrame, keys: list[str], order: list[str]) -> list[str]:
-    """The other columns that can be ordered."""
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    return orderable(df, rest)
+def newest_order(
+    df: DataFrame,
+    keys: Iterable[str],
+    order: Iterable[str],
+    settle: Iterable[str] | None = None,
+) -> list[Column]:
+    """Newest rows first; ties by `settle`, by default every other column that can be ordered."""
+    known = [*keys, *order]
+    if settle is None:
+        settle = orderable(df, [c for c in df.columns if c not in known])
+    return [F.desc(c) for c in [*order, *settle]]
 
 
 def orderable(df: DataFrame, columns: Iterable[str]) -> list[str]:
     return [c for c in columns if _orderable(df.schema[c].dataType)]
 
 
-def newest(df: DataFrame, keys: Iterable[str], order: Iterable[str]) -> Column:
-    """Aggregate giving the struct of non-key columns of the newest row."""
-    keys, order = list(keys), list(order)
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    ties = _ties(df, keys, order)
-    if ties == rest:
-        return F.max(F.struct(*order, *rest))
-    return F.max_by(F.struct(*order, *rest), F.struct(*order, *ties))
-
-
 def _orderable(kind: T.DataType) -> bool:
     if isinstance(kind, T.ArrayType):
         return _orderable(kind.elementType)

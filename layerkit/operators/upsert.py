@@ -6,10 +6,10 @@ from collections.abc import Iterable
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from layerkit.operators.dedupe import latest_per_key, newest
+from layerkit.operators.dedupe import latest_per_key, newest_order
 
 
 def same_key(keys: Iterable[str], left: str = "t", right: str = "s") -> Column:
@@ -41,14 +41,15 @@ def upsert_tracking(
     keys: Iterable[str],
     order: Iterable[str],
     track: Iterable[str],
+    settle: Iterable[str] | None = None,
     cluster_by: str | None = None,
 ) -> DataFrame:
     """The ordered upsert, with what each key's row was before.
 
-    Adds `_before`, a struct of the tracked columns in the target (null for a
-    new key), and `_sighted`, whether the source holds the key. With cluster_by,
-    one of the keys, the rows meet in a single shuffle on that column and stay
-    clustered by it; reduce a source with hot keys to one row per key first.
+    Both sides must hold a key once. Adds `_before`, a struct of the tracked
+    columns in the target (null for a new key), and `_sighted`, whether the
+    source holds the key. With cluster_by, one of the keys, the rows meet in a
+    single shuffle on that column and stay clustered by it.
     """
     keys, track = list(keys), list(track)
     tracked = target.select(F.struct(*track).alias("_before")).schema["_before"].dataType
@@ -59,13 +60,16 @@ def upsert_tracking(
     )
     if cluster_by is not None:
         both = both.repartition(cluster_by)
-    merged = both.groupBy(*keys).agg(
-        newest(both.drop("_before", "_sighted"), keys, order).alias("_row"),
-        F.max("_before").alias("_before"),
-        F.bool_or("_sighted").alias("_sighted"),
+    newest_first = Window.partitionBy(*keys).orderBy(*newest_order(target, keys, order, settle))
+    other = {c: F.lead(c).over(newest_first) for c in ("_before", "_sighted")}
+    met = both.withColumns(
+        {
+            "_rank": F.row_number().over(newest_first),
+            "_before": F.coalesce("_before", other["_before"]),
+            "_sighted": F.col("_sighted") | F.coalesce(other["_sighted"], F.lit(False)),
+        }
     )
-    columns = [c if c in keys else F.col(f"_row.{c}").alias(c) for c in target.columns]
-    return merged.select(*columns, "_before", "_sighted")
+    return met.filter(F.col("_rank") == 1).drop("_rank")
 
 
 def split_by_source(

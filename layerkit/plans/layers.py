@@ -14,7 +14,6 @@ from datetime import datetime
 from functools import reduce
 from operator import add
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +21,7 @@ from layerkit import presets
 from layerkit.contract import Contract
 from layerkit.functions.text import standardize
 from layerkit.operators.aggregate import apply_delta, group_count, tracked_delta
-from layerkit.operators.dedupe import latest_per_key
+from layerkit.operators.dedupe import latest_per_key, orderable
 from layerkit.operators.incremental import load_mark, loads_after, new_rows, read_watermark
 from layerkit.operators.retention import expired
 from layerkit.operators.upsert import split_by_source, upsert_tracking
@@ -166,11 +165,11 @@ def merge_rows(
     """Upsert raw rows into clean and carry the change over to agg.
 
     A batch whose keys are few enough to broadcast leaves the rest of the
-    touched buckets in place, unshuffled; a larger one meets them in a single
-    shuffle by bucket. The count change of each group is read off the merged
-    rows before clean is overwritten. A table stays marked as broken from its
-    first to its last move, see repair. delete_missing drops keys absent from
-    rows, which must then be a full snapshot.
+    touched buckets unshuffled; a larger one meets them in a single shuffle by
+    bucket. The count change of each group is found from keys and groups alone
+    and written down before clean is overwritten. A table stays marked as broken
+    from its first to its last move, see repair. delete_missing drops keys
+    absent from rows, which must then be a full snapshot.
     """
     clean, agg, order = layers.clean, layers.agg, layers.contract.order
     batch, touched, key_bytes = _stage(curate(rows, layers), f"{clean.name}__batch", clean)
@@ -178,23 +177,41 @@ def merge_rows(
         touched = list(range(clean.buckets))
     if not touched:
         return
-    old, keys, others = clean.slice(spark, touched), [BUCKET, *clean.keys], None
+    old, others = clean.slice(spark, touched), None
     if key_bytes <= layers.broadcast_bytes and not delete_missing:
-        old, others = split_by_source(old, batch, keys)
-    merged = upsert_tracking(old, batch, keys, order, layers.groups, cluster_by=BUCKET)
-    merged = merged.persist(StorageLevel.DISK_ONLY)
+        old, others = split_by_source(old, batch, [BUCKET, *clean.keys])
+    merged = _meet(old, batch, layers, old.columns, cluster_by=BUCKET)
     kept = merged.filter("_sighted") if delete_missing else merged
+    kept = kept.select(*old.columns)
     if others is not None:
-        kept = others.unionByName(kept.select(*others.columns))
-    try:
-        delta = tracked_delta(merged, layers.groups, layers.measure, delete_missing)
-        delta, moved, _ = _stage(delta, f"{agg.name}__delta", agg)
-        agg.mark_whole(spark, False)
-        clean.write_buckets(kept, touched)
-        _apply(spark, layers, delta, moved)
-        agg.mark_whole(spark, True)
-    finally:
-        merged.unpersist()
+        kept = others.unionByName(kept)
+    slim = _meet(old, batch, layers, [BUCKET, *clean.keys, *order, *layers.groups])
+    delta = tracked_delta(slim, layers.groups, layers.measure, delete_missing)
+    delta, moved, _ = _stage(delta, f"{agg.name}__delta", agg)
+    agg.mark_whole(spark, False)
+    clean.write_buckets(kept, touched)
+    _apply(spark, layers, delta, moved)
+    agg.mark_whole(spark, True)
+
+
+def _meet(
+    old: DataFrame,
+    new: DataFrame,
+    layers: Layers,
+    columns: list[str],
+    cluster_by: str | None = None,
+) -> DataFrame:
+    """Newest row per key of some columns, tracking its group.
+
+    Ties are settled by the group columns first, so that the pass over keys and
+    groups alone finds the same groups as the one over whole rows.
+    """
+    keys, order = [BUCKET, *layers.contract.keys], layers.contract.order
+    known = [*keys, *order, *layers.groups]
+    settle = [*layers.groups, *orderable(old, [c for c in columns if c not in known])]
+    return upsert_tracking(
+        old.select(*columns), new.select(*columns), keys, order, layers.groups, settle, cluster_by
+    )
 
 
 def _stage(df: DataFrame, name: str, like: KeyedTable) -> tuple[DataFrame, list[int], int]:
