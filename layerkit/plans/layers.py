@@ -25,7 +25,7 @@ from layerkit.operators.dedupe import latest_per_key, orderable
 from layerkit.operators.incremental import load_mark, loads_after, new_rows, read_watermark
 from layerkit.operators.retention import expired
 from layerkit.operators.upsert import split_by_source, upsert_tracking
-from layerkit.quality.evaluate import check_status, error_records, verdict
+from layerkit.quality.evaluate import check_status, error_records, repeated_keys, verdict
 from layerkit.quality.log import audit_rows, ensure_log_tables, error_rows, log
 from layerkit.quality.rules import Rule
 from layerkit.sources.pages import (
@@ -301,7 +301,8 @@ def run_quality(
 ) -> bool:
     """Check all layers, log status and error records, and return the verdict.
 
-    Failing rows are looked up only for checks that failed.
+    Failing rows are looked up only for checks that failed. Repeated keys are
+    found once, for both the status and the samples.
     """
     audit, errors = ensure_log_tables(spark, layers.quality_schema)
     at = utc(as_of)
@@ -311,21 +312,27 @@ def run_quality(
         "clean": (layers.clean.read(spark), layers.clean_rules(), order),
         "agg": (layers.agg.read(spark), layers.agg_rules(), layers.groups),
     }
-    status = _union([check_status(df, rules, name) for name, (df, rules, _) in checked.items()])
-    status = status.persist()
+    repeated = {
+        name: {rule: keys.persist() for rule, keys in repeated_keys(df, rules).items()}
+        for name, (df, rules, _) in checked.items()
+    }
+    status = _union(
+        [check_status(df, rules, name, repeated=repeated[name]) for name, (df, rules, _) in checked.items()]
+    ).persist()
     try:
         log(audit_rows(status, at), audit)
         failed = {(r["layer"], r["check_name"]) for r in status.filter("not status").collect()}
         passed = verdict(status).first()["passed"]
+        samples = []
+        for name, (df, rules, by) in checked.items():
+            broken = [r for r in rules if (name, r.name) in failed]
+            if broken:
+                samples.append(error_records(df, broken, name, by, repeated=repeated[name]))
+        if samples:
+            log(error_rows(_union(samples), at), errors)
     finally:
-        status.unpersist()
-    samples = []
-    for name, (df, rules, by) in checked.items():
-        broken = [r for r in rules if (name, r.name) in failed]
-        if broken:
-            samples.append(error_records(df, broken, name, by))
-    if samples:
-        log(error_rows(_union(samples), at), errors)
+        for frame in [status, *(keys for found in repeated.values() for keys in found.values())]:
+            frame.unpersist()
     if must_pass and not passed:
         raise RuntimeError(f"quality checks failed: {sorted(failed)}")
     return passed

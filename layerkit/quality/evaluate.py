@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 from operator import or_
 
@@ -22,8 +22,17 @@ from layerkit.quality.rules import (
 )
 
 
+def repeated_keys(df: DataFrame, rules: Iterable[Rule]) -> dict[str, DataFrame]:
+    """What breaks each Unique rule. Cache it to share one count per key between status and samples."""
+    return {r.name: duplicate_keys(df, r.keys) for r in rules if isinstance(r, Unique)}
+
+
 def check_status(
-    df: DataFrame, rules: Iterable[Rule], layer: str, by: str | None = None
+    df: DataFrame,
+    rules: Iterable[Rule],
+    layer: str,
+    by: str | None = None,
+    repeated: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """One row per check: layer, check_name, status, failed_rows, total_rows.
 
@@ -43,7 +52,11 @@ def check_status(
         )
         parts.append(counted.select(*batch, F.explode(checks).alias("c"), "total_rows"))
     for rule in rules:
-        if isinstance(rule, Unique):
+        if isinstance(rule, Unique) and repeated is not None and not by:
+            total = df.agg(F.count(F.lit(1))).scalar().alias("total_rows")
+            counted = repeated[rule.name].agg(F.count(F.lit(1)).alias("_failed"))
+            parts.append(counted.select(_check(rule.name, F.col("_failed"), False).alias("c"), total))
+        elif isinstance(rule, Unique):
             keys = list(dict.fromkeys([*batch, *rule.keys]))
             sizes = df.groupBy(*keys).count()
             counted = sizes.groupBy(*batch).agg(
@@ -91,6 +104,7 @@ def error_records(
     by: str | None = None,
     limit: int = 50,
     keep_nulls: bool = True,
+    repeated: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """The first failing rows of each check as JSON: layer, check_name, error_record.
 
@@ -120,11 +134,11 @@ def error_records(
     for rule in rules:
         if isinstance(rule, Unique):
             keys = list(dict.fromkeys([*batch, *rule.keys]))
-            repeated = duplicate_keys(df, keys)
             if by:
-                cut = first_per_group(repeated, batch, keys, limit)
+                cut = first_per_group(duplicate_keys(df, keys), batch, keys, limit)
             else:
-                cut = repeated.orderBy(*keys).limit(limit)
+                known = repeated[rule.name] if repeated is not None else duplicate_keys(df, keys)
+                cut = known.orderBy(*keys).limit(limit)
             record = F.to_json(F.struct(*rule.keys, "count"), options)
             parts.append(cut.select(*batch, F.lit(rule.name).alias("check_name"), record.alias("error_record")))
         if isinstance(rule, (NoExtraColumns, HasColumns)) and not by:

@@ -5,7 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerkit import presets
-from layerkit.quality.evaluate import check_layer, check_status, error_records, verdict, verdicts
+from layerkit.quality.evaluate import (
+    check_layer,
+    check_status,
+    error_records,
+    repeated_keys,
+    verdict,
+    verdicts,
+)
 from layerkit.quality.log import audit_rows, ensure_log_tables, error_rows, log
 from layerkit.quality.monitor import check_trend, failures_with_samples, latest_failures, newest_errors
 from layerkit.quality.rules import (
@@ -63,6 +70,15 @@ def test_unique_counts_repeated_keys(edge):
     assert failed(edge, [Unique("u", ("id",)), Unique("v", ("id", "day", "ts"))]) == {"u": 2, "v": 0}
 
 
+def test_repeated_keys_can_be_shared(edge):
+    rules = [Unique("u", ("id",)), Unique("v", ("id", "day", "ts")), NotMissing("n", ("name",))]
+    shared = repeated_keys(edge, rules)
+    assert set(shared) == {"u", "v"}
+    assert rows(check_status(edge, rules, "x", repeated=shared)) == rows(check_status(edge, rules, "x"))
+    again = error_records(edge, rules, "x", ["id"], repeated=shared)
+    assert rows(again) == rows(error_records(edge, rules, "x", ["id"]))
+
+
 def test_table_rules(edge):
     rules = [
         MinRows("filled", 1),
