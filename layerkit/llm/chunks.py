@@ -24,21 +24,27 @@ def resolved(path: str) -> str:
 
 
 class Kept(dict):
-    """What `work` gives for a chunk, computed once and forgotten when `limit` chunks are kept.
+    """What `work` gives for a chunk, computed once while it stays in use.
 
-    None stands for a chunk that white space touches: its text needs to be
-    worked on whole. Values of a letter run and of the marks behind it add up.
+    When `limit` chunks are kept, they become the old ones, and those of the
+    old ones that come again move back; so common chunks stay and memory is
+    bounded. None stands for a chunk that white space touches: its text needs
+    to be worked on whole. Values of a letter run and of the marks behind it
+    add up.
     """
 
-    def __init__(self, work, limit: int = 400_000):
+    def __init__(self, work, limit: int = 600_000):
         super().__init__()
         self.work, self.limit = work, limit
+        self.old: dict = {}
 
     def __missing__(self, chunk: str):
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
-        bare = chunk.strip()
-        if not bare or bare != chunk:
+        if chunk in self.old:
+            value = self.old.pop(chunk)
+        elif not (bare := chunk.strip()) or bare != chunk:
             value = None
         else:
             word = chunk.rstrip(MARKS)
