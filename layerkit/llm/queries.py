@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from layerkit.llm.common import table
 from layerkit.llm.packing import pack
+from layerkit.llm.pieces import piece_digests
 from layerkit.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +28,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
+
+
+@query
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(table(spark, sf_dir, "documents"), "piece_bpe_32k.model")
