@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 import numpy as np
@@ -16,6 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    A cluster whose machines don't share that folder gets it by --py-files.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The frame as files in the shared checkpoint folder, its lineage cut.
 
@@ -139,6 +152,19 @@ def _state(stars: DataFrame) -> tuple:
     return row[0], row[1]
 
 
+def merge_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join, in place, the classes of a[k] and b[k]; a label is the smallest index of its class."""
+    while True:
+        left, right = labels[a], labels[b]
+        open_ = left != right
+        if not open_.any():
+            return
+        a, b, left, right = a[open_], b[open_], left[open_], right[open_]
+        np.minimum.at(labels, np.maximum(left, right), np.minimum(left, right))
+        while ((above := labels[labels]) != labels).any():
+            labels[:] = above
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Bits of each 64-bit number spread over the whole word."""
     x = x ^ (x >> np.uint64(30))
