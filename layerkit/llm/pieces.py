@@ -91,17 +91,12 @@ class Model:
         letters = "".join(re.escape(c) for c in sorted(known - {SPACE}))
         self.split = re.compile(f"[ {SPACE}]*[{letters}]+|[ {SPACE}]+|[^ {SPACE}{letters}]+")
         self.known = known - {SPACE}
-        self.kept: dict[str, bytes] = {}  # by word, or run of spaces
         self.chunks: dict[str, bytes] = {}  # by what stands between two spaces
+        self.old: dict[str, bytes] = {}  # chunks not seen since there were too many
 
     def _tables(self, pieces: list[str], words: list[int], rank: np.ndarray) -> None:
         """Sorted piece keys, the pairs that merge, and each piece's edges through its merges."""
         of = {pieces[i]: i for i in words}
-        keys = np.array([self._key(pieces[i]) for i in words], dtype=np.uint64)
-        place = np.argsort(keys)
-        self.keys, self.key_ids = keys[place], np.array(words)[place]
-        if (self.keys[1:] == self.keys[:-1]).any():
-            raise ValueError("two pieces share a key")
         pairs = {}
         for i in words:
             piece = pieces[i]
@@ -151,10 +146,24 @@ class Model:
                 table[i, : len(edge)] = edge[::-1]
                 count[i] = len(edge)
         self.time = time
-        self.whole = np.zeros(self.width, dtype=bool)
-        self.whole[list(whole)] = True
+        keys = np.array([self._key(pieces[i]) for i in sorted(whole)], dtype=np.uint64)
+        place = np.argsort(keys)
+        keys = keys[place]
+        if (keys[1:] == keys[:-1]).any():
+            raise ValueError("two pieces share a key")
+        # Where the keys of each value of the upper bits begin, and how many there are at most.
+        upper = keys >> np.uint64(64 - self.KEY_BITS)
+        self.key_from = np.searchsorted(upper, np.arange(1 << self.KEY_BITS, dtype=np.uint64))
+        self.key_most = int(np.bincount(upper.astype(np.int64)).max())
+        self.keys = np.concatenate((keys, np.zeros(self.key_most, dtype=np.uint64)))
+        self.key_ids = np.array(sorted(whole))[place]
+        self.pair_seen = np.full(1 << self.PAIR_BITS, -1, dtype=np.int64)
+        self.pair_good = np.zeros(1 << self.PAIR_BITS, dtype=bool)
 
     _BASE = np.uint64(0x9E3779B97F4A7C15)
+    MOST_KEPT = 500_000
+    KEY_BITS = 17
+    PAIR_BITS = 21
 
     def _key(self, piece: str) -> int:
         value = 0
@@ -192,6 +201,23 @@ class Model:
             live = live[~broken & (grow_p | grow_t)]
         return stays
 
+    def _stay(self, pairs: np.ndarray) -> np.ndarray:
+        """`apart` for pairs written as one number; recent answers are kept in a table of fixed size."""
+        slot = (mixed(pairs.astype(np.uint64)) >> np.uint64(64 - self.PAIR_BITS)).astype(np.int64)
+        missing = self.pair_seen[slot] != pairs
+        if missing.any():
+            new = np.unique(pairs[missing])
+            good = self.apart(new // self.width, new % self.width)
+            out = np.empty(len(pairs), dtype=bool)
+            out[~missing] = self.pair_good[slot[~missing]]
+            out[missing] = good[np.searchsorted(new, pairs[missing])]
+            slot = (mixed(new.astype(np.uint64)) >> np.uint64(64 - self.PAIR_BITS)).astype(np.int64)
+            self.pair_seen[slot] = new
+            last = self.pair_seen[slot] == new  # of those that share a slot, the one that holds it
+            self.pair_good[slot[last]] = good[last]
+            return out
+        return self.pair_good[slot]
+
     def _advance(self, codes: np.ndarray) -> list[bytes]:
         """Ids of words of one length, given as rows of code points."""
         n, length = codes.shape
@@ -206,42 +232,54 @@ class Model:
             most = min(self.longest, end)
             sizes = np.arange(1, most + 1)
             keys = sums[:, end, None] - sums[:, end - sizes] * power[sizes]
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            at = self.key_from[keys >> np.uint64(64 - self.KEY_BITS)]
             row, col = np.nonzero(self.keys[at] == keys)
-            piece = self.key_ids[at[row, col]]
-            size = sizes[col]
-            fine = self.whole[piece]
-            row, piece, size = row[fine], piece[fine], size[fine]
+            found = [(row, col, at[row, col])]
+            for step in range(1, self.key_most):
+                more = np.nonzero(self.keys[at + step] == keys)
+                found.append((*more, at[more] + step))
+            row, col, place = (np.concatenate(x) for x in zip(*found, strict=True))
+            piece, size = self.key_ids[place], sizes[col]
             before = last[row, end - size]
-            inner = np.nonzero(size < end)[0]
-            pairs, which = np.unique(before[inner] * self.width + piece[inner], return_inverse=True)
+            inner = size < end
             good = np.ones(len(piece), dtype=bool)
-            good[inner] = self.apart(pairs // self.width, pairs % self.width)[which]
+            good[inner] = self._stay(before[inner] * self.width + piece[inner])
+            row, piece, size = row[good], piece[good], size[good]
             best = np.zeros(n, dtype=np.int64)
-            np.maximum.at(best, row[good], size[good])
-            won = good & (size == best[row])
+            np.maximum.at(best, row, size)
+            won = size == best[row]
             back[row[won], end] = size[won]
             last[row[won], end] = piece[won]
-        out = []
-        for ends, steps in zip(last.tolist(), back.tolist(), strict=True):
-            ids, at = [], length
-            while at > 0:
-                ids.append(ends[at])
-                at -= steps[at]
-            out.append(np.array(ids[::-1], dtype="<u4").tobytes())
-        return out
+        # Follow the backpointers of all words at once, filling the ids from the right.
+        ids = np.zeros((n, length), dtype="<u4")
+        rows, at, begin = np.arange(n), np.full(n, length), np.full(n, length)
+        for column in range(length - 1, -1, -1):
+            ids[rows, column] = last[rows, at]
+            at = at - back[rows, at]
+            begin[rows] = column
+            going = at > 0
+            if not going.all():
+                rows, at = rows[going], at[going]
+                if not len(rows):
+                    break
+        raw = ids.tobytes()
+        return [
+            raw[4 * (k * length + first) : 4 * (k + 1) * length] for k, first in enumerate(begin.tolist())
+        ]
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode words not kept yet, those of one length together."""
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of each word; those of one length are encoded together."""
+        out: dict[str, bytes] = {}
         by_length: dict[int, list[str]] = {}
         for w in words:
             by_length.setdefault(len(w), []).append(w)
         for length, group in by_length.items():
-            step = max(1, 40_000 // length)
+            step = max(1, 200_000 // length)
             for k in range(0, len(group), step):
                 part = group[k : k + step]
-                codes = np.frombuffer("".join(part).encode("utf-32-le"), dtype="<u4").reshape(len(part), length)
-                self.kept.update(zip(part, self._advance(codes), strict=True))
+                codes = np.frombuffer("".join(part).replace(" ", SPACE).encode("utf-32-le"), dtype="<u4").reshape(len(part), length)
+                out.update(zip(part, self._advance(codes), strict=True))
+        return out
 
     def _spaces(self, n: int) -> bytes:
         """Runs of spaces have one rank, so the leftmost pair that makes a piece merges first."""
@@ -258,11 +296,15 @@ class Model:
         No piece goes over the start of a run of spaces, so what stands between
         two single spaces is encoded once and kept.
         """
-        if len(self.kept) > 400_000:
-            self.kept.clear()
-            self.chunks.clear()
         chunks = [t.split(" ") if t else [] for t in texts]
-        new = {c for parts in chunks for c in parts} - self.chunks.keys()
+        new = set().union(*chunks) - self.chunks.keys()
+        if new and self.old:
+            again = new & self.old.keys()
+            self.chunks.update((c, self.old.pop(c)) for c in again)
+            new -= again
+        if len(self.chunks) > self.MOST_KEPT:
+            self.old, self.chunks = self.chunks, {}
+            return self.encode(texts)
         if new:
             plain = [c for c in new if c and SPACE not in c]
             self.chunks.update(zip(plain, self._whole([" " + c for c in plain]), strict=True))
@@ -277,28 +319,30 @@ class Model:
     def _whole(self, texts: list[str]) -> list[bytes]:
         """Ids of texts that begin with the space put before them."""
         found = [self.split.findall(t) for t in texts]
-        words, longer = [], []
-        for part in {s for parts in found for s in parts} - self.kept.keys():
+        kept: dict[str, bytes] = {}
+        words, longer = set(), []
+        for part in set().union(*found):
             bare = part.lstrip(" " + SPACE)
             spaces = len(part) - len(bare)
             if not bare:
-                self.kept[part] = self._spaces(spaces)
+                kept[part] = self._spaces(spaces)
             elif bare[0] not in self.known:
                 raw = np.frombuffer(bare.encode("utf-8", "replace"), np.uint8)
-                self.kept[part] = self.byte[raw].astype("<u4").tobytes()
+                kept[part] = self.byte[raw].astype("<u4").tobytes()
+            elif spaces < 2:
+                words.add(part)
             else:
-                words.append(SPACE + bare if spaces else bare)
-                if spaces:
-                    longer.append((part, SPACE + bare, spaces))
-        self._learn([w for w in dict.fromkeys(words) if w not in self.kept])
+                words.add(SPACE + bare)
+                longer.append((part, SPACE + bare, spaces))
+        kept |= self._learn(words)
         one = self._spaces(1)
         for part, word, spaces in longer:
-            ids = self.kept[word]
+            ids = kept[word]
             if ids.startswith(one):
-                self.kept[part] = self._spaces(spaces) + ids[4:]
+                kept[part] = self._spaces(spaces) + ids[4:]
             else:
-                self.kept[part] = self._spaces(spaces - 1) + ids
-        return [b"".join(map(self.kept.__getitem__, parts)) for parts in found]
+                kept[part] = self._spaces(spaces - 1) + ids
+        return [kept[p[0]] if len(p) == 1 else b"".join([kept[x] for x in p]) for p in found]
 
     def decode(self, ids) -> str:
         """The text of ids; bytes that aren't UTF-8 become replacement characters."""
@@ -374,8 +418,8 @@ def piece_digests(
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             counts, sums, same = [], [], []
-            for k in range(0, len(texts), 256):
-                part = texts[k : k + 256]
+            for k in range(0, len(texts), 1024):
+                part = texts[k : k + 1024]
                 for text, ids in zip(part, pieces.encode(part), strict=True):
                     counts.append(len(ids) // 4)
                     sums.append(zlib.crc32(ids))
