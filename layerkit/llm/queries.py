@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from layerkit.llm.common import importable, table
 from layerkit.llm.packing import pack
 from layerkit.llm.pieces import piece_digests
+from layerkit.llm.quality_rules import quality_verdicts
 from layerkit.llm.simhash import simhash_components
 from layerkit.llm.substrings import removal_digests
 from layerkit.llm.token_counts import token_counts
@@ -49,3 +50,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), "piece_bpe_32k.model")
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
