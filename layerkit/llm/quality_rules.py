@@ -142,15 +142,15 @@ def fitted(
     stratum with few labels loses nothing.
     """
     known = labels.select(labels[id_col].alias(id_col), labels[good].alias("_good")).filter("_good is not null")
-    rows = counts.filter(~F.col("base_failed")).join(known, id_col).withColumn(
-        "_side", F.pmod(F.xxhash64(id_col, F.lit("holdout")), F.lit(2))
-    )
+    rows = counts.join(known, id_col).withColumn("_side", F.pmod(F.xxhash64(id_col, F.lit("holdout")), F.lit(2)))
+    # Not a filter: pushed below the counts it would make each of them several times.
+    open_ = ~F.col("base_failed")
     is_good, holdout = F.col("_good") == 1, F.col("_side") == 0
-    sums = [F.count_if(is_good & holdout).alias("n")]
+    sums = [F.count_if(open_ & is_good & holdout).alias("n")]
     tries = []
     for rule, (_, cutoffs) in RULES.items():
         for place, cutoff in enumerate(cutoffs):
-            out = _value(rule) > cutoff
+            out = open_ & (_value(rule) > cutoff)
             name = f"{rule}_{place}"
             sums += [
                 F.count_if(out & is_good & holdout).alias(f"{name}_k"),
@@ -186,7 +186,10 @@ def judged(counts: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> Data
     for rule in RULES:
         rejected = rejected | F.coalesce(_value(rule) > F.col("cutoffs")[rule], F.lit(False))
     joined = counts.join(cutoffs, counts[stratum].eqNullSafe(cutoffs["stratum"]), "left")
-    return joined.withColumn("kept", ~F.col("base_failed") & ~rejected).drop("stratum", "cutoffs")
+    # One expression over both sides, so that a filter on it stays above the join.
+    return joined.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(~rejected)).drop(
+        "stratum", "cutoffs"
+    )
 
 
 def quality_verdicts(
