@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from layerkit.llm.common import importable, table
+from layerkit.llm.embeddings import near_vectors
+from layerkit.llm.languages import language_predictions
 from layerkit.llm.packing import pack
 from layerkit.llm.pieces import piece_digests
 from layerkit.llm.quality_rules import quality_verdicts
@@ -55,3 +57,13 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_predictions(table(spark, sf_dir, "documents"))
