@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from layerkit.llm.common import importable, table
 from layerkit.llm.embeddings import near_vectors
@@ -12,9 +13,11 @@ from layerkit.llm.languages import language_predictions
 from layerkit.llm.packing import pack
 from layerkit.llm.pieces import piece_digests
 from layerkit.llm.quality_rules import quality_verdicts
+from layerkit.llm.sharding import place
 from layerkit.llm.simhash import simhash_components
 from layerkit.llm.substrings import removal_digests
 from layerkit.llm.token_counts import token_counts
+from layerkit.llm.url_filter import path_of, url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +32,35 @@ def query(fn):
     return fn
 
 
+#: The shards that documents are dealt to.
+SHARDS = [f"shard-{k:03d}" for k in range(128)]
+
+#: (verdict, host, path), fixed.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+@query
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = place(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], SHARDS)
+    return placed.select("row.doc_id", "slot", "shard")
+
+
+@query
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's path carries the number of the document it shows, whose label it gets."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    number = F.try_to_number(F.regexp_extract(path_of(F.col("url")), r"/([0-9]{1,18})(?:/|\.html)?$", 1), F.lit("9" * 18))
+    labelled = pages.select("url", number.cast("long").alias("doc_id")).join(labels, "doc_id")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    return url_verdicts(pages, URL_RULES, labelled.select("url", bad.alias("bad")))
+
+
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), size=4, radius=4)
