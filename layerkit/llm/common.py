@@ -29,21 +29,21 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The frame as files in the shared checkpoint folder, its lineage cut.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir; only a local master may fall back to a machine-local one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
 
-    The folder is the one named in spark.checkpoint.dir. Only a local master
-    may fall back to a machine-local folder.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The frame as files in the shared checkpoint folder, its lineage cut."""
+    context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local["):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -48,18 +48,20 @@ def fingerprint(text: bytes, size: int) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp) per row, fp being the fingerprint as a signed long. Null and wordless texts have 0."""
-    source = docs.select(docs[id_col].alias(id_col), docs[text_col].alias("text"))
-    schema = T.StructType([T.StructField(id_col, source.schema[0].dataType), T.StructField("fp", T.LongType())])
+    """(id, text_hash, fp) per row, fp being the fingerprint as a signed long. Null and wordless texts have 0."""
+    source = docs.select(
+        docs[id_col].alias(id_col), F.xxhash64(docs[text_col]).alias("text_hash"), docs[text_col].alias("text")
+    )
+    schema = T.StructType([*source.schema.fields[:2], T.StructField("fp", T.LongType())])
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             found = np.array(
-                [fingerprint(t, size) for t in encoded(batch.column(1).to_pylist())], dtype=np.uint64
+                [fingerprint(t, size) for t in encoded(batch.column(2).to_pylist())], dtype=np.uint64
             ).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], schema.fieldNames())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], schema.fieldNames())
 
     return source.mapInArrow(run, schema)
 
@@ -227,6 +229,18 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _classed(docs: DataFrame, size: int, radius: int, id_col: str, text_col: str, group: int) -> DataFrame:
+    """(id, text_hash, fp, component_id) per row."""
+    marked = checkpointed(fingerprints(docs, size, id_col, text_col))
+    groups = marked.groupBy("fp").agg(F.min(id_col).alias("least"))
+    found = components(links(groups.select("fp"), radius, group))
+    classes = groups.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("component")
+    )
+    named = classes.groupBy("component").agg(F.min("least").alias("component_id"))
+    return marked.join(classes.join(named, "component").select("fp", "component_id"), "fp")
+
+
 def simhash_components(
     docs: DataFrame,
     size: int = 4,
@@ -245,15 +259,29 @@ def simhash_components(
     fingerprint zero and are linked like any other. A null id gets its row but
     is no component's id. Other columns are not read.
     """
-    marked = checkpointed(fingerprints(docs, size, id_col, text_col))
-    groups = marked.groupBy("fp").agg(F.min(id_col).alias("least"))
-    found = components(links(groups.select("fp"), radius, group))
-    classes = (
-        groups.join(found.withColumnRenamed("node", "fp"), "fp", "left")
-        .select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    )
-    named = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_fp = classes.join(named, "component").select("fp", "component_id")
-    return marked.join(by_fp, "fp").select(
+    return _classed(docs, size, radius, id_col, text_col, group).select(
         id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_first(
+    docs: DataFrame, size: int = 4, radius: int = 4, id_col: str = "doc_id", text_col: str = "text", group: int = 2048
+) -> DataFrame:
+    """The row with the smallest id of each component, with all its columns.
+
+    Rows meet their verdict by id and text, so texts are shuffled once. Of
+    rows with the same id and text one stays. Rows with a null id can't be the
+    first of a component; they stay only where none of its rows has an id.
+    """
+    marked = _classed(docs, size, radius, id_col, text_col, group)
+    first = (
+        marked.filter(F.col(id_col).eqNullSafe(F.col("component_id")))
+        .select(F.struct(id_col, "text_hash").alias("key"))
+        .distinct()
+    )
+    packed = docs.select(
+        F.struct(docs[id_col].alias(id_col), F.xxhash64(docs[text_col]).alias("text_hash")).alias("key"),
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+    )
+    kept = packed.join(first, "key", "left_semi").dropDuplicates(["key"])
+    return kept.select(*[F.col(f"row.`{c}`") for c in docs.columns])

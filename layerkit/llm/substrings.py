@@ -9,7 +9,7 @@ never built whole:
    anchor; equal windows have equal anchors at equal places, so only suffixes
    whose anchor occurs twice in the corpus can reach a deep inner node.
 2. Those suffixes are dealt by the words at their anchor. Groups of one anchor
-   have at most `group` occurrences; suffixes of a more frequent anchor are
+   have at most `group` occurrences, what a task's memory holds; suffixes of a more frequent anchor are
    dealt by a longer prefix, the whole window, as 128-bit hashes counted
    before they are shuffled.
 3. A task takes groups that fit into its memory and grows their subtrees level
@@ -310,7 +310,7 @@ def _merged(spans, n: int) -> np.ndarray:
     return np.cumsum(change[:n]) > 0
 
 
-def repeated_passages(docs: DataFrame, window: int = 35, text_col: str = "text", shingle: int = 8, group: int = 10_000) -> DataFrame:
+def repeated_passages(docs: DataFrame, window: int = 35, text_col: str = "text", shingle: int = 8, group: int = 30_000) -> DataFrame:
     """Per distinct text: k1, k2, text, spans (array of start and stop word places).
 
     Spans cover the windows of `window` words that start at another place of
@@ -318,7 +318,7 @@ def repeated_passages(docs: DataFrame, window: int = 35, text_col: str = "text",
     one span. Each span is a maximal repeat as seen from one group, so spans
     may overlap. See the module for the method. `shingle` is the length of an
     anchor, at most `window`; `group` bounds the occurrences of an anchor that
-    one subtree gets.
+    one subtree gets: 30,000 of about 50 words are the words that a task holds.
     """
     shingle = min(shingle, window)
     source = docs.select(docs[text_col].alias("text"))
