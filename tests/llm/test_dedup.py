@@ -1,0 +1,267 @@
+"""Near-duplicates, repeated passages and near vectors against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+
+from layerkit.llm import embeddings, simhash, substrings
+from layerkit.llm.common import Forest, components, merge_labels
+from layerkit.llm.queries import QUERIES
+from tests.conftest import rows
+
+SF = "/root/testdata/sf0.001"
+
+
+def classes(pairs):
+    forest = Forest()
+    for a, b in pairs:
+        forest.join(a, b)
+    return {x: forest.root(x) for x in list(forest.parent)}
+
+
+@pytest.mark.parametrize("shape", ["chain", "star", "random", "none"])
+def test_components(spark, shape):
+    random.seed(11)
+    edges = {
+        "chain": [(i, i + 1) for i in range(-30, 60)],
+        "star": [(500, i) for i in range(100)],
+        "random": [(random.randrange(200), random.randrange(200)) for _ in range(120)],
+        "none": [],
+    }[shape]
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(7)
+    got = {r.node: r.component for r in components(frame).collect()}
+    assert got == {x: y for x, y in classes((a, b) for a, b in edges if a != b).items()}
+
+
+def test_merge_labels():
+    random.seed(2)
+    pairs = [(random.randrange(80), random.randrange(80)) for _ in range(60)]
+    labels = np.arange(80)
+    merge_labels(labels, *np.array(pairs).T)
+    want = classes(pairs)
+    assert labels.tolist() == [want.get(i, i) for i in range(80)]
+
+
+def plain_fingerprint(text, size):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    grams = [b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))]
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_simhash(pairs, size, radius):
+    prints = [plain_fingerprint(t, size) for _, t in pairs]
+    near = [
+        (i, j)
+        for i in range(len(pairs))
+        for j in range(i + 1, len(pairs))
+        if (prints[i] ^ prints[j]).bit_count() <= radius
+    ]
+    root = classes(near)
+    least = {}
+    for i, (d, _) in enumerate(pairs):
+        if d is not None:
+            k = root.get(i, i)
+            least[k] = min(d, least.get(k, d))
+    return sorted(((d, f"{prints[i]:016x}", least.get(root.get(i, i))) for i, (d, _) in enumerate(pairs)), key=repr)
+
+
+def pairs_of(df):
+    return [(r[0], r[1]) for r in df.select("doc_id", "text").collect()]
+
+
+@pytest.mark.parametrize("radius", [1, 2, 4, 7])
+def test_bit_slices_link_like_all_pairs(radius):
+    random.seed(radius)
+    base = [random.getrandbits(64) for _ in range(60)]
+    values = base + [
+        b ^ sum(1 << k for k in random.sample(range(64), random.randint(1, 8))) for b in base for _ in range(4)
+    ]
+    values = np.unique(np.array(values, dtype=np.uint64))
+    groups = [values[:70], values[70:71], values[71:]]
+    want = classes(
+        (a, b) for g in groups for i, a in enumerate(g.tolist()) for b in g.tolist()[i + 1 :] if (a ^ b).bit_count() <= radius
+    )
+    a, b = simhash.forest_of(groups, radius, most=50)
+    assert classes(zip(a.tolist(), b.tolist(), strict=True)) == want
+
+
+@pytest.mark.parametrize("group", [2, 8, 2048])
+def test_links_lose_nothing(spark, group):
+    random.seed(group)
+    base = [random.getrandbits(64) for _ in range(40)]
+    values = {b ^ sum(1 << k for k in random.sample(range(64), random.randint(0, 7))) for b in base for _ in range(5)}
+    values |= {base[0] ^ (1 << i) ^ (1 << j) for i in range(12) for j in range(i)}
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    found = simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long"), 4, group)
+    got = classes((r.a, r.b) for r in found.collect())
+    mask = (1 << 64) - 1
+    want = classes((a, b) for a in signed for b in signed if a < b and ((a ^ b) & mask).bit_count() <= 4)
+    assert got == want
+
+
+def test_simhash_of_odd_rows(odd, nothing):
+    assert rows(simhash.simhash_components(odd, 4, 4)) == plain_simhash(pairs_of(odd), 4, 4)
+    assert simhash.simhash_components(nothing).count() == 0
+
+
+def test_simhash_query(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert rows(QUERIES["op3_simhash"](spark, SF)) == plain_simhash(pairs_of(docs), 4, 4)
+
+
+def test_keep_first(odd, nothing):
+    kept = simhash.keep_first(odd)
+    assert kept.columns == odd.columns
+    # 1 twice, and the wordless 2, 3, 4, give one row each; the row without an id is alone in its class.
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 5, 6, 7, 8]
+    assert simhash.keep_first(nothing).count() == 0
+
+
+def plain_removal(pairs, window):
+    seen = Counter()
+    words = [(t or "").encode().split() for _, t in pairs]
+    for w in words:
+        seen.update(tuple(w[i : i + window]) for i in range(len(w) - window + 1))
+    out = []
+    for (d, _), w in zip(pairs, words, strict=True):
+        gone = set()
+        for i in range(len(w) - window + 1):
+            if seen[tuple(w[i : i + window])] > 1:
+                gone.update(range(i, i + window))
+        kept = b" ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((d, len(w), len(gone), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.fixture(scope="module")
+def shared(spark):
+    random.seed(3)
+    vocabulary = [f"wö{i}" for i in range(40)]
+    docs = [random.choices(vocabulary, k=random.randint(0, 120)) for _ in range(80)]
+    for _ in range(50):
+        a, b = random.choice(docs), random.choice(docs)
+        if len(a) > 20:
+            i, j = random.randrange(len(a) - 10), random.randrange(len(b) + 1)
+            b[j:j] = a[i : i + random.randint(5, 60)]
+    docs += [["be"] * 90, [], ["be"] * 10, *[docs[3]] * 5, *[docs[60]] * 2]
+    made = [(i, random.choice([" ", " \n", "\t"]).join(d)) for i, d in enumerate(docs)]
+    return spark.createDataFrame([*made, (None, "x y"), (999, None), made[3]], "doc_id long, text string").cache()
+
+
+@pytest.mark.parametrize(
+    ("window", "options"),
+    [(12, {}), (12, {"group": 2}), (35, {}), (17, {"shingle": 17}), (3, {}), (2, {"group": 1}), (1, {})],
+)
+def test_removal_is_that_of_all_windows(shared, window, options):
+    assert rows(substrings.removal_digests(shared, window, **options)) == plain_removal(pairs_of(shared), window)
+
+
+def test_removal_of_odd_rows(odd, nothing):
+    assert rows(substrings.removal_digests(odd, 5)) == plain_removal(pairs_of(odd), 5)
+    assert substrings.removal_digests(nothing).count() == 0
+
+
+def test_removal_query(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert rows(QUERIES["op4_substring_dedup"](spark, SF)) == plain_removal(pairs_of(docs), 35)
+
+
+def test_removed_texts(shared, odd, nothing):
+    got = {(r.doc_id, hashlib.sha256(r.text.encode()).hexdigest()) for r in substrings.remove_repeats(shared, 12, drop_empty=False).collect() if r.text}
+    changed = {(d, h) for d, _, gone, h in plain_removal(pairs_of(shared), 12) if gone}
+    empty = hashlib.sha256(b"").hexdigest()
+    assert {x for x in changed if x[1] != empty} <= got
+    untouched = {d for d, _, gone, _ in plain_removal(pairs_of(shared), 12) if not gone}
+    texts = dict(pairs_of(shared))
+    after = dict(pairs_of(substrings.remove_repeats(shared, 12)))
+    assert all(after[d] == texts[d] for d in untouched)
+    assert set(texts) - set(after) == {d for d, n, gone, _ in plain_removal(pairs_of(shared), 12) if n and n == gone}
+    assert substrings.remove_repeats(odd, 5).columns == odd.columns
+    assert substrings.remove_repeats(nothing, 5).count() == 0
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 5, 8, 12, 17])
+def test_deep_leaves(depth):
+    random.seed(depth)
+    symbols = np.array([random.randrange(3) for _ in range(300)])
+    leaves = np.arange(0, 300 - depth + 1)
+    count = Counter(tuple(symbols[i : i + depth]) for i in leaves)
+    got = substrings.deep_leaves(symbols, leaves, depth)
+    assert got.tolist() == [count[tuple(symbols[i : i + depth])] > 1 for i in leaves]
+
+
+def test_walk_visits_what_the_bound_allows_in_order():
+    random_ = np.random.default_rng(1)
+    for _ in range(200):
+        a, b = random_.random(random_.integers(1, 9)), random_.random(random_.integers(1, 9))
+        radius = random_.random() * 1.2
+        a[random_.integers(len(a))] = b[random_.integers(len(b))] = 0
+        got = embeddings.walk(a, b, radius)
+        want = {(i, j) for i in range(len(a)) for j in range(len(b)) if a[i] + b[j] <= radius**2}
+        costs = [a[i] + b[j] for i, j in got]
+        assert len(got) == len(want) and set(got) == want and costs == sorted(costs)
+
+
+def plain_near(found, least):
+    ok, units = [], []
+    for k, (_, vec, label) in enumerate(found):
+        if vec and label is not None and all(x is not None and np.isfinite(x) for x in vec) and any(vec):
+            unit = np.array(vec, dtype=float)
+            ok.append(k)
+            units.append(unit / np.sqrt((unit**2).sum()))
+    links = [
+        (a, b)
+        for i, a in enumerate(ok)
+        for j, b in enumerate(ok)
+        if i < j and found[a][2] == found[b][2] and len(units[i]) == len(units[j]) and units[i] @ units[j] >= least
+    ]
+    n, root = Counter(x for p in links for x in p), classes(links)
+    least_id = {}
+    for k, r in root.items():
+        least_id[r] = min(found[k][0], least_id.get(r, found[k][0]))
+    out = []
+    for k, (d, _, _) in enumerate(found):
+        c = least_id.get(root.get(k), d)
+        out.append((d, n[k], c, d == c))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize(("words", "group"), [(1, 4096), (6, 5), (40, 3)])
+def test_near_vectors(spark, words, group):
+    random_ = np.random.default_rng(words)
+    base = random_.normal(size=(20, 16))
+    found = []
+    for k in range(300):
+        vec = base[k % 20] + random_.normal(size=16) * random_.choice([0, 0.02, 0.1, 0.15])
+        found.append((k, [float(np.float32(x)) for x in vec], int(k % 3)))
+    found += [
+        (900, None, 1),
+        (901, [0.0] * 16, 1),
+        (902, [float("nan")] + [1.0] * 15, 1),
+        (903, [None] + [1.0] * 15, 1),
+        (904, found[0][1], None),
+        (905, [float("inf")] + [1.0] * 15, 1),
+        (906, [], 1),
+        (907, [1.0, 2.0], 1),
+        (908, [2 * x for x in found[7][1]], found[7][2]),
+    ]
+    frame = spark.createDataFrame(found, "vec_id long, embedding array<float>, label int")
+    frame = frame.selectExpr("*", "1 as id", "'x' as vec", "2 as copies")
+    got = embeddings.near_vectors(frame, words=words, group=group)
+    assert rows(got) == plain_near(found, 0.98)
+    assert sum(r.n_links for r in got.collect()) > 100
+    assert embeddings.near_vectors(frame.filter("false")).count() == 0
+
+
+def test_near_vector_query(spark):
+    found = [(r[0], list(r[1]), r[2]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
+    assert rows(QUERIES["op6_embedding_near_dedup"](spark, SF)) == plain_near(found, 0.98)
