@@ -37,13 +37,14 @@ def features(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
     know where words begin and end. Rows are square roots of counts, scaled to
     length one.
     """
-    codes = np.frombuffer(" ".join(["", *(t.lower() for t in texts), ""]).encode("utf-32-le", "replace"), dtype="<u4")
+    lower = [t.lower() for t in texts]
+    codes = np.frombuffer("  ".join(["", *lower, ""]).encode("utf-32-le", "replace"), dtype="<u4")
     codes = codes.astype(np.uint64)
     is_letter = letters()[codes]
     codes = np.where(is_letter, codes, np.uint64(32))
-    sizes = np.array([len(t.lower()) + 1 for t in texts])
+    sizes = np.array([len(t) + 2 for t in lower])
     row = np.repeat(np.arange(len(texts)), sizes)
-    # The gram that starts at the space before a text belongs to it.
+    # The two spaces before a text belong to it; those of the next one end its last grams.
     counts = np.zeros(len(texts) * width, dtype=np.int64)
     for n in (2, 3):
         grams = np.zeros(len(codes) - n + 1, dtype=np.uint64)
