@@ -159,23 +159,23 @@ def fit(
                 rows, has_letter = features(texts[low:high], width)
                 keep = pa.array(np.nonzero(has_letter)[0] + low)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(keep), pa.array(list(rows[has_letter]), pa.list_(pa.float32()))],
+                    [batch.column(0).take(keep), pa.array([r.tobytes() for r in rows[has_letter]], pa.binary())],
                     ["label", "row"],
                 )
 
-    sample = picked.select("label", "text").mapInArrow(made, "label string, row array<float>").collect()
+    sample = picked.select("label", "text").mapInArrow(made, "label string, row binary").collect()
     if not sample:
         return Model([], np.zeros((0, 1)), np.zeros((width, 1)), np.zeros(1), width)
-    sample.sort(key=lambda r: (r.label, r.row))
+    sample.sort(key=lambda r: (r.label, bytes(r.row)))
     labels = sorted({r.label for r in sample})
-    rows = np.array([r.row for r in sample], dtype=np.float64)
+    rows = np.frombuffer(b"".join(bytes(r.row) for r in sample), np.float32).reshape(len(sample), width)
     codes = codewords(len(labels))
     target = codes[[labels.index(r.label) for r in sample]]
     # Every label weighs the same, however many texts it has.
     counts = np.unique([labels.index(r.label) for r in sample], return_counts=True)[1]
     weight = np.sqrt(1 / counts[[labels.index(r.label) for r in sample]])
-    full = np.hstack((rows, np.ones((len(rows), 1)))) * weight[:, None]
-    kernel = full @ full.T
+    full = np.hstack((rows, np.ones((len(rows), 1), np.float32))) * weight[:, None].astype(np.float32)
+    kernel = (full @ full.T).astype(np.float64)
     kernel[np.diag_indices_from(kernel)] += ridge / len(labels) / 100
     solved = full.T @ np.linalg.solve(kernel, target * weight[:, None])
     return Model(labels, codes, solved[:-1], solved[-1], width)
