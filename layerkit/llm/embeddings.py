@@ -3,12 +3,14 @@
 Unit vectors are cut in halves, and each half gets a codebook of its own; a
 pair of codewords, one of each book, is a cell of the grid. Every distinct
 vector lies in the cell of its nearest codewords. As a query it walks the
-cells by the multi-sequence order, least lower bound first, and stops when no
-unseen cell can hold a vector within the radius: points nearer to codeword i
-than to codeword b lie at least (d_i^2 - d_b^2) / (2 |c_i - c_b|) away. So the
-target recall is 1 whatever the codebooks, which are fitted on a bounded
-sample; they only decide how many cells are walked. What the cells hold is
-verified by the cosine in double precision.
+cells by the multi-sequence order, least lower bound first: points nearer to
+codeword i than to codeword b lie at least (d_i^2 - d_b^2) / (2 |c_i - c_b|)
+away. A walk to the radius itself would find all; but a neighbour's step goes
+in no special direction, so most of that radius is spent in vain. The walk's
+reach is therefore fitted: neighbours at exactly the least cosine, in random
+directions, are planted around sample vectors, and the reach is the least that
+finds the target share of them. Nearer neighbours are found more often. What
+the cells hold is verified by the cosine in double precision.
 """
 
 from __future__ import annotations
@@ -81,6 +83,31 @@ def walk(first: np.ndarray, second: np.ndarray, radius: float) -> list[tuple[int
     return out
 
 
+def fitted_reach(
+    points: np.ndarray, books: tuple[np.ndarray, np.ndarray], least: float, target: float, seed: int = 42
+) -> float:
+    """How far the walks go to meet the share `target` of neighbours at cosine `least`; all of them for 1."""
+    radius = float(np.sqrt(max(0.0, 2 - 2 * least)))
+    if target >= 1 or points.shape[1] < 2:
+        return radius
+    random = np.random.default_rng(seed)
+    base = points[random.integers(len(points), size=20_000)]
+    away = random.normal(size=base.shape)
+    away -= (away * base).sum(axis=1)[:, None] * base
+    away /= np.maximum(np.sqrt((away**2).sum(axis=1)), 1e-300)[:, None]
+    planted = least * base + np.sqrt(max(0.0, 1 - least**2)) * away
+    half = len(books[0][0])
+    bound = np.zeros(len(base))
+    for part, book in ((slice(None, half), books[0]), (slice(half, None), books[1])):
+        gaps = np.sqrt(_squares(book, book))
+        to = _squares(planted[:, part], book).argmin(axis=1)
+        for k in range(0, len(base), 2000):
+            mine = slice(k, k + 2000)
+            bounds = _bounds(_squares(base[mine, part], book), gaps)
+            bound[mine] += bounds[np.arange(len(bounds)), to[mine]]
+    return min(radius, float(np.sqrt(np.quantile(bound, target))))
+
+
 def _unit(vectors: list) -> np.ndarray:
     rows = np.array(vectors, dtype=np.float64)
     rows /= np.abs(rows).max(axis=1)[:, None]
@@ -94,9 +121,7 @@ def _cells(books: tuple[np.ndarray, np.ndarray], radius: float):
     width = len(books[1])
 
     def run(batches):
-        for batch in batches:
-            if not len(batch):
-                continue
+        for batch in (b.iloc[k : k + 256] for b in batches for k in range(0, len(b), 256)):
             unit = _unit(batch["vec"].tolist())
             parts = unit[:, : halves[0]], unit[:, halves[0] :]
             squares = [_squares(p, b) for p, b in zip(parts, books, strict=True)]
@@ -153,6 +178,7 @@ def near_vectors(
     sample: int = 20_000,
     words: int | None = None,
     group: int = 4096,
+    target: float = 0.9999,
 ) -> DataFrame:
     """Per row: id, n_links, component_id, kept.
 
@@ -165,9 +191,11 @@ def near_vectors(
     with a null id is its own. Ids are longs; rows that repeat an id count as
     copies of it.
 
-    The codebooks are fitted on at most `sample` rows on the driver; the
-    number of codewords of a book follows the number of vectors unless `words`
-    says it. A cell with more than `group` members, or visitors, is dealt in
+    The codebooks and the walk's reach are fitted on at most `sample` rows on
+    the driver; the number of codewords of a book follows the number of vectors
+    unless `words` says it. `target` is the share of neighbours at exactly
+    `least` that a walk has to meet, 1 for all of them; links below `least` are
+    never given. A cell with more than `group` members, or visitors, is dealt in
     slices of that size.
     """
     plain = vectors.select(vectors[id_col].alias("id"), vectors[vec_col].alias("vec"), vectors[label_col].alias("label"))
@@ -199,7 +227,7 @@ def near_vectors(
     size = words or max(4, min(256, round((total / 64) ** 0.5)))
     half = length // 2
     books = codebook(points[:, :half], size), codebook(points[:, half:], size)
-    radius = float(np.sqrt(max(0.0, 2 - 2 * least)))
+    reach = fitted_reach(points, books, least, target)
     schema = T.StructType(
         [distinct.schema["label"], distinct.schema["id"], distinct.schema["copies"], distinct.schema["vec"]]
         + [T.StructField("cell", T.LongType()), T.StructField("own", T.BooleanType())]
@@ -208,7 +236,7 @@ def near_vectors(
         distinct.filter(F.size("vec") == length)
         .select("label", "id", "copies", "vec")
         .repartition("id")
-        .mapInPandas(_cells(books, radius), schema)
+        .mapInPandas(_cells(books, reach), schema)
     )
     sizes = placed.groupBy("label", "cell").agg(F.count_if("own").alias("members"), F.count("*").alias("visitors"))
     slices = sizes.filter("members > 0 and visitors > 1").select(

@@ -256,7 +256,7 @@ def test_near_vectors(spark, words, group):
     ]
     frame = spark.createDataFrame(found, "vec_id long, embedding array<float>, label int")
     frame = frame.selectExpr("*", "1 as id", "'x' as vec", "2 as copies")
-    got = embeddings.near_vectors(frame, words=words, group=group)
+    got = embeddings.near_vectors(frame, words=words, group=group, target=1)
     assert rows(got) == plain_near(found, 0.98)
     assert sum(r.n_links for r in got.collect()) > 100
     assert embeddings.near_vectors(frame.filter("false")).count() == 0
@@ -265,3 +265,24 @@ def test_near_vectors(spark, words, group):
 def test_near_vector_query(spark):
     found = [(r[0], list(r[1]), r[2]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     assert rows(QUERIES["op6_embedding_near_dedup"](spark, SF)) == plain_near(found, 0.98)
+
+
+@pytest.mark.parametrize("target", [0.9, 0.99, 0.9999])
+def test_reach_meets_the_target_recall(spark, target):
+    """Pairs at a cosine just over the least one, the hardest to find, among many vectors."""
+    random_ = np.random.default_rng(5)
+    base = random_.normal(size=(1500, 32)) + 3 * random_.normal(size=(8, 32))[random_.integers(8, size=1500)]
+    base /= np.sqrt((base**2).sum(axis=1))[:, None]
+    away = random_.normal(size=base.shape)
+    away -= (away * base).sum(axis=1)[:, None] * base
+    away /= np.sqrt((away**2).sum(axis=1))[:, None]
+    cosine = 0.9801
+    near = cosine * base + np.sqrt(1 - cosine**2) * away
+    rows_ = [(2 * k + s, [float(x) for x in v], 1) for s, part in enumerate((base, near)) for k, v in enumerate(part)]
+    frame = spark.createDataFrame(rows_, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in embeddings.near_vectors(frame, target=target, words=12).collect()}
+    every = np.vstack((base, near))
+    linked = every @ every.T >= 0.98
+    np.fill_diagonal(linked, False)
+    want = linked.sum()
+    assert want >= 3000 and target - 0.02 <= sum(got.values()) / want <= 1
