@@ -16,14 +16,16 @@ from layerkit.session import configure
 from layerkit.streaming.upsert import run_stream
 
 TASKS = {
-    "ingest": lambda s, l, a: plans.ingest(s, l, a.landing, a.as_of),
+    "ingest": lambda s, l, a: plans.ingest(s, l, a.landing, a.as_of, replace_day=a.replace_day),
     "rebuild-clean": lambda s, l, a: plans.rebuild_clean(s, l),
     "rebuild-agg": lambda s, l, a: plans.rebuild_agg(s, l),
     "refresh": lambda s, l, a: plans.refresh(s, l, delete_missing=a.full_snapshots),
     "quality": lambda s, l, a: plans.run_quality(s, l, a.as_of, a.must_pass),
     "expire": lambda s, l, a: plans.expire_raw(s, l, a.as_of),
-    "daily": lambda s, l, a: plans.run_daily(s, l, a.landing, a.as_of, delete_missing=a.full_snapshots),
-    "weekly": lambda s, l, a: plans.run_weekly(s, l, a.landing, a.as_of, a.must_pass),
+    "daily": lambda s, l, a: plans.run_daily(
+        s, l, a.landing, a.as_of, a.replace_day, delete_missing=a.full_snapshots
+    ),
+    "weekly": lambda s, l, a: plans.run_weekly(s, l, a.landing, a.as_of, a.must_pass, a.replace_day),
     "stream": lambda s, l, a: run_stream(s, l, a.checkpoint),
 }
 
@@ -39,6 +41,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--clean-buckets", type=int, default=16)
     parser.add_argument("--agg-buckets", type=int, default=4)
     parser.add_argument("--full-snapshots", action="store_true", help="drop keys a load no longer has")
+    parser.add_argument("--replace-day", action="store_true", help="put the load in place of its day's loads")
     parser.add_argument("--must-pass", action="store_true", help="fail the task when a check fails")
     args = parser.parse_args(argv)
     if args.task in ("ingest", "daily", "weekly") and not args.landing:
@@ -56,6 +59,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
         source=args.source,
         clean_buckets=args.clean_buckets,
         agg_buckets=args.agg_buckets,
+        full_snapshots=args.full_snapshots,
     )
     return TASKS[args.task](spark, layers, args)
 

@@ -59,6 +59,7 @@ def duplicate_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     return df.groupBy(*keys).count().filter(F.col("count") > 1)
 
 
-def distinct_batches(df: DataFrame, column: str, limit: int = 50) -> DataFrame:
-    """The first batch values in order."""
-    return df.select(column).distinct().orderBy(column).limit(limit)
+def distinct_batches(df: DataFrame, column: str, limit: int | None = None) -> DataFrame:
+    """The batch values in order, or the first of them where only a look is wanted."""
+    values = df.select(column).distinct().orderBy(column)
+    return values if limit is None else values.limit(limit)

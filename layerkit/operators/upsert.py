@@ -75,12 +75,9 @@ def upsert_tracking(
 def split_by_source(
     target: DataFrame, source: DataFrame, keys: Iterable[str]
 ) -> tuple[DataFrame, DataFrame]:
-    """Target rows whose key the source holds, and all others, without shuffling the target.
-
-    Broadcasts the source's keys: the caller must have checked their size.
-    """
+    """Target rows whose key the source holds, and all others; Spark picks the joins by the source's size."""
     keys = list(keys)
-    present = F.broadcast(source.select(*keys)).alias("s")
+    present = source.select(*keys).alias("s")
     rows = target.alias("t")
     return rows.join(present, same_key(keys), "left_semi"), rows.join(present, same_key(keys), "left_anti")
 

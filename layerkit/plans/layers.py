@@ -11,8 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
-from functools import reduce
-from operator import add
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +18,9 @@ from pyspark.sql import functions as F
 from layerkit import presets
 from layerkit.contract import Contract
 from layerkit.functions.text import standardize
-from layerkit.operators.aggregate import apply_delta, group_count, tracked_delta
+from layerkit.operators.aggregate import apply_delta, group_count, row_counts, tracked_delta
 from layerkit.operators.dedupe import latest_per_key, orderable
-from layerkit.operators.incremental import load_mark, loads_after, new_rows, read_watermark
+from layerkit.operators.incremental import new_rows, read_watermark
 from layerkit.operators.retention import expired
 from layerkit.operators.upsert import split_by_source, upsert_tracking
 from layerkit.quality.evaluate import check_status, error_records, repeated_keys, verdict
@@ -44,12 +42,16 @@ from layerkit.sources.tables import (
     drop_batches,
     ensure_schema,
     ensure_table,
+    full_refresh,
+    get_property,
     require_table,
+    set_property,
 )
 
 BATCH = "_ingestion_date"
 MOMENT = "_ingestion_ts"
-KEY_OVERHEAD = 32  # bytes a key takes in memory beside its text
+CUT = "layerkit.cut"  # property of raw: retention has dropped batches
+REPLACED = "layerkit.replaced"  # property of clean: days whose raw rows were replaced after it was built
 
 
 @dataclass(frozen=True)
@@ -70,7 +72,8 @@ class Layers:
     drop_null_keys: bool = False
     clean_buckets: int = 16
     agg_buckets: int = 4
-    broadcast_bytes: int = 32 << 20  # most key bytes of a batch that are broadcast
+    full_snapshots: bool = False  # every load holds all keys, so raw alone can rebuild clean
+    sample_rows: int = 50  # failing rows logged per check
 
     def table(self, layer: str) -> str:
         return self.names.get(layer, f"{self.schema}.{layer}")
@@ -91,6 +94,11 @@ class Layers:
     def agg(self) -> KeyedTable:
         return KeyedTable(self.table("agg"), self.groups, self.agg_buckets)
 
+    @property
+    def loads(self) -> str:
+        """The batches of raw that clean holds: their rows and newest moment when they were merged."""
+        return f"{self.table('clean')}__loads"
+
     @property
     def quality_schema(self) -> str:
         """Where dq_audit and dq_errors live."""
@@ -120,9 +128,12 @@ def ingest(
     """Append landed pages to raw; broken pages go to the quarantine table.
 
     The broken pages are counted while the good records are written, so the
-    landing folder is read again only when there are some.
+    landing folder is read again only when there are some. A load that raw
+    already has is refused; replace_day puts this one in place of all loads of
+    its day, and clean is rebuilt by the next refresh.
     """
     create(spark, layers)
+    _admit(spark, layers, as_of, replace_day)
     pages = load_pages(spark, landing, layers.contract, page_per_line)
     seen = Observation()
     watched = pages.observe(seen, F.count(CORRUPT).alias("broken"))
@@ -135,23 +146,102 @@ def ingest(
 def ingest_frame(
     layers: Layers, df: DataFrame, as_of: datetime, replace_day: bool = False
 ) -> None:
-    """Append the rows of any frame to raw, projected to the contract."""
+    """Append the rows of any frame to raw, projected to the contract, by the rules of `ingest`."""
     create(df.sparkSession, layers)
+    _admit(df.sparkSession, layers, as_of, replace_day)
     rows = add_lineage(layers.contract.project(df), layers.source, as_of)
     append(rows, layers.raw, replace_day)
 
 
+def _admit(spark: SparkSession, layers: Layers, as_of: datetime, replace_day: bool) -> None:
+    """Refuse a load that raw has, or note that its day is being replaced."""
+    moment = utc(as_of)
+    day = moment.strftime("%Y-%m-%d")
+    of_day = spark.table(layers.raw).filter(F.col(BATCH) == day)
+    if replace_day:
+        if layers.clean.exists(spark) and not of_day.isEmpty():
+            days = {*_replaced(spark, layers), day}
+            set_property(spark, layers.clean.name, REPLACED, ",".join(sorted(days)))
+        return
+    same = (F.col(MOMENT) == F.lit(moment)) & (F.col("_source") == layers.source)
+    if not of_day.filter(same).isEmpty():
+        raise ValueError(f"{layers.raw} already has a load of {layers.source} as of {moment}: use replace_day")
+
+
+def _replaced(spark: SparkSession, layers: Layers) -> list[str]:
+    return [d for d in (get_property(spark, layers.clean.name, REPLACED) or "").split(",") if d]
+
+
 def curate(df: DataFrame, layers: Layers) -> DataFrame:
-    """Newest row per key with its text standardised."""
+    """Newest standardised row per key; ties are settled the way merge_rows settles them."""
     contract = layers.contract
-    rows = df.select(*contract.raw_schema.names)
+    rows = standardize(df.select(*contract.raw_schema.names), layers.text_forms)
     if layers.drop_null_keys:
         rows = rows.dropna(subset=list(contract.keys))
-    return standardize(latest_per_key(rows, contract.keys, contract.order), layers.text_forms)
+    return latest_per_key(rows, contract.keys, contract.order, _settle(layers, rows))
+
+
+def _settle(layers: Layers, df: DataFrame) -> list[str]:
+    """What settles rows of a key with the same order columns: the groups first, then the rest.
+
+    With the groups first, a pass over keys and groups alone finds the same
+    groups as one over whole rows, and any split into merges gives the rows
+    that a rebuild gives.
+    """
+    known = [*layers.contract.keys, *layers.contract.order, *layers.groups]
+    rest = [c for c in layers.contract.raw_schema.names if c in df.columns and c not in known]
+    return [*layers.groups, *orderable(df, rest)]
 
 
 def rebuild_clean(spark: SparkSession, layers: Layers) -> None:
-    layers.clean.rebuild(curate(spark.table(layers.raw), layers))
+    """Clean from the whole of raw.
+
+    Where retention has cut raw, the rows that clean has stay in the running,
+    save those of days replaced since; they are written down before clean is
+    overwritten, so a crash loses none. If there is no whole clean to take them
+    from, this raises; with full_snapshots raw alone is enough.
+    """
+    rows, clean, kept = spark.table(layers.raw), layers.clean, f"{layers.clean.name}__rebuilt"
+    if get_property(spark, layers.raw, CUT) == "true" and not layers.full_snapshots:
+        if not spark.catalog.tableExists(kept):
+            if not clean.exists(spark) or not clean.is_whole(spark):
+                raise RuntimeError(f"{clean.name} is not whole and {layers.raw} no longer has all loads")
+            had = clean.read(spark).select(*rows.columns)
+            replaced = F.coalesce(F.col(BATCH).isin(_replaced(spark, layers)), F.lit(False))
+            union = rows.unionByName(had.filter(~replaced))
+            curate(union, layers).write.saveAsTable(kept)
+        curated = spark.table(kept)
+    else:
+        curated = curate(rows, layers)
+    if layers.agg.exists(spark):
+        layers.agg.mark_whole(spark, False)
+    clean.rebuild(curated)
+    set_property(spark, clean.name, REPLACED, "")
+    full_refresh(_load_stats(rows), layers.loads)
+    spark.sql(f"DROP TABLE IF EXISTS {kept}")
+    spark.sql(f"DROP TABLE IF EXISTS {clean.name}__merged")
+
+
+def start_clean(spark: SparkSession, layers: Layers) -> None:
+    """An empty clean table that holds no batch yet."""
+    nothing = spark.table(layers.raw).limit(0)
+    layers.clean.rebuild(curate(nothing, layers))
+    full_refresh(_load_stats(nothing), layers.loads)
+
+
+def _load_stats(rows: DataFrame) -> DataFrame:
+    """Rows and newest moment of each batch of raw; reads one narrow column."""
+    return rows.groupBy(BATCH).agg(F.count(F.lit(1)).alias("row_count"), F.max(MOMENT).alias("newest"))
+
+
+def unmerged(spark: SparkSession, layers: Layers) -> DataFrame:
+    """The batches of raw that clean doesn't hold as they are now: new, late or grown ones."""
+    stats = _load_stats(spark.table(layers.raw))
+    if not spark.catalog.tableExists(layers.loads):
+        return stats
+    known = spark.table(layers.loads)
+    same = [stats[c].eqNullSafe(known[c]) for c in stats.columns]
+    return stats.join(known, same, "left_anti")
 
 
 def rebuild_agg(spark: SparkSession, layers: Layers) -> None:
@@ -164,34 +254,38 @@ def merge_rows(
 ) -> None:
     """Upsert raw rows into clean and carry the change over to agg.
 
-    A batch whose keys are few enough to broadcast leaves the rest of the
-    touched buckets unshuffled; a larger one meets them in a single shuffle by
-    bucket. The count change of each group is found from keys and groups alone
-    and written down before clean is overwritten. A table stays marked as broken
-    from its first to its last move, see repair. delete_missing drops keys
-    absent from rows, which must then be a full snapshot.
+    The count change of each group is found from keys and groups alone and
+    written down before clean is overwritten; where raw has been cut, so are the
+    merged rows. A table stays marked as broken from its first to its last move,
+    see repair. delete_missing drops keys absent from rows, which must then be a
+    full snapshot.
     """
     clean, agg, order = layers.clean, layers.agg, layers.contract.order
-    batch, touched, key_bytes = _stage(curate(rows, layers), f"{clean.name}__batch", clean)
+    staged = [f"{clean.name}__batch", f"{agg.name}__delta", f"{clean.name}__merged"]
+    batch, touched = _stage(curate(rows, layers), staged[0], clean)
     if delete_missing:
         touched = list(range(clean.buckets))
-    if not touched:
-        return
-    old, others = clean.slice(spark, touched), None
-    if key_bytes <= layers.broadcast_bytes and not delete_missing:
-        old, others = split_by_source(old, batch, [BUCKET, *clean.keys])
-    merged = _meet(old, batch, layers, old.columns, cluster_by=BUCKET)
-    kept = merged.filter("_sighted") if delete_missing else merged
-    kept = kept.select(*old.columns)
-    if others is not None:
-        kept = others.unionByName(kept)
-    slim = _meet(old, batch, layers, [BUCKET, *clean.keys, *order, *layers.groups])
-    delta = tracked_delta(slim, layers.groups, layers.measure, delete_missing)
-    delta, moved, _ = _stage(delta, f"{agg.name}__delta", agg)
-    agg.mark_whole(spark, False)
-    clean.write_buckets(kept, touched)
-    _apply(spark, layers, delta, moved)
-    agg.mark_whole(spark, True)
+    if touched:
+        old, others = clean.slice(spark, touched), None
+        if not delete_missing:
+            old, others = split_by_source(old, batch, [BUCKET, *clean.keys])
+        merged = _meet(old, batch, layers, old.columns, cluster_by=BUCKET)
+        kept = merged.filter("_sighted") if delete_missing else merged
+        kept = kept.select(*old.columns)
+        if others is not None:
+            kept = others.unionByName(kept)
+        slim = _meet(old, batch, layers, [BUCKET, *clean.keys, *order, *layers.groups])
+        delta = tracked_delta(slim, layers.groups, layers.measure, delete_missing)
+        delta, moved = _stage(delta, staged[1], agg)
+        if get_property(spark, layers.raw, CUT) == "true":
+            kept.write.mode("overwrite").saveAsTable(staged[2])
+            kept = spark.table(staged[2])
+        agg.mark_whole(spark, False)
+        clean.write_buckets(kept, touched)
+        _apply(spark, layers, delta, moved)
+        agg.mark_whole(spark, True)
+    for name in staged:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def _meet(
@@ -201,34 +295,23 @@ def _meet(
     columns: list[str],
     cluster_by: str | None = None,
 ) -> DataFrame:
-    """Newest row per key of some columns, tracking its group.
-
-    Ties are settled by the group columns first, so that the pass over keys and
-    groups alone finds the same groups as the one over whole rows.
-    """
+    """Newest row per key of some columns, tracking its group."""
     keys, order = [BUCKET, *layers.contract.keys], layers.contract.order
-    known = [*keys, *order, *layers.groups]
-    settle = [*layers.groups, *orderable(old, [c for c in columns if c not in known])]
+    settle = _settle(layers, old.select(*columns))
     return upsert_tracking(
         old.select(*columns), new.select(*columns), keys, order, layers.groups, settle, cluster_by
     )
 
 
-def _stage(df: DataFrame, name: str, like: KeyedTable) -> tuple[DataFrame, list[int], int]:
+def _stage(df: DataFrame, name: str, like: KeyedTable) -> tuple[DataFrame, list[int]]:
     """Write an intermediate result once and go on from there.
 
-    Also gives the buckets it falls in, at most one integer per bucket, and the
-    size of its keys.
+    Also gives the buckets it falls in, at most one integer per bucket.
     """
     seen = Observation()
-    width = reduce(add, [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in like.keys])
-    placed = like.with_bucket(df).observe(
-        seen,
-        F.collect_set(BUCKET).alias("buckets"),
-        F.coalesce(F.sum(width + KEY_OVERHEAD), F.lit(0)).alias("key_bytes"),
-    )
+    placed = like.with_bucket(df).observe(seen, F.collect_set(BUCKET).alias("buckets"))
     placed.write.mode("overwrite").saveAsTable(name)
-    return df.sparkSession.table(name), sorted(seen.get["buckets"]), seen.get["key_bytes"]
+    return df.sparkSession.table(name), sorted(seen.get["buckets"])
 
 
 def _apply(spark: SparkSession, layers: Layers, delta: DataFrame, touched: list[int]) -> None:
@@ -246,29 +329,53 @@ def refresh(
 ) -> None:
     """Bring clean and agg up to date with raw, reading only what is not yet merged.
 
-    since="load" takes the loads after the newest one in clean, "day" takes that
-    load's whole day again, "next_day" only later days. With delete_missing the
-    newest batch is taken as a full snapshot.
+    since="load" takes the batches that are new, late or have grown since they
+    were merged, "day" the newest merged batch and later ones, "next_day" only
+    later ones. With delete_missing the newest batch is taken as a full
+    snapshot.
     """
     if repair(spark, layers):
         return
     log_rows = spark.table(layers.raw)
+    stats = unmerged(spark, layers).collect()  # one row per batch not merged yet
     if delete_missing:
         newest = read_watermark(batches(spark, layers.raw, BATCH), BATCH)
         fresh = log_rows.filter(F.col(BATCH) == newest)
     elif since == "load":
-        fresh = loads_after(log_rows, BATCH, MOMENT, load_mark(layers.clean.read(spark), BATCH, MOMENT))
+        names = [r[BATCH] for r in stats if r[BATCH] is not None]
+        undated = F.lit(any(r[BATCH] is None for r in stats)) & F.col(BATCH).isNull()
+        fresh = log_rows.filter(F.col(BATCH).isin(names) | undated)
     elif since in ("day", "next_day"):
-        mark = read_watermark(layers.clean.read(spark), BATCH)
-        fresh = new_rows(log_rows, BATCH, mark, strict_day=since == "next_day")
+        fresh = new_rows(log_rows, BATCH, read_watermark(spark.table(layers.loads), BATCH), strict_day=since == "next_day")
     else:
         raise ValueError(f"since must be load, day or next_day, not {since!r}")
+    if since == "load" and not stats and not delete_missing:
+        return
     merge_rows(spark, layers, fresh, delete_missing)
+    if since == "load" or delete_missing:
+        _remember(spark, layers, stats)
+
+
+def _remember(spark: SparkSession, layers: Layers, stats: list) -> None:
+    """Write down what the merged batches held."""
+    known = spark.table(layers.loads)
+    fresh = spark.createDataFrame(stats, known.schema)
+    full_refresh(known.join(fresh, known[BATCH].eqNullSafe(fresh[BATCH]), "left_anti").unionByName(fresh), layers.loads)
 
 
 def repair(spark: SparkSession, layers: Layers) -> bool:
-    """Build what is absent or was left broken by a crash; True if clean is new from raw."""
-    renew = not layers.clean.exists(spark) or not layers.clean.is_whole(spark)
+    """Build what is absent, was left broken by a crash, or lost a replaced day; True if clean is new from raw."""
+    clean, merged = layers.clean, f"{layers.clean.name}__merged"
+    if clean.exists(spark) and not clean.is_whole(spark) and spark.catalog.tableExists(merged):
+        rows = spark.table(merged)
+        clean.write_buckets(rows, [r[BUCKET] for r in rows.select(BUCKET).distinct().collect()])
+        spark.sql(f"DROP TABLE {merged}")
+    renew = (
+        not clean.exists(spark)
+        or not clean.is_whole(spark)
+        or bool(_replaced(spark, layers))
+        or not spark.catalog.tableExists(layers.loads)
+    )
     if renew:
         rebuild_clean(spark, layers)
     if renew or not layers.agg.exists(spark) or not layers.agg.is_whole(spark):
@@ -277,18 +384,23 @@ def repair(spark: SparkSession, layers: Layers) -> bool:
 
 
 def run_daily(
-    spark: SparkSession, layers: Layers, landing: str, as_of: datetime, **options
+    spark: SparkSession, layers: Layers, landing: str, as_of: datetime, replace_day: bool = False, **options
 ) -> None:
-    """Ingest, then merge the new rows into clean and agg."""
-    ingest(spark, layers, landing, as_of)
+    """Ingest, then merge the new rows into clean and agg. Run a day again with replace_day."""
+    ingest(spark, layers, landing, as_of, replace_day=replace_day)
     refresh(spark, layers, **options)
 
 
 def run_weekly(
-    spark: SparkSession, layers: Layers, landing: str, as_of: datetime, must_pass: bool = False
+    spark: SparkSession,
+    layers: Layers,
+    landing: str,
+    as_of: datetime,
+    must_pass: bool = False,
+    replace_day: bool = False,
 ) -> bool:
     """Ingest, rebuild clean and agg, check quality, expire old raw batches."""
-    ingest(spark, layers, landing, as_of)
+    ingest(spark, layers, landing, as_of, replace_day=replace_day)
     rebuild_clean(spark, layers)
     rebuild_agg(spark, layers)
     passed = run_quality(spark, layers, as_of, must_pass)
@@ -320,14 +432,14 @@ def run_quality(
         [check_status(df, rules, name, repeated=repeated[name]) for name, (df, rules, _) in checked.items()]
     ).persist()
     try:
-        log(audit_rows(status, at), audit)
+        log(audit_rows(status, at, layers.sample_rows), audit)
         failed = {(r["layer"], r["check_name"]) for r in status.filter("not status").collect()}
         passed = verdict(status).first()["passed"]
         samples = []
         for name, (df, rules, by) in checked.items():
             broken = [r for r in rules if (name, r.name) in failed]
             if broken:
-                samples.append(error_records(df, broken, name, by, repeated=repeated[name]))
+                samples.append(error_records(df, broken, name, by, limit=layers.sample_rows, repeated=repeated[name]))
         if samples:
             log(error_rows(_union(samples), at), errors)
     finally:
@@ -338,12 +450,15 @@ def run_quality(
     return passed
 
 
-def expire_raw(spark: SparkSession, layers: Layers, as_of: datetime) -> list[str]:
-    """Drop raw batches past the retention age and say which."""
+def expire_raw(spark: SparkSession, layers: Layers, as_of: datetime) -> dict[str, int]:
+    """Drop raw batches past the retention age; gives the rows that each of them had."""
     day = utc(as_of).date()
-    return drop_batches(
-        spark, layers.raw, BATCH, lambda b: b.filter(expired(BATCH, day, layers.retention_days))
-    )
+    late = expired(BATCH, day, layers.retention_days)
+    counts = {r[BATCH]: r["row_count"] for r in row_counts(spark.table(layers.raw).filter(late), BATCH).collect()}
+    if counts or not batches(spark, layers.raw, BATCH).filter(late).isEmpty():
+        set_property(spark, layers.raw, CUT, "true")
+    dropped = drop_batches(spark, layers.raw, BATCH, lambda b: b.filter(late))
+    return {name: counts.get(name, 0) for name in dropped}
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -38,14 +38,20 @@ def ensure_log_tables(spark: SparkSession, schema: str) -> tuple[str, str]:
     return audit, errors
 
 
-def audit_rows(status: DataFrame, at: datetime | Column) -> DataFrame:
-    """Status rows in the audit layout; details hold the two counts as JSON."""
+def audit_rows(status: DataFrame, at: datetime | Column, sample: int | None = None) -> DataFrame:
+    """Status rows in the audit layout; details hold the two counts as JSON.
+
+    Where only `sample` failing rows are logged, and there are more, the details
+    say so as logged_rows.
+    """
+    cut = F.when(F.col("failed_rows") > F.lit(sample), F.lit(sample)).cast("bigint")
+    counts = ["failed_rows", "total_rows", *([cut.alias("logged_rows")] if sample is not None else [])]
     return status.select(
         "layer",
         "check_name",
         "status",
         _moment(at).alias("timestamp"),
-        F.to_json(F.struct("failed_rows", "total_rows")).alias("details"),
+        F.to_json(F.struct(*counts)).alias("details"),
     )
 
 

@@ -7,6 +7,7 @@ tasks are done, and may read the table it writes. One writer per table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
@@ -25,19 +26,30 @@ def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -
 
 
 def ensure_table(
-    spark: SparkSession, name: str, schema: T.StructType, partition_by: Iterable[str] = ()
+    spark: SparkSession,
+    name: str,
+    schema: T.StructType,
+    partition_by: Iterable[str] = (),
+    path: str | None = None,
 ) -> None:
-    """Create an empty Parquet table unless it is there."""
+    """Create a Parquet table unless it is there: empty, or over the files of a folder."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     by = ", ".join(f"`{c}`" for c in partition_by)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
         "OPTIONS ('partitionOverwriteMode' = 'dynamic')" + (f" PARTITIONED BY ({by})" if by else "")
+        + (f" LOCATION '{quoted(path)}'" if path else "")
     )
 
 
+def quoted(text: str) -> str:
+    """Text as it stands between single quotes in SQL."""
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def require_table(spark: SparkSession, name: str, hint: str) -> DataFrame:
     """The table, or an error that says what to run first."""
+    finish_refresh(spark, name)
     if not spark.catalog.tableExists(name):
         raise LookupError(f"table {name} not found: {hint}")
     return spark.table(name)
@@ -84,27 +96,71 @@ def scan_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 def full_refresh(df: DataFrame, name: str, partition_by: Iterable[str] = ()) -> None:
     """Replace a table with new contents and their schema.
 
-    The rows are written to a staging table first: the plan may read the table
-    it replaces, and a failed job leaves the old table untouched.
+    The rows are written once, into a new folder, so the plan may read the
+    table it replaces and a failed job leaves the old table as it was. Then the
+    catalog is pointed at them: first under the name with `__next`, then under
+    the name itself. A run that breaks off between the two is finished by
+    `finish_refresh`, which every refresh and guard calls.
     """
     spark = df.sparkSession
-    staged = f"{name}__staged"
-    df.write.mode("overwrite").saveAsTable(staged)
-    (
-        spark.table(staged)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .saveAsTable(name)
-    )
-    spark.sql(f"DROP TABLE {staged}")
+    finish_refresh(spark, name)
+    by = list(partition_by)
+    path = f"{_schema_folder(spark, name)}/{name.rpartition('.')[2]}__{uuid.uuid4().hex}"
+    df.write.partitionBy(*by).parquet(path)
+    _register(spark, f"{name}__next", df.schema, by, path)
+    _point(spark, name, df.schema, by, path)
+
+
+def finish_refresh(spark: SparkSession, name: str) -> None:
+    """Finish a full refresh that wrote all its rows but broke off while the catalog changed."""
+    waiting = f"{name}__next"
+    if spark.catalog.tableExists(waiting):
+        _point(spark, name, spark.table(waiting).schema, _partition_columns(spark, waiting), _folder(spark, waiting))
+
+
+def _point(spark: SparkSession, name: str, schema: T.StructType, by: list[str], path: str) -> None:
+    """Let the name stand for the folder; the folder it stood for goes."""
+    old = _folder(spark, name) if spark.catalog.tableExists(name) else path
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _register(spark, name, schema, by, path)
+    if old != path:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(old)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    spark.sql(f"DROP TABLE IF EXISTS {name}__next")
+
+
+def _register(spark: SparkSession, name: str, schema: T.StructType, by: list[str], path: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    ensure_table(spark, name, schema, by, path)
+    if by:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
+def _described(spark: SparkSession, what: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE {what}").collect()
+    return {row[0]: row[1] for row in rows}
+
+
+def _schema_folder(spark: SparkSession, name: str) -> str:
+    schema = name.rpartition(".")[0] or spark.catalog.currentDatabase()
+    return _described(spark, f"SCHEMA {schema}")["Location"].rstrip("/")
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return _described(spark, f"TABLE EXTENDED {name}")["Location"]
+
+
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
 def batches(spark: SparkSession, name: str, batch: str) -> DataFrame:
     """The batches of a table partitioned by batch, from the catalog: no file is opened."""
     value = F.regexp_extract("partition", f"^{batch}=(.*)$", 1)
     listed = spark.sql(f"SHOW PARTITIONS {name}").select(value.alias(batch))
-    return listed.filter(F.col(batch) != "__HIVE_DEFAULT_PARTITION__")
+    named = listed.filter(F.col(batch) != "__HIVE_DEFAULT_PARTITION__")
+    # Folder names escape some characters as %XX, and no others.
+    return named.select(F.try_url_decode(F.replace(batch, F.lit("+"), F.lit("%2B"))).alias(batch))
 
 
 def drop_batches(
@@ -113,9 +169,13 @@ def drop_batches(
     """Drop whole batch partitions chosen by `doomed`; no row is read or rewritten.
 
     The list of batches comes from the catalog and holds one value per batch.
+    Raises if one that should have gone is still there.
     """
     values = sorted(row[batch] for row in doomed(batches(spark, name, batch)).collect())
-    _drop_partitions(spark, name, [f"{batch} = '{value}'" for value in values])
+    _drop_partitions(spark, name, [f"{batch} = '{quoted(value)}'" for value in values])
+    left = {row[batch] for row in batches(spark, name, batch).collect()} & set(values) if values else set()
+    if left:
+        raise RuntimeError(f"{name} still holds the batches {sorted(left)}")
     return values
 
 
@@ -138,6 +198,7 @@ class KeyedTable:
     buckets: int = 16
 
     def exists(self, spark: SparkSession) -> bool:
+        finish_refresh(spark, self.name)
         return spark.catalog.tableExists(self.name)
 
     def read(self, spark: SparkSession) -> DataFrame:
@@ -164,6 +225,8 @@ class KeyedTable:
         """Replace all rows; a changed schema or bucket number replaces the table's too."""
         spark = df.sparkSession
         placed = gather(self.with_bucket(df), BUCKET)
+        if self.exists(spark):
+            self.mark_whole(spark, False)
         if self.exists(spark) and _types(spark.table(self.name)) != _types(placed):
             full_refresh(placed, self.name, [BUCKET])
         else:

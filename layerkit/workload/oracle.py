@@ -61,11 +61,15 @@ def title(column: str) -> str:
     return f"array_to_string({words}, ' ')"
 
 
-def standard(column: str) -> str:
+def form_of(column: str) -> str:
     form = presets.TEXT_FORMS.get(column)
     if form == "title":
-        return f"{title(column)} AS {column}"
-    return f"{form}({column}) AS {column}" if form in ("upper", "lower") else column
+        return title(column)
+    return f"{form}({column})" if form in ("upper", "lower") else column
+
+
+def standard(column: str) -> str:
+    return f"{form_of(column)} AS {column}"
 
 
 STANDARD = ", ".join(standard(c) for c in [*FIELDS, "_source", "_ingestion_ts", "_ingestion_date"])

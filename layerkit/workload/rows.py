@@ -158,7 +158,7 @@ def dedup_batch(spark, sf):
     return plain(curated(new_rows(raw(spark, sf), BATCH, CUT, strict_day=True)))
 
 
-@query(f"WITH {RAW} SELECT DISTINCT _ingestion_date FROM raw ORDER BY 1 NULLS FIRST LIMIT 50", name="distinct_batches")
+@query(f"WITH {RAW} SELECT DISTINCT _ingestion_date FROM raw", name="distinct_batches")
 def first_batches(spark, sf):
     return distinct_batches(raw(spark, sf), BATCH)
 

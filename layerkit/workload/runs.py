@@ -11,7 +11,7 @@ from layerkit.contract import Contract
 from layerkit.operators.aggregate import group_count
 from layerkit.plans.layers import Layers, create, refresh, run_daily, run_weekly
 from layerkit.session import scratch_dir, scratch_schema
-from layerkit.sources.pages import CORRUPT, load_pages
+from layerkit.sources.pages import CORRUPT, add_lineage, load_pages
 from layerkit.sources.tables import (
     KeyedTable,
     append,
@@ -32,7 +32,7 @@ from layerkit.workload.inputs import (
     sightings,
     table,
 )
-from layerkit.workload.oracle import AGG, CLEAN, COUNTS, FIELDS, RAW, RAW_COLUMNS, RECORDS, curated
+from layerkit.workload.oracle import AGG, CLEAN, COUNTS, FIELDS, RAW, RAW_COLUMNS, RECORDS, curated, form_of
 from layerkit.workload.registry import query
 
 PAGE = 200  # records per response body
@@ -118,14 +118,15 @@ def replay_daily(spark, sf) -> Layers:
     return layers
 
 
-# Within a load all rows share their load time, so the remaining columns settle which is newest.
+# Within a load all rows share their load time, so the other standardised columns settle which is newest, groups first.
 LOADED = f"""{RECORDS}, raw AS (
   SELECT {", ".join(FIELDS)}, 'orders' AS _source,
          CASE {" ".join(f"WHEN year(o_orderdate) <= {last} THEN TIMESTAMP '{at}'" for _, last, at in DROPS)}
          END AS _ingestion_ts
   FROM records),
 loaded AS (SELECT *, strftime(_ingestion_ts, '%Y-%m-%d') AS _ingestion_date FROM raw)"""
-SETTLED = ", ".join(f"{c} DESC NULLS LAST" for c in ["_ingestion_ts", *FIELDS[1:], "_source"])
+REST = [c for c in [*FIELDS[1:], "_source"] if c not in presets.GROUPS]
+SETTLED = ", ".join(f"{form_of(c)} DESC NULLS LAST" for c in ["_ingestion_ts", *presets.GROUPS, *REST])
 REPLAYED = f"{LOADED},{curated('clean', 'loaded', order=SETTLED)}"
 
 
@@ -139,6 +140,53 @@ def daily_run_agg(spark, sf):
     return replay_daily(spark, sf).agg.read(spark)
 
 
+@query(f"WITH {REPLAYED} SELECT {RAW_COLUMNS} FROM clean")
+def daily_rerun(spark, sf):
+    """The daily runs, the second day first with other records and then again as it should be."""
+    layers = new_layers(spark, "rerun")
+    for k, (first, last, as_of) in enumerate(DROPS):
+        if k == 1:
+            run_daily(spark, layers, land(spark, sf, 1900, 1995), as_of)
+        run_daily(spark, layers, land(spark, sf, first, last), as_of, replace_day=k == 1)
+    return plain(layers.clean.read(spark))
+
+
+@query(f"WITH {REPLAYED} {COUNTS} FROM clean GROUP BY ALL")
+def backfill_merge(spark, sf):
+    """The same loads, the oldest one ingested last."""
+    layers = new_layers(spark, "backfill")
+    for first, last, as_of in [*DROPS[1:], DROPS[0]]:
+        run_daily(spark, layers, land(spark, sf, first, last), as_of)
+    return layers.agg.read(spark)
+
+
+@query(f"WITH {REPLAYED} SELECT {RAW_COLUMNS} FROM clean")
+def same_moment_loads(spark, sf):
+    """Each load in two parts of one moment, from two sources, merged one by one."""
+    layers = new_layers(spark, "moment")
+    create(spark, layers)
+    for first, last, as_of in DROPS:
+        pages = load_pages(spark, land(spark, sf, first, last), presets.CONTRACT).drop(CORRUPT)
+        rows = add_lineage(pages, "orders", as_of)
+        odd = F.coalesce(F.pmod(F.xxhash64("id"), F.lit(2)) == 1, F.lit(False))
+        for part in (rows.filter(odd), rows.filter(~odd)):
+            append(part, layers.raw)
+            refresh(spark, layers)
+    return plain(layers.clean.read(spark))
+
+
+@query(f"WITH {REPLAYED} SELECT {RAW_COLUMNS} FROM clean")
+def stream_equals_rebuild(spark, sf):
+    """The loads as a stream of files: keys repeat inside a load and over micro-batches."""
+    layers = new_layers(spark, "ties")
+    create(spark, layers)
+    for first, last, as_of in DROPS:
+        pages = load_pages(spark, land(spark, sf, first, last), presets.CONTRACT).drop(CORRUPT)
+        append(add_lineage(pages, "orders", as_of).repartition(3), layers.raw)
+    run_stream(spark, layers, scratch_dir(spark, "stream"), files_per_batch=2)
+    return plain(layers.clean.read(spark))
+
+
 def replay_weekly(spark, sf) -> Layers:
     """The same loads, the last one by the weekly run two months on."""
     layers = new_layers(spark, "weekly")
@@ -179,7 +227,7 @@ def replay_stream(spark, sf) -> Layers:
     layers = new_layers(spark, "stream")
     create(spark, layers)
     append(gather(raw(spark, sf), BATCH), layers.raw)
-    run_stream(spark, layers, scratch_dir(spark, "stream"), files_per_batch=40, timeout=1200)
+    run_stream(spark, layers, scratch_dir(spark, "stream"), files_per_batch=40)
     return layers
 
 

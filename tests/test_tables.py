@@ -6,11 +6,13 @@ from layerkit.operators.retention import expired, keep_recent, retention_report
 from layerkit.quality.evaluate import check_status
 from layerkit.quality.rules import InRange, NotMissing, Unique
 from layerkit.session import scratch_dir
+from layerkit.sources import tables
 from layerkit.sources.tables import (
     BUCKET,
     KeyedTable,
     append,
     append_snapshot,
+    batches,
     drop_batches,
     ensure_schema,
     ensure_table,
@@ -158,3 +160,35 @@ def test_checks_after_retention_equal_checks_on_the_kept_rows(spark, schema, edg
     drop_batches(spark, name, "day", lambda b: b.filter(expired("day", DAY, 60)))
     kept = keep_recent(edge, "day", DAY, 60)
     assert rows(check_status(spark.table(name), rules, "x")) == rows(check_status(kept, rules, "x"))
+
+
+def test_a_refresh_that_cannot_write_leaves_the_old_table(spark, schema, edge):
+    name = f"{schema}.t"
+    full_refresh(edge, name)
+    with pytest.raises(Exception, match="nowhere"):
+        full_refresh(edge.limit(1), name, ["nowhere"])
+    assert spark.table(name).count() == edge.count()
+
+
+def test_a_refresh_that_broke_off_in_the_catalog_is_finished(spark, schema, edge, monkeypatch):
+    name = f"{schema}.t"
+    full_refresh(edge, name)
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_point", lambda spark, name, *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            full_refresh(edge.filter("id = 'a'"), name, ["id"])
+    spark.sql(f"DROP TABLE {name}")  # the worst moment
+    assert require_table(spark, name, "").count() == 3
+    assert spark.table(name).columns[-1] == "id"
+    assert not spark.catalog.tableExists(f"{name}__next")
+
+
+def test_batches_with_odd_names_are_dropped(spark, schema, edge):
+    name = f"{schema}.odd"
+    days = ["2024-01-01 10:00", "it's", "a+b%20c", "back\\slash", "keep"]
+    frame = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "v int, day string")
+    ensure_table(spark, name, frame.schema, ["day"])
+    append(frame, name)
+    assert {r["day"] for r in batches(spark, name, "day").collect()} == set(days)
+    assert drop_batches(spark, name, "day", lambda b: b.filter("day != 'keep'")) == sorted(days[:-1])
+    assert rows(spark.table(name)) == [(4, "keep")]
