@@ -25,6 +25,7 @@ RULES = {
     "long_words": ("word_chars / n_words", [20.0, 16.0, 14.0, 12.0, 10.0]),
     "short_words": ("- word_chars / n_words", [-1.5, -2.0, -2.5, -3.0, -3.5]),
 }
+FEW = 10_000
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -181,7 +182,14 @@ def fitted(
 
 
 def judged(counts: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
-    """`counts` with the column kept: not failed by the base rules nor by a rule of its stratum."""
+    """`counts` with the column kept: not failed by the base rules nor by a rule of its stratum.
+
+    A stratum has cutoffs only if it has about 1 / alpha labelled documents or
+    more, so there are few; up to `FEW` of them are broadcast, else Spark picks
+    the join.
+    """
+    if cutoffs.count() <= FEW:
+        cutoffs = F.broadcast(cutoffs)
     rejected = F.lit(False)
     for rule in RULES:
         rejected = rejected | F.coalesce(_value(rule) > F.col("cutoffs")[rule], F.lit(False))
@@ -210,7 +218,7 @@ def quality_verdicts(
     source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), docs[stratum_col].alias("lang"))
     counts = checkpointed(with_counts(source, "text").drop("text"))
     known = labels.withColumnRenamed(id_col, "doc_id")
-    rows = judged(counts, fitted(counts, known, **options))
+    rows = judged(counts, checkpointed(fitted(counts, known, **options)))
     return rows.select(F.col("doc_id").alias(id_col), *COUNTS, "base_failed", "kept")
 
 

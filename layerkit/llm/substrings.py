@@ -239,50 +239,47 @@ def deep_leaves(symbols: np.ndarray, leaves: np.ndarray, depth: int) -> np.ndarr
 def _repeated_rows(window: int, most_words: int = 1_500_000):
     """Subtrees of the groups that a task gets, a memory's worth at a time; gives runs of repeated suffixes."""
 
-    def grown(frame: pd.DataFrame) -> pd.DataFrame:
-        parts = [w.split() for w in frame["words"]]
-        lengths = np.array([len(p) for p in parts])
-        numbers: dict[bytes, int] = {}
-        symbols = np.fromiter(
-            (numbers.setdefault(w, len(numbers)) for p in parts for w in p), np.int64, int(lengths.sum())
-        )
+    def grown(held: list[tuple[pd.DataFrame, np.ndarray, np.ndarray]]) -> pd.DataFrame:
+        frame = pd.concat([f for f, _, _ in held])
+        symbols = np.concatenate([x for _, x, _ in held])
+        lengths = np.concatenate([x for _, _, x in held])
         n = frame["n"].to_numpy()
         first = np.cumsum(lengths) - lengths
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         deep = deep_leaves(symbols, np.repeat(first, n) + step, window)
         row = np.repeat(np.arange(len(frame)), n)[deep]
         place = step[deep]
-        begin = np.concatenate(([True], (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1))) if len(row) else deep[:0]
+        begin = np.ones(len(row), dtype=bool)
+        begin[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)
         begin = np.nonzero(begin)[0]
         run = np.diff(np.append(begin, len(row)))
         rows = row[begin]
-        return pd.DataFrame(
-            {
-                "k1": frame["k1"].to_numpy()[rows],
-                "k2": frame["k2"].to_numpy()[rows],
-                "start": frame["start"].to_numpy()[rows] + place[begin],
-                "stop": frame["start"].to_numpy()[rows] + place[begin] + run - 1 + window,
-            }
-        ).astype({"start": "int32", "stop": "int32"})
+        start = frame["start"].to_numpy()[rows] + place[begin]
+        found = {"k1": frame["k1"].to_numpy()[rows], "k2": frame["k2"].to_numpy()[rows]}
+        return pd.DataFrame(found | {"start": start, "stop": start + run - 1 + window}).astype(
+            {"start": "int32", "stop": "int32"}
+        )
 
     def run(batches):
-        held: list[pd.DataFrame] = []
-        size = 0
+        held, size, numbers = [], 0, {}
         for batch in batches:
-            while len(batch):
-                held.append(batch)
-                size += int(batch["n"].sum()) + len(batch) * (window - 1)
-                batch = batch.iloc[:0]
-            if size > most_words:
-                frame = pd.concat(held)
-                hashes = frame["h"].to_numpy()
-                cut = int(np.searchsorted(hashes, hashes[-1], "left"))
-                if cut:
-                    yield grown(frame.iloc[:cut])
-                    held = [frame.iloc[cut:]]
-                    size = int(held[0]["n"].sum()) + len(held[0]) * (window - 1)
+            hashes = batch["h"].to_numpy()
+            # A few groups at a time, words as numbers as soon as they come.
+            cuts = np.unique(np.append(np.searchsorted(hashes, hashes[::1000], "left"), len(batch)))
+            for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if size > most_words and hashes[low] != held[-1][0]["h"].iat[-1]:
+                    yield grown(held)
+                    held, size, numbers = [], 0, {}
+                part = batch.iloc[low:high]
+                words = [w.split() for w in part["words"]]
+                lengths = np.array([len(w) for w in words])
+                symbols = np.fromiter(
+                    (numbers.setdefault(w, len(numbers)) for ws in words for w in ws), np.int64, int(lengths.sum())
+                )
+                held.append((part[["h", "k1", "k2", "start", "n"]], symbols, lengths))
+                size += len(symbols)
         if held:
-            yield grown(pd.concat(held))
+            yield grown(held)
 
     return run
 
