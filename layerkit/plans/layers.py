@@ -32,6 +32,7 @@ from layerkit.sources.pages import (
     broken_pages,
     good_records,
     load_pages,
+    unexpected_fields,
     utc,
 )
 from layerkit.sources.tables import (
@@ -86,6 +87,11 @@ class Layers:
     def quarantine(self) -> str:
         return f"{self.raw}_quarantine"
 
+    @property
+    def drift(self) -> str:
+        """Fields that were landed but are not in the contract, per load."""
+        return f"{self.raw}_drift"
+
     @property
     def clean(self) -> KeyedTable:
         return KeyedTable(self.table("clean"), self.contract.keys, self.clean_buckets)
@@ -111,12 +117,17 @@ def create(spark: SparkSession, layers: Layers) -> None:
         ensure_schema(spark, name.rpartition(".")[0])
     ensure_table(spark, layers.raw, layers.contract.raw_schema, [BATCH])
     ensure_table(spark, layers.quarantine, _quarantine_schema(), [BATCH])
+    ensure_table(spark, layers.drift, _drift_schema(), [BATCH])
 
 
 def _quarantine_schema():
     return Contract.of_strings([CORRUPT], keys=()).raw_schema
 
 
+def _drift_schema():
+    return Contract.of_strings(["unexpected_column", "filled_rows"], keys=()).raw_schema
+
+
 def ingest(
     spark: SparkSession,
     layers: Layers,
@@ -128,7 +139,8 @@ def ingest(
     """Append landed pages to raw; broken pages go to the quarantine table.
 
     The broken pages are counted while the good records are written, so the
-    landing folder is read again only when there are some. A load that raw
+    landing folder is read again only when there are some. Fields outside the
+    contract are counted per load in the drift table. A load that raw
     already has is refused; replace_day puts this one in place of all loads of
     its day, and clean is rebuilt by the next refresh.
     """
@@ -141,6 +153,9 @@ def ingest(
     if seen.get["broken"]:
         bad = add_lineage(broken_pages(pages), layers.source, as_of)
         append(bad, layers.quarantine, replace_day)
+    extra = unexpected_fields(spark, landing, layers.contract, page_per_line)
+    found = extra.withColumn("filled_rows", F.col("filled_rows").cast("string"))
+    append(add_lineage(found.coalesce(1), layers.source, as_of), layers.drift, replace_day)
 
 
 def ingest_frame(
@@ -408,6 +423,18 @@ def run_weekly(
     return passed
 
 
+def _with_drift(spark: SparkSession, layers: Layers) -> DataFrame:
+    """Raw, with an empty column for every field that its loads had outside the contract.
+
+    So checks of the columns see what was landed, not only what was kept.
+    """
+    rows = spark.table(layers.raw)
+    held = batches(spark, layers.raw, BATCH)
+    seen = spark.table(layers.drift).join(held, BATCH, "left_semi").select("unexpected_column").distinct()
+    extra = [r[0] for r in seen.collect() if r[0] not in rows.columns]
+    return rows.withColumns({name: F.lit(None).cast("string") for name in sorted(extra)})
+
+
 def run_quality(
     spark: SparkSession, layers: Layers, as_of: datetime, must_pass: bool = False
 ) -> bool:
@@ -420,7 +447,7 @@ def run_quality(
     at = utc(as_of)
     order = (*layers.contract.keys, BATCH)
     checked = {
-        "raw": (spark.table(layers.raw), layers.raw_rules(), order),
+        "raw": (_with_drift(spark, layers), layers.raw_rules(), order),
         "clean": (layers.clean.read(spark), layers.clean_rules(), order),
         "agg": (layers.agg.read(spark), layers.agg_rules(), layers.groups),
     }

@@ -120,6 +120,24 @@ class Canonical(RowRule):
         return predicates.not_canonical(self.column, self.form)
 
 
+@dataclass(frozen=True)
+class Expression(RowRule):
+    """An SQL predicate that is true for a failing row; null counts as passing.
+
+    `columns` are those it reads: without one of them the check fails as a whole.
+    """
+
+    sql: str
+    columns: tuple[str, ...] = ()
+
+    @property
+    def needs(self):
+        return self.columns
+
+    def fails(self):
+        return F.coalesce(F.expr(self.sql), F.lit(False))
+
+
 @dataclass(frozen=True)
 class Unique(Rule):
     """No key value on more than one row; null keys count as equal."""

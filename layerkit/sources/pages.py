@@ -18,8 +18,9 @@ def load_pages(
 ) -> DataFrame:
     """Records of landed pages under the contract, plus the text of broken pages.
 
-    A page is a JSON array of records, or one record. Unknown fields are dropped,
-    absent ones are null and values of string fields keep their JSON text. Pages
+    A page is a JSON array of records, or one record. It is kept or set aside as
+    a whole: land one record per line where a broken one must not take others
+    with it. Unknown fields are dropped (see unexpected_fields), absent ones are null and values of string fields keep their JSON text. Pages
     stored one per line split across tasks; page_per_line=False reads each file
     as one page, for small files only.
     """
@@ -33,6 +34,28 @@ def load_pages(
     )
 
 
+def unexpected_fields(
+    spark: SparkSession, path: str, contract: Contract, page_per_line: bool = True
+) -> DataFrame:
+    """Fields of landed records that the contract doesn't know: name, and the records that fill it.
+
+    The contract read never sees them, so the pages are read as text and only
+    the names of their fields are kept.
+    """
+    pages = spark.read.option("wholetext", str(not page_per_line).lower()).text(path)
+    page = F.ltrim("value", F.lit(" \t\r\n"))
+    records = F.when(
+        page.startswith("["), F.from_json("value", "array<map<string,string>>")
+    ).otherwise(F.array(F.from_json("value", "map<string,string>")))
+    record = pages.select(F.explode(records).alias("record"))
+    filled = record.select(F.explode("record").alias("unexpected_column", "value")).filter("value is not null")
+    return (
+        filled.filter(~F.col("unexpected_column").isin(contract.columns))
+        .groupBy("unexpected_column")
+        .agg(F.count(F.lit(1)).alias("filled_rows"))
+    )
+
+
 def good_records(pages: DataFrame) -> DataFrame:
     return pages.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -17,8 +17,9 @@ from layerkit.quality.monitor import (
     latest_failures as failures_of,
     newest_errors,
 )
+from layerkit.quality.rules import Expression, Fresh
 from layerkit.session import scratch_schema
-from layerkit.workload.inputs import BATCH, agg, clean, plain, raw
+from layerkit.workload.inputs import BATCH, agg, clean, plain, raw, table
 from layerkit.workload.oracle import AGG, CLEAN, RAW, RAW_COLUMNS
 from layerkit.workload.registry import query
 
@@ -271,3 +272,59 @@ def check_trend(spark, sf):
 )
 def failure_samples_join(spark, sf):
     return plain(failures_with_samples(audit_by_batch(spark, sf), errors_by_batch(spark, sf)))
+
+
+LONG = "length(name) > 25 AND brewery_type IS NOT NULL"
+
+
+@query(f"WITH {RAW} SELECT 'long_name' AS check_name, count(*) FILTER ({LONG}) = 0 AS status, count(*) FILTER ({LONG}) AS failed_rows FROM raw")
+def dq_rule_expression(spark, sf):
+    """A rule written as an SQL predicate."""
+    rule = Expression("long_name", LONG, ("name", "brewery_type"))
+    return check_status(raw(spark, sf), [rule], "raw").select("check_name", "status", "failed_rows")
+
+
+@query(
+    """WITH newest AS (SELECT max(strftime(o_orderdate, '%Y-%m-%d')) AS day, count(*) AS n FROM orders)
+    SELECT 'fresh_' || age AS check_name,
+           CAST(day AS DATE) >= DATE '2001-09-01' - CAST(age AS INTEGER) AS status FROM newest, (VALUES (1), (30), (36500)) v(age)"""
+)
+def dq_fresh(spark, sf):
+    """Is the newest order at most so many days old?"""
+    days = table(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    rules = [Fresh(f"fresh_{age}", "day", date(2001, 9, 1), age) for age in (1, 30, 36500)]
+    return check_status(days, rules, "orders").select("check_name", "status")
+
+
+@query(
+    "SELECT layer, check_name, false AS status FROM (VALUES "
+    + ", ".join(
+        f"('{layer}', '{rule.name}')"
+        for layer, rules in (("raw", presets.raw_rules()), ("clean", presets.clean_rules()), ("agg", presets.agg_rules()))
+        for rule in rules
+    )
+    + ") v(layer, check_name) WHERE (SELECT count(*) FROM orders) > 0"
+)
+def dq_status_all_failing(spark, sf):
+    """Every built-in check over the log, spoilt so that it fails."""
+    rows = raw(spark, sf)
+    twice = rows.unionByName(rows).withColumn("odd", F.lit(1))
+    spoilt = clean(spark, sf).withColumns(
+        {
+            "country": F.when(F.col("country") == "ASIA", None).otherwise(F.lower("country")),
+            "latitude": F.when(F.col("state") > "M", "x").otherwise("91"),
+            "brewery_type": F.lit("other"),
+            "city": F.lit(None).cast("string"),
+        }
+    )
+    counts = agg(spark, sf).withColumns({"total_breweries": F.lit(-1).cast("long"), "country": F.lower("country")})
+    none = rows.limit(0)
+    empty = [r for r in presets.raw_rules() if r.name == "non_empty_batch"]
+    others = [r for r in presets.raw_rules() if r.name != "non_empty_batch"]
+    parts = [
+        check_status(twice, others, "raw"),
+        check_status(none, empty, "raw"),
+        check_status(spoilt.unionByName(spoilt), presets.clean_rules(), "clean"),
+        check_status(counts.drop("state_province"), presets.agg_rules(), "agg"),
+    ]
+    return reduce(DataFrame.unionByName, parts).select("layer", "check_name", "status")

@@ -69,7 +69,8 @@ def form_of(column: str) -> str:
 
 
 def standard(column: str) -> str:
-    return f"{form_of(column)} AS {column}"
+    shaped = form_of(column)
+    return column if shaped == column else f"{shaped} AS {column}"
 
 
 STANDARD = ", ".join(standard(c) for c in [*FIELDS, "_source", "_ingestion_ts", "_ingestion_date"])

@@ -360,7 +360,20 @@ def test_nothing_is_left_beside_the_tables(spark, layers):
     put(spark, layers, 1, [("1", "a")])
     put(spark, layers, 2, [("1", "b")])
     found = {t.name for t in spark.catalog.listTables(layers.schema)}
-    assert found == {"raw", "raw_quarantine", "clean", "agg", "clean__loads"}
+    assert found == {"raw", "raw_quarantine", "raw_drift", "clean", "agg", "clean__loads"}
+
+
+def test_fields_outside_the_contract_fail_the_drift_check(spark, layers, landings):
+    for i, folder in enumerate(landings[:2]):
+        run_daily(spark, layers, folder, at(i + 1))
+    run_quality(spark, layers, at(2))
+    run_daily(spark, layers, landings[2], at(3))  # a field named odd
+    run_quality(spark, layers, at(3))
+    audit = spark.table(f"{layers.schema}.dq_audit").filter("check_name = 'schema_drift'")
+    assert [r["status"] for r in audit.orderBy("timestamp").collect()] == [True, False]
+    shown = spark.table(f"{layers.schema}.dq_errors").filter("check_name = 'schema_drift'").first()["error_record"]
+    assert json.loads(shown) == {"unexpected_column": "odd"}
+    assert [(r["unexpected_column"], r["filled_rows"]) for r in spark.table(layers.drift).collect()] == [("odd", "1")]
 
 
 def test_the_audit_says_when_samples_were_cut(spark, layers):
