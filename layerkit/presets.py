@@ -16,7 +16,8 @@ from layerkit.quality.rules import (
     Unique,
 )
 
-# Record fields, text forms, group keys, allowed types, limits.
+# Record fields, text forms, group keys, allowed types, limits,
+# and the names of the checks below.
 FIELDS = (
     "id",
     "name",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerkit import presets
+from layerkit.operators.aggregate import group_count
 from layerkit.quality.evaluate import check_status, error_records, failing_rows, verdict, verdicts
 from layerkit.quality.log import audit_rows, ensure_log_tables, error_rows, log
 from layerkit.quality.monitor import (
@@ -18,8 +19,8 @@ from layerkit.quality.monitor import (
     newest_errors,
 )
 from layerkit.quality.rules import Expression, Fresh
-from layerkit.session import scratch_schema
-from layerkit.workload.inputs import BATCH, agg, clean, plain, raw, table
+from layerkit.session import scratch_dir, scratch_schema
+from layerkit.workload.inputs import BATCH, agg, clean, curated, plain, raw, table
 from layerkit.workload.oracle import AGG, CLEAN, RAW, RAW_COLUMNS
 from layerkit.workload.registry import query
 
@@ -109,10 +110,23 @@ def dq_status_agg(spark, sf):
     return check_status(agg(spark, sf), presets.agg_rules(), "agg")
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows as files, so that several checks derive them once."""
+    folder = scratch_dir(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def all_status(spark, sf) -> DataFrame:
-    return reduce(
-        DataFrame.unionByName, [f(spark, sf) for f in (dq_status_raw, dq_status_clean, dq_status_agg)]
-    )
+    rows = written(raw(spark, sf), "raw")
+    cleaned = written(curated(rows), "clean")
+    counts = group_count(cleaned, presets.GROUPS, presets.MEASURE)
+    parts = [
+        check_status(rows, presets.raw_rules(), "raw"),
+        check_status(cleaned, presets.clean_rules(), "clean"),
+        check_status(counts, presets.agg_rules(), "agg"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(f"WITH {AGG}, {ALL_STATUS} SELECT bool_and(status) AS passed FROM status")
