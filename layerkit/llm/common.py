@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 SEPARATORS = r"[\x20\x09-\x0D]+"
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -21,7 +24,11 @@ def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it.
 
     A cluster whose machines don't share that folder gets it by --py-files.
+    Documents can be long, so unless the session says otherwise workers get
+    fewer rows at a time than Spark's 10,000.
     """
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, "1000")
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]

@@ -118,7 +118,7 @@ def _above(counters: list[np.ndarray], radius: int) -> np.ndarray:
     return above
 
 
-def forest_of(groups: list[np.ndarray], radius: int, most: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+def forest_of(groups: list[np.ndarray], radius: int, most: int = 1 << 14) -> tuple[np.ndarray, np.ndarray]:
     """Edges that connect what links within `radius` bits connect inside each group, fewer than there are values.
 
     Each group starts at a word of its own. A fingerprint meets the words from

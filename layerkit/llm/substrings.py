@@ -117,8 +117,26 @@ def _runs(values: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.nonzero(values[1:] != values[:-1])[0] + 1))
 
 
+def _listed(keys: list[np.ndarray], values: np.ndarray):
+    """Values of equal keys as lists: an index of each distinct key, and the lists as an Arrow array."""
+    import pyarrow as pa
+
+    order = np.lexsort((values, *keys))
+    change = np.zeros(len(order), dtype=bool)
+    change[:1] = True
+    for key in keys:
+        change[1:] |= key[order][1:] != key[order][:-1]
+    begin = np.nonzero(change)[0]
+    offsets = pa.array(np.append(begin, len(order)).astype(np.int32))
+    return order[begin], pa.ListArray.from_arrays(offsets, pa.array(values[order].astype(np.int32)))
+
+
 def _anchor_rows(window: int, size: int):
-    """Every anchor of every text once: its hash, the text's key, its place in the text."""
+    """The anchors of every text: hash, the text's key, the places in the text that have it.
+
+    A text that says the same over and over gives one row for each hash, so it
+    makes no hash frequent in the shuffle.
+    """
 
     def run(batches):
         import pyarrow as pa
@@ -128,18 +146,15 @@ def _anchor_rows(window: int, size: int):
             for low, high in byte_slices(texts):
                 words = Words(texts[low:high])
                 _, at, hashes = anchors(words, window, size)
-                first = _runs(at)
-                place = at[first]
+                place = at[_runs(at)]
+                hashes = hashes[_runs(at)]
                 text = np.searchsorted(words.first, place, "right") - 1
+                found, places = _listed([hashes, text], place - words.first[text])
+                hashes, text = hashes[found], text[found]
                 rows = pa.array(text + low)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(hashes[first].view(np.int64)),
-                        batch.column(0).take(rows),
-                        batch.column(1).take(rows),
-                        pa.array((place - words.first[text]).astype(np.int32)),
-                    ],
-                    ["h", *KEY, "place"],
+                    [pa.array(hashes.view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows), places],
+                    ["h", *KEY, "places"],
                 )
 
     return run
@@ -148,8 +163,9 @@ def _anchor_rows(window: int, size: int):
 def _suffix_rows(window: int, size: int, group: int, frequent: bool):
     """The suffixes of repeated anchors: those of one anchor as one stretch of words, or each one's hashes.
 
-    Rows are a text's key, the text, and `hits`, its (place, count) of anchors
-    found repeated.
+    Rows are a text's key, the text, and `hits`, its (places, count) of anchors
+    found repeated. Equal windows of one text come as one row with a list of
+    starts.
     """
 
     def run(batches):
@@ -165,17 +181,16 @@ def _suffix_rows(window: int, size: int, group: int, frequent: bool):
                 for t in range(low, high):
                     for hit in hits[t]:
                         if (hit["n"] > group) == frequent:
-                            wanted[words.first[t - low] + hit["place"]] = True
+                            wanted[words.first[t - low] + np.array(hit["places"])] = True
                 chosen = wanted[at]
                 start, at, hashes = start[chosen], at[chosen], hashes[chosen]
                 first = _runs(at)
                 if frequent:
                     text = np.searchsorted(words.first, start, "right") - 1
-                    columns = [
-                        pa.array(words.shingles(window)[start].view(np.int64)),
-                        pa.array(words.shingles(window, salt=1)[start].view(np.int64)),
-                    ]
-                    begin = start
+                    one, two = words.shingles(window)[start], words.shingles(window, salt=1)[start]
+                    found, starts = _listed([one, two, text], start - words.first[text])
+                    columns = [pa.array(one[found].view(np.int64)), pa.array(two[found].view(np.int64))]
+                    text = text[found]
                 else:
                     n = np.diff(np.append(first, len(at)))
                     begin = start[first]
@@ -188,15 +203,11 @@ def _suffix_rows(window: int, size: int, group: int, frequent: bool):
                             pa.binary(),
                         ),
                     ]
+                    starts = pa.array((begin - words.first[text]).astype(np.int32))
                 rows = pa.array(text + low)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        *columns,
-                        batch.column(0).take(rows),
-                        batch.column(1).take(rows),
-                        pa.array((begin - words.first[text]).astype(np.int32)),
-                    ],
-                    [*(["w1", "w2"] if frequent else ["h", "n", "words"]), *KEY, "start"],
+                    [*columns, batch.column(0).take(rows), batch.column(1).take(rows), starts],
+                    [*(["w1", "w2"] if frequent else ["h", "n", "words"]), *KEY, "starts" if frequent else "start"],
                 )
 
     return run
@@ -320,9 +331,9 @@ def repeated_passages(docs: DataFrame, window: int = 35, text_col: str = "text",
     shingle = min(shingle, window)
     source = docs.select(docs[text_col].alias("text"))
     texts = _distinct_texts(source)
-    found = texts.mapInArrow(_anchor_rows(window, shingle), "h long, k1 long, k2 long, place int")
-    often = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
-    hits = found.join(often, "h").groupBy(*KEY).agg(F.collect_list(F.struct("place", "n")).alias("hits"))
+    found = texts.mapInArrow(_anchor_rows(window, shingle), "h long, k1 long, k2 long, places array<int>")
+    often = found.groupBy("h").agg(F.sum(F.size("places")).alias("n")).filter("n > 1")
+    hits = found.join(often, "h").groupBy(*KEY).agg(F.collect_list(F.struct("places", "n")).alias("hits"))
     wanted = texts.join(hits, KEY)
     suffixes = wanted.select(*KEY, "text", "hits").mapInArrow(
         _suffix_rows(window, shingle, group, False), "h long, n int, words binary, k1 long, k2 long, start int"
@@ -334,45 +345,40 @@ def repeated_passages(docs: DataFrame, window: int = 35, text_col: str = "text",
     whole = (
         texts.join(crowded, KEY)
         .select(*KEY, "text", "hits")
-        .mapInArrow(_suffix_rows(window, shingle, group, True), "w1 long, w2 long, k1 long, k2 long, start int")
-    )
-    twice = whole.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1")
-    spans = spans.union(
-        whole.join(twice, ["w1", "w2"]).select(*KEY, "start", (F.col("start") + window).cast("int").alias("stop"))
+        .mapInArrow(_suffix_rows(window, shingle, group, True), "w1 long, w2 long, k1 long, k2 long, starts array<int>")
     )
+    twice = whole.groupBy("w1", "w2").agg(F.sum(F.size("starts")).alias("n")).filter("n > 1")
+    each = whole.join(twice, ["w1", "w2"]).select(*KEY, F.explode("starts").alias("start"))
+    spans = spans.union(each.select(*KEY, "start", (F.col("start") + window).cast("int").alias("stop")))
     per_text = spans.groupBy(*KEY).agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return texts.join(per_text, KEY, "left")
 
 
-def _kept_rows(window: int, with_text: bool):
-    """Words, removed words, and the kept text or its digest."""
+def _kept_words(text: bytes, copies: int, spans, window: int) -> tuple[list[bytes], int]:
+    """The words that stay, and how many there were."""
+    words = text.split()
+    if copies > 1 and len(words) >= window:
+        return [], len(words)
+    if spans is None or not len(spans):
+        return words, len(words)
+    gone = _merged(spans, len(words)).tolist()
+    return [w for w, g in zip(words, gone, strict=True) if not g], len(words)
+
+
+def _digest_rows(window: int):
+    """Words, removed words, and the digest of the kept ones."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             counts, removed, kept = [], [], []
-            for text, copies, spans in zip(
-                encoded(batch.column(2).to_pylist()),
-                batch.column(3).to_pylist(),
-                batch.column(4).to_pylist(),
-                strict=True,
-            ):
-                words = text.split()
-                n = len(words)
-                if copies > 1 and n >= window:
-                    left = []
-                elif spans:
-                    gone = _merged(spans, n)
-                    left = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                else:
-                    left = words
+            texts, others = encoded(batch.column(2).to_pylist()), (batch.column(c).to_pylist() for c in (3, 4))
+            for text, copies, spans in zip(texts, *others, strict=True):
+                left, n = _kept_words(text, copies, spans, window)
                 counts.append(n)
                 removed.append(n - len(left))
-                if with_text:
-                    kept.append(b" ".join(left).decode() if len(left) < n else None)
-                else:
-                    kept.append(hashlib.sha256(b" ".join(left)).hexdigest())
+                kept.append(hashlib.sha256(b" ".join(left)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -387,6 +393,20 @@ def _kept_rows(window: int, with_text: bool):
     return run
 
 
+def _kept_text(window: int):
+    """A column function: the text without its spans, unchanged where nothing goes."""
+
+    @F.pandas_udf("string")
+    def kept(text: pd.Series, copies: pd.Series, spans: pd.Series) -> pd.Series:
+        out = []
+        for t, c, found in zip(text, copies, spans, strict=True):
+            left, n = _kept_words(t.encode("utf-8", "replace"), c, found, window)
+            out.append(t if len(left) == n else b" ".join(left).decode())
+        return pd.Series(out, dtype=object)
+
+    return kept
+
+
 _KEPT = "k1 long, k2 long, n_words long, n_removed long, kept string"
 
 
@@ -401,7 +421,7 @@ def removal_digests(
     id gets its row. Other columns are not read.
     """
     passages = repeated_passages(docs, window, text_col, **options)
-    kept = passages.select(*KEY, "text", "copies", "spans").mapInArrow(_kept_rows(window, False), _KEPT)
+    kept = passages.select(*KEY, "text", "copies", "spans").mapInArrow(_digest_rows(window), _KEPT)
     rows = docs.select(docs[id_col].alias(id_col), *_keys(docs[text_col]), docs[text_col].isNull().alias("none"))
     nothing = hashlib.sha256(b"").hexdigest()
     return rows.join(kept, KEY, "left").select(
@@ -422,20 +442,13 @@ def remove_repeats(
     words go. Other columns pass through unchanged, whatever their names.
     """
     passages = repeated_passages(docs, window, text_col, **options)
-    changed = (
-        passages.filter("copies > 1 or spans is not null")
-        .select(*KEY, "text", "copies", "spans")
-        .mapInArrow(_kept_rows(window, True), _KEPT)
-        .filter("n_removed > 0")
-        .select(F.struct(*KEY).alias("key"), F.struct("kept").alias("new"))
+    # A column function keeps the dealing by text, so texts aren't shuffled again to meet their rows.
+    cut = passages.withColumn("new", _kept_text(window)("text", "copies", "spans")).select(
+        *KEY, "new", ((F.col("new") == "") & (F.col("text") != "")).alias("emptied")
     )
-    packed = docs.select(F.struct(*_keys(docs[text_col])).alias("key"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    joined = packed.join(changed, "key", "left")
+    others = [docs[c] for c in docs.columns if c != text_col]
+    rows = docs.select(*_keys(docs[text_col]), F.struct(*(others or [F.lit(0)])).alias("row"))
+    joined = rows.join(cut, KEY, "left")
     if drop_empty:
-        joined = joined.filter(F.coalesce(F.col("new.kept") != "", F.lit(True)))
-    return joined.select(
-        *[
-            F.coalesce("new.kept", F.col(f"row.`{c}`")).alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c)
-            for c in docs.columns
-        ]
-    )
+        joined = joined.filter(F.coalesce(~F.col("emptied"), F.lit(True)))
+    return joined.select(*[F.col("new").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
