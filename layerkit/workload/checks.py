@@ -19,8 +19,8 @@ from layerkit.quality.monitor import (
     newest_errors,
 )
 from layerkit.quality.rules import Expression, Fresh
-from layerkit.session import scratch_dir, scratch_schema
-from layerkit.workload.inputs import BATCH, agg, clean, curated, plain, raw, table
+from layerkit.session import scratch_schema
+from layerkit.workload.inputs import BATCH, agg, clean, curated, plain, raw, table, written
 from layerkit.workload.oracle import AGG, CLEAN, RAW, RAW_COLUMNS
 from layerkit.workload.registry import query
 
@@ -110,13 +110,6 @@ def dq_status_agg(spark, sf):
     return check_status(agg(spark, sf), presets.agg_rules(), "agg")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows as files, so that several checks derive them once."""
-    folder = scratch_dir(df.sparkSession, label)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def all_status(spark, sf) -> DataFrame:
     rows = written(raw(spark, sf), "raw")
     cleaned = written(curated(rows), "clean")

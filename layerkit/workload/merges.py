@@ -15,7 +15,7 @@ from layerkit.operators.aggregate import (
 )
 from layerkit.operators.incremental import new_rows
 from layerkit.operators.upsert import change_report, delete_missing, upsert, upsert_tracking
-from layerkit.workload.inputs import BATCH, CUT, curated, plain, raw
+from layerkit.workload.inputs import BATCH, CUT, curated, plain, raw, written
 from layerkit.workload.oracle import CLEAN, COUNTS, FIELDS, GROUPS, OLD_NEW, RAW_COLUMNS
 from layerkit.workload.oracle import curated as curated_sql
 from layerkit.workload.registry import query
@@ -55,7 +55,7 @@ def merge_source_wins(spark, sf):
     SELECT * FROM agg t WHERE NOT EXISTS (SELECT 1 FROM late s WHERE {SAME_GROUP})"""
 )
 def merge_upsert_groups(spark, sf):
-    rows = curated(raw(spark, sf))
+    rows = written(curated(raw(spark, sf)).select(BATCH, *presets.GROUPS), "groups")
     totals = group_count(rows, presets.GROUPS, presets.MEASURE)
     late = latest_batch_count(rows, BATCH, presets.GROUPS, presets.MEASURE)
     return replace_latest(totals, late, presets.GROUPS)
