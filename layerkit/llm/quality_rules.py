@@ -132,14 +132,15 @@ def fitted(
     alpha: float = 0.01,
     delta: float = 0.05,
     price: float = 20.0,
+    least_pay: float = 5.0,
 ) -> DataFrame:
     """(stratum, cutoffs): for each stratum a map from rule to chosen cutoff.
 
     `counts` is as from `with_counts`; `labels` has the id and `good` (1 or
     0). Rows that failed the base rules, or have no id or label, aren't used;
     a document labelled several times counts each time. Falsely rejecting one
-    good document costs as much as missing `price` bad ones. A null stratum is
-    a stratum. Rules without a paying certified cutoff are left out, so a
+    good document costs as much as missing `price` bad ones, and a cutoff has to
+    pay `least_pay` at least. A null stratum is a stratum. Rules without a paying certified cutoff are left out, so a
     stratum with few labels loses nothing.
     """
     known = labels.select(labels[id_col].alias(id_col), labels[good].alias("_good")).filter("_good is not null")
@@ -167,14 +168,14 @@ def fitted(
                 )
             )
     tally = rows.groupBy(F.col(stratum).alias("stratum")).agg(*sums).select("stratum", "n", F.inline(F.array(*tries)))
-    strata = tally.agg(F.greatest(F.count_if((F.col("rule") == "symbols") & (F.col("place") == 0)), F.lit(1)).alias("strata"))
-    tests = tally.crossJoin(F.broadcast(strata))  # one row
-    sure = binomial_at_most(F.col("k"), F.col("n"), alpha) <= delta / (F.col("strata") * len(RULES))
+    tests = checkpointed(tally)  # a row per stratum and cutoff
+    strata = tests.agg(F.count_distinct(F.struct("stratum")).alias("strata")).scalar()
+    sure = binomial_at_most(F.col("k"), F.col("n"), alpha) <= delta / (F.greatest(strata, F.lit(1)) * len(RULES))
     so_far = Window.partitionBy("stratum", "rule").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     best = (
         tests.withColumn("sure", sure)
         .withColumn("certified", F.bool_and("sure").over(so_far))
-        .filter("certified and pay > 0")
+        .filter(F.col("certified") & (F.col("pay") >= least_pay))
         .groupBy("stratum", "rule")
         .agg(F.max_by("cutoff", F.struct("pay", -F.col("place"))).alias("cutoff"))
     )
