@@ -99,9 +99,7 @@ def change_report(before: DataFrame, after: DataFrame, keys: Iterable[str]) -> D
     shuffled; the null flags keep (null, 'a') and ('a', null) apart.
     """
     keys = list(keys)
-    rest = [c for c in after.columns if c not in keys]
-    parts = [p for c in rest for p in (F.col(c), F.col(c).isNull())]
-    print_of = F.xxhash64(*parts) if parts else F.lit(0).cast("bigint")
+    print_of = _print_of(after, keys)
 
     def narrow(df: DataFrame, side: str) -> DataFrame:
         other = "_after" if side == "_before" else "_before"
@@ -116,3 +114,35 @@ def change_report(before: DataFrame, after: DataFrame, keys: Iterable[str]) -> D
     )
     merged = both.groupBy(*keys).agg(F.max("_before").alias("_before"), F.max("_after").alias("_after"))
     return merged.select(*keys, change.alias("change"))
+
+
+def upsert_report(
+    target: DataFrame, source: DataFrame, keys: Iterable[str], order: Iterable[str]
+) -> DataFrame:
+    """What the ordered upsert does to each key: inserted, updated or unchanged.
+
+    Both sides must hold a key once, and its rows differ in the order columns.
+    The upsert isn't built: keys, order columns and a fingerprint are shuffled
+    once, and one aggregate finds the newer row of a key and what it replaces.
+    """
+    keys = list(keys)
+    row = F.struct(*order, _print_of(target, keys).alias("_print"))
+    both = target.select(*keys, row.alias("_row"), F.lit(True).alias("_old")).unionByName(
+        source.select(*keys, row.alias("_row"), F.lit(False).alias("_old"))
+    )
+    met = both.groupBy(*keys).agg(
+        F.max("_row").getField("_print").alias("_after"),
+        F.max(F.when(F.col("_old"), F.col("_row").getField("_print"))).alias("_before"),
+    )
+    change = (
+        F.when(F.col("_before").isNull(), "inserted")
+        .when(F.col("_before") == F.col("_after"), "unchanged")
+        .otherwise("updated")
+    )
+    return met.select(*keys, change.alias("change"))
+
+
+def _print_of(df: DataFrame, keys: list[str]) -> Column:
+    """Fingerprint of a row beside its keys; the null flags keep (null, 'a') and ('a', null) apart."""
+    parts = [p for c in df.columns if c not in keys for p in (F.col(c), F.col(c).isNull())]
+    return F.xxhash64(*parts) if parts else F.lit(0).cast("bigint")

@@ -14,7 +14,7 @@ from layerkit.operators.aggregate import (
     tracked_delta,
 )
 from layerkit.operators.incremental import new_rows
-from layerkit.operators.upsert import change_report, delete_missing, upsert, upsert_tracking
+from layerkit.operators.upsert import change_report, delete_missing, upsert, upsert_report, upsert_tracking
 from layerkit.workload.inputs import BATCH, CUT, curated, plain, raw, written
 from layerkit.workload.oracle import CLEAN, COUNTS, FIELDS, GROUPS, OLD_NEW, RAW_COLUMNS
 from layerkit.workload.oracle import curated as curated_sql
@@ -94,7 +94,7 @@ def snapshot_change_report(spark, sf):
 )
 def merge_change_report(spark, sf):
     old, new = old_and_new(spark, sf)
-    return change_report(old, upsert(old, new, KEYS, ORDER, settle=()), KEYS)
+    return upsert_report(old, new, KEYS, ORDER)
 
 
 @query(f"WITH {CLEAN} {COUNTS} FROM clean GROUP BY ALL")

@@ -5,10 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerkit import presets
+from layerkit.operators.sample import first_per_group
 from layerkit.quality.evaluate import (
     check_layer,
     check_status,
     error_records,
+    failing_rows,
     repeated_keys,
     verdict,
     verdicts,
@@ -18,6 +20,7 @@ from layerkit.quality.monitor import check_trend, failures_with_samples, latest_
 from layerkit.quality.rules import (
     Canonical,
     Castable,
+    Expression,
     Fresh,
     HasColumns,
     InRange,
@@ -204,3 +207,21 @@ def test_monitoring_questions_in_sql(spark, schema, logs):
     assert newest.count() == latest_failures(logs[0]).count()
     samples = f"SELECT layer, check_name, error_record, timestamp FROM {schema}.dq_errors"
     assert spark.sql(f"{samples} ORDER BY timestamp DESC LIMIT 100").count() == newest_errors(logs[1]).count()
+
+
+@pytest.mark.parametrize("n", [3, 1500])
+def test_first_rows_of_a_hot_group(spark, n):
+    df = spark.range(9000).repartition(6).selectExpr("if(id % 9 = 0, 'b', 'a') as g", "id")
+    got = first_per_group(df, ["g"], ["id"], n)
+    want = {"a": [i for i in range(9000) if i % 9][:n], "b": list(range(0, 9000, 9))[:n]}
+    found = got.collect()
+    assert {g: sorted(r["id"] for r in found if r["g"] == g) for g in "ab"} == want
+    assert got.columns == ["g", "id"]
+
+
+def test_a_rule_from_an_expression(spark):
+    df = spark.createDataFrame([("a", 1), ("b", None), (None, 9)], "k string, v int")
+    rules = [Expression("big", "v > 5", ("v",)), Expression("fine", "v > 99"), Expression("lost", "w = 1", ("w",))]
+    got = {r["check_name"]: (r["status"], r["failed_rows"]) for r in check_status(df, rules, "x").collect()}
+    assert got == {"big": (False, 1), "fine": (True, 0), "lost": (False, 3)}
+    assert failing_rows(df, rules[0]).count() == 1

@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from layerkit.operators.dedupe import latest_per_key
-from layerkit.operators.upsert import change_report, delete_missing, upsert, upsert_tracking
+from layerkit.operators.upsert import change_report, delete_missing, upsert, upsert_report, upsert_tracking
 from tests.conftest import plan_of, rows
 
 DDL = "k string, o int, v string"
@@ -75,3 +75,12 @@ def test_change_report_compares_nulls_by_place(spark):
     assert rows(change_report(before, after, KEYS)) == [
         ("a", "updated"), ("b", "unchanged"), ("c", "deleted"), ("d", "inserted"), (None, "updated"),
     ]
+
+
+def test_upsert_report_says_what_the_upsert_does(spark):
+    kind = "id string, v string, ts int"
+    old = spark.createDataFrame([("a", "x", 1), ("b", "x", 5), ("c", None, 1), (None, "x", 1), ("k", "x", 1)], kind)
+    new = spark.createDataFrame([("a", "y", 2), ("b", "y", 4), ("c", "x", 3), (None, "y", 2), ("n", "x", 1)], kind)
+    got = upsert_report(old, new, ["id"], ["ts"])
+    assert rows(got) == rows(change_report(old, upsert(old, new, ["id"], ["ts"]), ["id"]))
+    assert dict(rows(got)) == {"a": "updated", "b": "unchanged", "c": "updated", None: "updated", "k": "unchanged", "n": "inserted"}
