@@ -84,15 +84,16 @@ def anchors(words: Words, window: int, size: int) -> tuple[np.ndarray, np.ndarra
     """(window start, anchor, anchor hash) for every window that lies in one text.
 
     The anchor is the leftmost shingle of `size` words with the least hash of
-    the window. Places are packed under the upper bits of the hashes, so that
-    one minimum gives both.
+    the window. Places are packed under the upper 40 bits of the hashes, so that
+    one minimum gives both; the number is fixed, for equal windows to agree
+    wherever they stand. Only a text of over 16 million words leaves less.
     """
     hashes = words.shingles(size)
     choice = window - size + 1
     if len(hashes) < choice:
         empty = np.zeros(0, dtype=np.int64)
         return empty, empty, np.zeros(0, dtype=np.uint64)
-    bits = np.uint64(max(1, int(len(hashes)).bit_length()))
+    bits = np.uint64(max(24, len(hashes).bit_length()))
     least = ((hashes >> bits) << bits) | np.arange(len(hashes), dtype=np.uint64)
     reach = 1
     while 2 * reach <= choice:
