@@ -163,8 +163,11 @@ def _verified(least: float):
         labels = np.arange(len(ids))
         row, col = np.nonzero(linked)
         merge_labels(labels, place[row], place[len(v) + col])
-        # A visitor's number of links, beside the edge to its class in this cell.
-        return pd.DataFrame({"a": v, "b": ids[labels[place[: len(v)]]], "links": links})
+        # A visitor's number of links, beside the edge of every id, members too, to its class in this group.
+        found = np.zeros(len(ids), dtype="int64")
+        np.add.at(found, place[: len(v)], links)
+        told = (found > 0) | (labels != np.arange(len(ids)))
+        return pd.DataFrame({"a": ids[told], "b": ids[labels[told]], "links": found[told]})
 
     return run
 

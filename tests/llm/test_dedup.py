@@ -262,6 +262,20 @@ def test_near_vectors(spark, words, group):
     assert embeddings.near_vectors(frame.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize(("words", "group"), [(1, 2), (1, 30), (2, 30), (3, 10)])
+def test_chains_hold_across_the_slices_of_a_cell(spark, words, group):
+    """Chains p-q-m whose middle has the largest id; cells with more visitors than members are cut unevenly."""
+    random_ = np.random.default_rng(4)
+    found = []
+    for k in range(40):
+        along, across = np.linalg.qr(random_.normal(size=(6, 2)))[0].T
+        for id_, turn in ((k, 0), (100 + k, 0.6), (200 + k, 0.3)):
+            found.append((id_, (np.cos(turn) * along + np.sin(turn) * across).tolist(), 1))
+    frame = spark.createDataFrame(found, "vec_id long, embedding array<double>, label int")
+    got = embeddings.near_vectors(frame, least=0.95, words=words, group=group, target=1)
+    assert rows(got) == plain_near(found, 0.95)
+
+
 def test_near_vector_query(spark):
     found = [(r[0], list(r[1]), r[2]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     assert rows(QUERIES["op6_embedding_near_dedup"](spark, SF)) == plain_near(found, 0.98)
