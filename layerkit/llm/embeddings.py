@@ -3,14 +3,13 @@
 Unit vectors are cut in halves, and each half gets a codebook of its own; a
 pair of codewords, one of each book, is a cell of the grid. Every distinct
 vector lies in the cell of its nearest codewords. As a query it walks the
-cells by the multi-sequence order, least lower bound first: points nearer to
-codeword i than to codeword b lie at least (d_i^2 - d_b^2) / (2 |c_i - c_b|)
-away. A walk to the radius itself would find all; but a neighbour's step goes
-in no special direction, so most of that radius is spent in vain. The walk's
-reach is therefore fitted: neighbours at exactly the least cosine, in random
-directions, are planted around sample vectors, and the reach is the least that
-finds the target share of them. Nearer neighbours are found more often. What
-the cells hold is verified by the cosine in double precision.
+cells by the multi-sequence order, least lower bound first, and stops when no
+unseen cell can hold a vector within the radius: points nearer to codeword i
+than to codeword b lie at least (d_i^2 - d_b^2) / (2 |c_i - c_b|) away. So no
+link is missed, whatever the codebooks. Of two cells within reach of each other
+only one's vectors visit the other, and a link counts for both of its ends.
+A row that is sent costs as much as many products, so cells are large. What
+they hold is verified by the cosine in double precision.
 """
 
 from __future__ import annotations
@@ -28,6 +27,9 @@ from layerkit.llm.common import checkpointed, components, merge_labels
 #: Widens the walk beyond rounding errors of the bounds.
 _SLACK = 1e-9
 
+#: About so many vectors of a label to a cell. Fewer need less products, but are sent to more cells.
+_MEMBERS = 1024
+
 
 def codebook(points: np.ndarray, size: int, rounds: int = 12, seed: int = 42) -> np.ndarray:
     """Centres of a k-means over the rows, at most `size` of them."""
@@ -86,7 +88,13 @@ def walk(first: np.ndarray, second: np.ndarray, radius: float) -> list[tuple[int
 def fitted_reach(
     points: np.ndarray, books: tuple[np.ndarray, np.ndarray], least: float, target: float, seed: int = 42
 ) -> float:
-    """How far the walks go to meet the share `target` of neighbours at cosine `least`; all of them for 1."""
+    """How far the walks go: the whole radius for a `target` of 1.
+
+    For less, neighbours at exactly the cosine `least` are planted around sample
+    vectors in random directions, and the reach is the least that meets the
+    share `target` of them. Links along the directions in which the data varies
+    cross more borders, and are met less often than that.
+    """
     radius = float(np.sqrt(max(0.0, 2 - 2 * least)))
     if target >= 1 or points.shape[1] < 2:
         return radius
@@ -114,6 +122,11 @@ def _unit(vectors: list) -> np.ndarray:
     return rows / np.sqrt((rows**2).sum(axis=1))[:, None]
 
 
+def _visits(own: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """Whether the vectors of cell `own` visit `cell`: their own, and of each two cells one the other, half of all."""
+    return (own == cell) | ((cell < own) ^ ((cell + own) % 2 == 1))
+
+
 def _cells(books: tuple[np.ndarray, np.ndarray], radius: float):
     """Each vector's own cell, and a row for every cell it visits."""
     halves = [len(b[0]) for b in books]
@@ -132,17 +145,21 @@ def _cells(books: tuple[np.ndarray, np.ndarray], radius: float):
                 seen = walk(bounds[0][k], bounds[1][k], radius)
                 rows += [k] * len(seen)
                 cells += [i * width + j for i, j in seen]
-            rows = np.array(rows)
-            yield pd.DataFrame(
-                {
-                    "label": batch["label"].to_numpy()[rows],
-                    "id": batch["id"].to_numpy()[rows],
-                    "copies": batch["copies"].to_numpy()[rows],
-                    "vec": batch["vec"].to_numpy()[rows],
-                    "cell": np.array(cells),
-                    "own": own[rows] == np.array(cells),
-                }
-            )
+            rows, cells = np.array(rows), np.array(cells)
+            meant = _visits(own[rows], cells)
+            rows, cells = rows[meant], cells[meant]
+            for k in range(0, len(rows), 4096):
+                row, cell = rows[k : k + 4096], cells[k : k + 4096]
+                yield pd.DataFrame(
+                    {
+                        "label": batch["label"].to_numpy()[row],
+                        "id": batch["id"].to_numpy()[row],
+                        "copies": batch["copies"].to_numpy()[row],
+                        "vec": batch["vec"].to_numpy()[row],
+                        "cell": cell,
+                        "own": own[row] == cell,
+                    }
+                )
 
     return run
 
@@ -156,16 +173,22 @@ def _verified(least: float):
         if not len(members) or not len(visitors):
             return pd.DataFrame({"a": [], "b": [], "links": []}).astype("int64")
         m, v = members["id"].to_numpy(), visitors["id"].to_numpy()
-        linked = _unit(visitors["vec"].tolist()) @ _unit(members["vec"].tolist()).T >= least
-        linked &= v[:, None] != m[None, :]
-        links = linked @ members["copies"].to_numpy()
+        m_unit, v_unit = _unit(members["vec"].tolist()), _unit(visitors["vec"].tolist())
+        m_copies, v_copies = members["copies"].to_numpy(), visitors["copies"].to_numpy()
+        own = visitors["own"].to_numpy()
         ids, place = np.unique(np.concatenate((v, m)), return_inverse=True)
         labels = np.arange(len(ids))
-        row, col = np.nonzero(linked)
-        merge_labels(labels, place[row], place[len(v) + col])
-        # A visitor's number of links, beside the edge of every id, members too, to its class in this group.
         found = np.zeros(len(ids), dtype="int64")
-        np.add.at(found, place[: len(v)], links)
+        for k in range(0, len(v), 512):
+            part = slice(k, k + 512)
+            linked = v_unit[part] @ m_unit.T >= least
+            # Two members of a cell meet twice, as either's visitor.
+            linked &= np.where(own[part, None], v[part, None] < m, v[part, None] != m)
+            row, col = np.nonzero(linked)
+            merge_labels(labels, place[k + row], place[len(v) + col])
+            # Both ends of a link count it; every id, members too, has an edge to its class in this group.
+            np.add.at(found, place[k + row], m_copies[col])
+            np.add.at(found, place[len(v) + col], v_copies[k + row])
         told = (found > 0) | (labels != np.arange(len(ids)))
         return pd.DataFrame({"a": ids[told], "b": ids[labels[told]], "links": found[told]})
 
@@ -181,7 +204,7 @@ def near_vectors(
     sample: int = 20_000,
     words: int | None = None,
     group: int = 4096,
-    target: float = 0.9999,
+    target: float = 1.0,
 ) -> DataFrame:
     """Per row: id, n_links, component_id, kept.
 
@@ -194,12 +217,13 @@ def near_vectors(
     with a null id is its own. Ids are longs; rows that repeat an id count as
     copies of it.
 
-    The codebooks and the walk's reach are fitted on at most `sample` rows on
-    the driver; the number of codewords of a book follows the number of vectors
-    unless `words` says it. `target` is the share of neighbours at exactly
-    `least` that a walk has to meet, 1 for all of them; links below `least` are
-    never given. A cell with more than `group` members, or visitors, is dealt in
-    slices of that size.
+    The codebooks are fitted on at most `sample` rows on the driver; the number
+    of codewords of a book follows the number of vectors that share a label,
+    about _MEMBERS to a cell, unless `words` says it. Every link is found. A
+    `target` below 1 asks for less: the share of neighbours at exactly `least`,
+    in random directions, that the walks have to meet (see `fitted_reach`). A
+    cell with more than `group` members, or visitors, is dealt in slices of
+    that size.
     """
     plain = vectors.select(vectors[id_col].alias("id"), vectors[vec_col].alias("vec"), vectors[label_col].alias("label"))
     fit = F.coalesce(
@@ -227,7 +251,8 @@ def near_vectors(
     length = lengths.first().n
     points = [r.vec for r in drawn.filter(F.size("vec") == length).collect()]
     points = _unit(points or [distinct.filter(F.size("vec") == length).first().vec])
-    size = words or max(4, min(256, round((total / 64) ** 0.5)))
+    peers = distinct.groupBy("label").count().agg(F.sum(F.col("count") * F.col("count") / total)).first()[0]
+    size = words or max(1, min(256, round((peers / _MEMBERS) ** 0.5)))
     half = length // 2
     books = codebook(points[:, :half], size), codebook(points[:, half:], size)
     reach = fitted_reach(points, books, least, target)

@@ -276,6 +276,22 @@ def test_chains_hold_across_the_slices_of_a_cell(spark, words, group):
     assert rows(got) == plain_near(found, 0.95)
 
 
+@pytest.mark.parametrize("words", [None, 10])
+def test_links_along_the_spread_of_the_data_are_found(spark, words):
+    """Few directions hold most of the spread, and neighbours differ along them: they cross many borders."""
+    random_ = np.random.default_rng(8)
+    spread = np.arange(1, 33) ** -1.0
+    base = random_.normal(size=(900, 32)) * spread
+    base /= np.sqrt((base**2).sum(axis=1))[:, None]
+    near = base + 0.2 * random_.normal(size=base.shape) * spread / np.sqrt((spread**2).sum())
+    found = [(2 * k + s, v.tolist(), k % 3) for s, part in enumerate((base, near)) for k, v in enumerate(part)]
+    frame = spark.createDataFrame(found, "vec_id long, embedding array<double>, label int")
+    got = rows(embeddings.near_vectors(frame, words=words))
+    want = plain_near(found, 0.98)
+    assert sum(n for _, n, _, _ in want) > 1000
+    assert got == want
+
+
 def test_near_vector_query(spark):
     found = [(r[0], list(r[1]), r[2]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     assert rows(QUERIES["op6_embedding_near_dedup"](spark, SF)) == plain_near(found, 0.98)
