@@ -33,6 +33,8 @@ _MEMBERS = 1024
 
 def codebook(points: np.ndarray, size: int, rounds: int = 12, seed: int = 42) -> np.ndarray:
     """Centres of a k-means over the rows, at most `size` of them."""
+    if not points.shape[1]:
+        return points[:1]
     random = np.random.default_rng(seed)
     points = np.unique(points, axis=0)
     centres = points[random.permutation(len(points))[:size]].copy()
@@ -127,22 +129,24 @@ def _visits(own: np.ndarray, cell: np.ndarray) -> np.ndarray:
     return (own == cell) | ((cell < own) ^ ((cell + own) % 2 == 1))
 
 
-def _cells(books: tuple[np.ndarray, np.ndarray], radius: float):
-    """Each vector's own cell, and a row for every cell it visits."""
-    halves = [len(b[0]) for b in books]
-    gaps = [np.sqrt(_squares(b, b)) for b in books]
-    width = len(books[1])
+def _cells(books: dict[int, tuple[np.ndarray, np.ndarray]], reach: dict[int, float]):
+    """Each vector's own cell, and a row for every cell it visits; a length without books is one cell."""
 
     def run(batches):
-        for batch in (b.iloc[k : k + 256] for b in batches for k in range(0, len(b), 256)):
+        by_length = (same for b in batches for _, same in b.groupby(b["vec"].map(len).to_numpy()))
+        for batch in (same.iloc[k : k + 256] for same in by_length for k in range(0, len(same), 256)):
             unit = _unit(batch["vec"].tolist())
-            parts = unit[:, : halves[0]], unit[:, halves[0] :]
-            squares = [_squares(p, b) for p, b in zip(parts, books, strict=True)]
+            length = unit.shape[1]
+            half = length // 2
+            pair = books.get(length) or (np.zeros((1, half)), np.zeros((1, length - half)))
+            width = len(pair[1])
+            parts = unit[:, :half], unit[:, half:]
+            squares = [_squares(p, b) for p, b in zip(parts, pair, strict=True)]
             own = squares[0].argmin(axis=1) * width + squares[1].argmin(axis=1)
-            bounds = [_bounds(s, g) for s, g in zip(squares, gaps, strict=True)]
+            bounds = [_bounds(s, np.sqrt(_squares(b, b))) for s, b in zip(squares, pair, strict=True)]
             rows, cells = [], []
             for k in range(len(batch)):
-                seen = walk(bounds[0][k], bounds[1][k], radius)
+                seen = walk(bounds[0][k], bounds[1][k], reach.get(length, 0.0))
                 rows += [k] * len(seen)
                 cells += [i * width + j for i, j in seen]
             rows, cells = np.array(rows), np.array(cells)
@@ -156,6 +160,7 @@ def _cells(books: tuple[np.ndarray, np.ndarray], radius: float):
                         "id": batch["id"].to_numpy()[row],
                         "copies": batch["copies"].to_numpy()[row],
                         "vec": batch["vec"].to_numpy()[row],
+                        "n": length,
                         "cell": cell,
                         "own": own[row] == cell,
                     }
@@ -209,15 +214,16 @@ def near_vectors(
     """Per row: id, n_links, component_id, kept.
 
     Two vectors are linked if their labels are equal and not null and their
-    cosine is `least` or more. Vectors that are null, empty, zero, or hold
-    nulls or numbers that aren't finite link with nothing, nor do those of
-    another length than most have. Equal vectors of a label are one
-    vector to the search, with a number of copies, and link with each other.
+    cosine is `least` or more; those of different lengths have none. Vectors
+    that are null, empty, zero, or hold nulls or numbers that aren't finite link
+    with nothing. Equal vectors of a label are one vector to the search, with a
+    number of copies, and link with each other.
     component_id is the smallest id that links lead to, itself included; a row
     with a null id is its own. Ids are longs; rows that repeat an id count as
     copies of it.
 
-    The codebooks are fitted on at most `sample` rows on the driver; the number
+    Each length has codebooks of its own, fitted on the driver on at most
+    `sample` rows for all; a length that the sample misses is one cell. The number
     of codewords of a book follows the number of vectors that share a label,
     about _MEMBERS to a cell, unless `words` says it. Every link is found. A
     `target` below 1 asks for less: the share of neighbours at exactly `least`,
@@ -227,7 +233,7 @@ def near_vectors(
     """
     plain = vectors.select(vectors[id_col].alias("id"), vectors[vec_col].alias("vec"), vectors[label_col].alias("label"))
     fit = F.coalesce(
-        (F.size("vec") > 1)
+        (F.size("vec") > 0)
         & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("vec", lambda x: x != 0),
         F.lit(False),
@@ -247,45 +253,48 @@ def near_vectors(
         )
     share = min(1.0, 2 * sample / total)
     drawn = distinct.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20))).select("vec").limit(sample)
-    lengths = distinct.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n")
-    length = lengths.first().n
-    points = [r.vec for r in drawn.filter(F.size("vec") == length).collect()]
-    points = _unit(points or [distinct.filter(F.size("vec") == length).first().vec])
-    peers = distinct.groupBy("label").count().agg(F.sum(F.col("count") * F.col("count") / total)).first()[0]
-    size = words or max(1, min(256, round((peers / _MEMBERS) ** 0.5)))
-    half = length // 2
-    books = codebook(points[:, :half], size), codebook(points[:, half:], size)
-    reach = fitted_reach(points, books, least, target)
+    points = {}
+    for row in drawn.collect():
+        points.setdefault(len(row.vec), []).append(row.vec)
+    peers = distinct.groupBy("label", F.size("vec").alias("n")).count().groupBy("n")
+    peers = peers.agg((F.sum(F.col("count") * F.col("count")) / F.sum("count")).alias("peers"))
+    books, reach = {}, {}
+    for row in peers.filter(F.col("n").isin(list(points))).collect():
+        unit = _unit(points[row.n])
+        size = words or max(1, min(256, round((row.peers / _MEMBERS) ** 0.5)))
+        half = row.n // 2
+        books[row.n] = codebook(unit[:, :half], size), codebook(unit[:, half:], size)
+        reach[row.n] = fitted_reach(unit, books[row.n], least, target)
     schema = T.StructType(
         [distinct.schema["label"], distinct.schema["id"], distinct.schema["copies"], distinct.schema["vec"]]
-        + [T.StructField("cell", T.LongType()), T.StructField("own", T.BooleanType())]
+        + [T.StructField("n", T.IntegerType()), T.StructField("cell", T.LongType()), T.StructField("own", T.BooleanType())]
     )
     placed = (
-        distinct.filter(F.size("vec") == length)
-        .select("label", "id", "copies", "vec")
+        distinct.select("label", "id", "copies", "vec")
         .repartition("id")
         .mapInPandas(_cells(books, reach), schema)
     )
-    sizes = placed.groupBy("label", "cell").agg(F.count_if("own").alias("members"), F.count("*").alias("visitors"))
+    sizes = placed.groupBy("label", "n", "cell").agg(F.count_if("own").alias("members"), F.count("*").alias("visitors"))
     slices = sizes.filter("members > 0 and visitors > 1").select(
         "label",
+        "n",
         "cell",
         F.ceil(F.col("members") / group).cast("int").alias("m"),
         F.ceil(F.col("visitors") / group).cast("int").alias("v"),
     )
-    cut = placed.join(slices, ["label", "cell"])
+    cut = placed.join(slices, ["label", "n", "cell"])
     turn = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     members = cut.filter("own").select(
-        "label", "cell", "id", "copies", "vec", "own", F.lit(0).alias("side"),
+        "label", "n", "cell", "id", "copies", "vec", "own", F.lit(0).alias("side"),
         (turn % F.col("m")).alias("m_slice"), F.explode(F.expr("sequence(0, v - 1)")).alias("v_slice"),
     )
     visitors = cut.select(
-        "label", "cell", "id", "copies", "vec", "own", F.lit(1).alias("side"),
+        "label", "n", "cell", "id", "copies", "vec", "own", F.lit(1).alias("side"),
         F.explode(F.expr("sequence(0, m - 1)")).alias("m_slice"), (turn % F.col("v")).alias("v_slice"),
     )
     found = checkpointed(
         members.unionByName(visitors.select(*members.columns))
-        .groupBy("label", "cell", "m_slice", "v_slice")
+        .groupBy("label", "n", "cell", "m_slice", "v_slice")
         .applyInPandas(_verified(least), "a long, b long, links long")
     )
     links = found.groupBy(F.col("a").alias("first")).agg(F.sum("links").alias("others"))

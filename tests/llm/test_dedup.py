@@ -292,6 +292,21 @@ def test_links_along_the_spread_of_the_data_are_found(spark, words):
     assert got == want
 
 
+@pytest.mark.parametrize(("words", "group", "sample"), [(None, 4096, 20_000), (5, 6, 20_000), (3, 4096, 2)])
+def test_vectors_of_every_length_link_with_their_like(spark, words, group, sample):
+    random_ = np.random.default_rng(6)
+    found = []
+    for length in (1, 2, 9, 16):
+        base = random_.normal(size=(6, length))
+        for k in range(60):
+            vec = base[k % 6] + random_.normal(size=length) * random_.choice([0, 0.02, 0.1])
+            found.append((len(found), vec.tolist(), k % 2))
+    frame = spark.createDataFrame(found, "vec_id long, embedding array<double>, label int")
+    want = plain_near(found, 0.98)
+    assert all(any(n for i, n, _, _ in want if i // 60 == part) for part in range(4))
+    assert rows(embeddings.near_vectors(frame, words=words, group=group, sample=sample)) == want
+
+
 def test_near_vector_query(spark):
     found = [(r[0], list(r[1]), r[2]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     assert rows(QUERIES["op6_embedding_near_dedup"](spark, SF)) == plain_near(found, 0.98)
