@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from layerkit.llm.common import importable, table
+from layerkit.llm.common import importable, shared_folder, table
 from layerkit.llm.embeddings import near_vectors
 from layerkit.llm.languages import language_predictions
 from layerkit.llm.packing import pack
 from layerkit.llm.pieces import piece_digests
 from layerkit.llm.quality_rules import quality_verdicts
-from layerkit.llm.sharding import place
+from layerkit.llm.sharding import place, slot_of, write_shards
 from layerkit.llm.simhash import simhash_components
 from layerkit.llm.substrings import removal_digests
 from layerkit.llm.token_counts import token_counts
@@ -47,8 +49,12 @@ URL_RULES = [
 
 @query
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = place(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], SHARDS)
-    return placed.select("row.doc_id", "slot", "shard")
+    """Whole documents are written into a folder per shard; ids and shards are those of the written rows."""
+    docs = table(spark, sf_dir, "documents")
+    folder = f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}"
+    write_shards(place(docs, ["doc_id"], SHARDS), folder)
+    written = spark.read.schema(T.StructType([*docs.schema, T.StructField("shard", T.StringType())])).parquet(folder)
+    return written.select("doc_id", slot_of([written["doc_id"]]).alias("slot"), "shard")
 
 
 @query

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -55,6 +55,10 @@ def table_frame(spark: SparkSession, shards: list[str], size: int = 65_537) -> D
     return spark.createDataFrame(rows, "slot int, shard string")
 
 
+def slot_of(keys: list[Column], size: int = 65_537) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(size)).cast("int")
+
+
 def place(df: DataFrame, keys: list[str], shards: list[str], size: int = 65_537) -> DataFrame:
     """`df` as a struct `row`, with its slot and shard.
 
@@ -63,7 +67,7 @@ def place(df: DataFrame, keys: list[str], shards: list[str], size: int = 65_537)
     placed once; nothing is shuffled. The table has `size` rows whatever the
     data, which bounds what is broadcast.
     """
-    slot = F.pmod(F.xxhash64(*[df[k] for k in keys]), F.lit(size)).cast("int")
+    slot = slot_of([df[k] for k in keys], size)
     rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), slot.alias("slot"))
     table = table_frame(df.sparkSession, shards, size)
     return rows.join(F.broadcast(table), "slot").select("row", "slot", "shard")

@@ -220,6 +220,15 @@ def test_sharding_query(spark):
     assert all(r.shard == SHARDS[table[r.slot]] for r in found)
 
 
+def test_sharding_query_writes_whole_documents(spark, folder, monkeypatch):
+    monkeypatch.setattr("layerkit.llm.queries.shared_folder", lambda spark: folder)
+    found = {(r.doc_id, r.shard) for r in QUERIES["op1_sharding"](spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    written = spark.read.parquet(f"{folder}/shards-*/")
+    assert rows(written.select(*docs.columns)) == rows(docs)
+    assert {(r.doc_id, r.shard) for r in written.selectExpr("doc_id", "regexp_extract(_metadata.file_path, 'shard=([^/]+)', 1) as shard").collect()} == found
+
+
 def plain_url(url):
     if not url or "://" not in url:
         return "", "", None
