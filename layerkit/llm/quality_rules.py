@@ -1,13 +1,14 @@
 """Quality rules whose cutoffs come with a guarantee, in DataFrame functions only.
 
-Half of the labelled documents of a stratum choose, the other half certify.
-For every rule the cutoffs are tried from the loosest to the tightest. On the
-certifying half, a cutoff that rejects k of n good documents is certified if a
-false rejection rate of `alpha` would give k or fewer with a probability of at
-most delta / (strata x rules), by the exact binomial sum; the first cutoff
-that fails ends the sequence of its rule. So with probability 1 - delta no
-stratum loses more than rules x alpha of its good documents. Among certified
-cutoffs the choosing half takes the one that pays most.
+For every rule the cutoffs are tried from the loosest to the tightest. Over all
+labelled documents of a stratum, a cutoff that rejects k of n good ones is
+certified if a false rejection rate of `alpha` would give k or fewer with a
+probability of at most delta / (strata x rules), by the exact binomial sum; the
+first cutoff that fails ends the sequence of its rule. A rule with a wrong
+cutoff among its certified ones has passed the first wrong one, so this one
+test bounds them all: with probability 1 - delta no stratum loses more than
+rules x alpha of its good documents, whichever certified cutoffs are chosen.
+So the same documents choose the one that pays most.
 """
 
 from __future__ import annotations
@@ -144,19 +145,19 @@ def fitted(
     stratum with few labels loses nothing.
     """
     known = labels.select(labels[id_col].alias(id_col), labels[good].alias("_good")).filter("_good is not null")
-    rows = counts.join(known, id_col).withColumn("_side", F.pmod(F.xxhash64(id_col, F.lit("holdout")), F.lit(2)))
+    rows = counts.join(known, id_col)
     # Not a filter: pushed below the counts it would make each of them several times.
     open_ = ~F.col("base_failed")
-    is_good, holdout = F.col("_good") == 1, F.col("_side") == 0
-    sums = [F.count_if(open_ & is_good & holdout).alias("n")]
+    is_good = F.col("_good") == 1
+    sums = [F.count_if(open_ & is_good).alias("n")]
     tries = []
     for rule, (_, cutoffs) in RULES.items():
         for place, cutoff in enumerate(cutoffs):
             out = open_ & (_value(rule) > cutoff)
             name = f"{rule}_{place}"
             sums += [
-                F.count_if(out & is_good & holdout).alias(f"{name}_k"),
-                (F.count_if(out & ~is_good & ~holdout) - price * F.count_if(out & is_good & ~holdout)).alias(f"{name}_pay"),
+                F.count_if(out & is_good).alias(f"{name}_k"),
+                (F.count_if(out & ~is_good) - price * F.count_if(out & is_good)).alias(f"{name}_pay"),
             ]
             tries.append(
                 F.struct(

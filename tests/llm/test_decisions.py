@@ -94,6 +94,20 @@ def test_cutoffs_are_certified_and_pay(judged_rows):
     assert {r.doc_id for r in kept.collect()} == {k for k, ok in verdicts.items() if ok}
 
 
+def test_all_labels_of_a_stratum_certify(spark):
+    """One stratum needs ln(delta / rules) / ln(1 - alpha) = 459 good documents, and none rejected."""
+    random.seed(12)
+    data, marks = [], []
+    for k in range(500):
+        bad = k >= 460
+        data.append((k, " ".join(f"w{random.randrange(10**6)}{'##' if bad else ''}" for _ in range(60)), "en"))
+        marks.append((k, int(not bad)))
+    counts = quality_rules.with_counts(spark.createDataFrame(data, "doc_id long, text string, lang string"), "text")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    assert [r.cutoffs for r in quality_rules.fitted(counts, labels).collect()] == [{"symbols": 1.0}]
+    assert quality_rules.fitted(counts, labels.filter("doc_id >= 2")).count() == 0
+
+
 def test_a_cutoff_over_good_documents_is_refused(spark):
     random.seed(4)
     data, marks = [], []
