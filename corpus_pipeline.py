@@ -45,9 +45,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that they share; n_chars follows, and documents left empty go."""
+    """Texts without the passages that they share; n_chars follows, and documents left empty stay, as empty texts."""
     importable(spark)
-    cut = remove_repeats(docs, window=35)
+    cut = remove_repeats(docs, window=35, drop_empty=False)
     return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -339,6 +339,16 @@ def test_stages_are_the_operators_one_after_another(spark):
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in docs.collect()}
 
 
+def test_a_document_quoted_whole_stays_in_the_pipeline(spark):
+    short = " ".join(f"w{k}" for k in range(60))
+    data = [(1, short, "en", "s", len(short)), (2, f"before {short} after", "en", "s", len(short) + 13)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    cut = corpus_pipeline.passages(spark, docs, SF)
+    assert rows(cut.select("doc_id", "text", "n_chars")) == [(1, "", 0), (2, "before after", 12)]
+    packed = corpus_pipeline.packing(spark, cut, SF)
+    assert {r.doc_id for r in packed.collect()} == {1, 2}
+
+
 def test_pipeline_of_odd_rows(odd, nothing, spark):
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, odd, SF).collect()
