@@ -19,6 +19,7 @@ from layerkit.llm.sharding import place, slot_of, write_shards
 from layerkit.llm.simhash import simhash_components
 from layerkit.llm.substrings import removal_digests
 from layerkit.llm.token_counts import token_counts
+from layerkit.llm.token_files import read_tokens, with_digests, write_tokens
 from layerkit.llm.url_filter import path_of, url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +106,11 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_predictions(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus as token files; lengths and checksums are those of the lists read back."""
+    folder = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    write_tokens(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", folder)
+    return with_digests(read_tokens(spark, folder))
