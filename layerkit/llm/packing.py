@@ -8,70 +8,13 @@ one closes. Nothing is shuffled; a task that runs again gives the same rows.
 
 from __future__ import annotations
 
-import json
 import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from layerkit.llm.chunks import resolved
-from layerkit.llm.token_counts import byte_letters
-
-_IDS: dict[str, tuple] = {}
-
-
-def _encoders(path: str):
-    """Two functions from text to id bytes, once per Python worker: for any text, and for Latin-1.
-
-    The second is tiktoken with the vocabulary of the same JSON file, five
-    times as fast. It is taken only where its ranks are the file's merges in
-    order, and for Latin-1, where both libraries' patterns see the same
-    classes of characters; tests hold the ids equal.
-    """
-    if path not in _IDS:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(resolved(path))
-
-        def ids(text: str) -> bytes:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-        _IDS[path] = ids, _latin(path) or ids
-    return _IDS[path]
-
-
-def _latin(path: str):
-    import public_tokenizers
-    import tiktoken
-
-    with open(resolved(path), encoding="utf-8") as file:
-        spec = json.load(file)
-    vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
-    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
-    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-    if any(vocab.get(a + b) != 256 + i for i, (a, b) in enumerate(pairs)):
-        return None
-    back = {letter: byte for byte, letter in byte_letters().items()}
-    ranks = {bytes(back[c] for c in t): i for t, i in vocab.items() if t not in special}
-    encoding = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-
-    def ids(text: str) -> bytes:
-        return encoding.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
-
-    return ids
-
-
-def token_ids(text: str | None, path: str) -> bytes:
-    """The ids of a whole text as little-endian unsigned 32-bit numbers."""
-    if not text:
-        return b""
-    any_text, latin = _encoders(path)
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return any_text(text)
-    return latin(text)
+from layerkit.llm.token_ids import token_ids
 
 
 class BestFit:
@@ -167,8 +110,8 @@ def pack(
                 continue
             rows, numbers = [], [[] for _ in range(7)]
             piece_col, start_col, length_col, crc_col, seq_col, off_col, ids_col = numbers
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                ids = token_ids(text, tokenizer) + end
+            for i, ids in enumerate(token_ids(batch.column(1).to_pylist(), tokenizer)):
+                ids += end
                 for k, (start, length) in enumerate(pieces(len(ids) // 4, size)):
                     part = ids[4 * start : 4 * (start + length)]
                     number, offset = bins.place(length)

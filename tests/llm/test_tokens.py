@@ -50,7 +50,7 @@ def test_counts_are_the_librarys(texts, tokenizer):
 
 def test_ids_are_the_librarys(texts, tokenizer):
     for text in texts:
-        ids = np.frombuffer(packing.token_ids(text, JSON), "<u4").tolist()
+        ids = np.frombuffer(packing.token_ids([text], JSON)[0], "<u4").tolist()
         assert ids == tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -188,3 +188,9 @@ def test_piece_query(spark, library):
         ids = library.encode(r.text or "")
         want.append((r.doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), True))
     assert rows(QUERIES["op8_sentencepiece"](spark, SF)) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("middle", [" " * 2_000_000, "\n" * 2_000_000, "x" * 1_200_000, "x y " * 300_000])
+def test_very_long_texts_are_packed(spark, tokenizer, middle):
+    docs = spark.createDataFrame([(1, f"x{middle}y"), (2, "more")], "doc_id long, text string")
+    check_packing(packing.pack(docs, JSON), docs, tokenizer, 1024)
