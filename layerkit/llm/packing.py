@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import zlib
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -97,7 +96,6 @@ def pack(
     if with_ids:
         fields.append(T.StructField("ids", T.BinaryType()))
     names = [f.name for f in fields]
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def packed(batches):
         import pyarrow as pa
@@ -110,10 +108,11 @@ def pack(
                 continue
             rows, numbers = [], [[] for _ in range(7)]
             piece_col, start_col, length_col, crc_col, seq_col, off_col, ids_col = numbers
-            for i, ids in enumerate(token_ids(batch.column(1).to_pylist(), tokenizer)):
-                ids += end
-                for k, (start, length) in enumerate(pieces(len(ids) // 4, size)):
-                    part = ids[4 * start : 4 * (start + length)]
+            ids, bounds = token_ids(batch.column(1), tokenizer, end_id)
+            view, bounds = memoryview(ids).cast("B"), bounds.tolist()
+            for i, (first, last) in enumerate(zip(bounds, bounds[1:], strict=False)):
+                for k, (start, length) in enumerate(pieces(last - first, size)):
+                    part = view[4 * (first + start) : 4 * (first + start + length)]
                     number, offset = bins.place(length)
                     rows.append(i)
                     piece_col.append(k)
@@ -123,7 +122,7 @@ def pack(
                     seq_col.append(base + number)
                     off_col.append(offset)
                     if with_ids:
-                        ids_col.append(part)
+                        ids_col.append(bytes(part))
             columns = [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(piece_col, pa.int32())]
             columns += [pa.array(c, pa.int64()) for c in (start_col, length_col, crc_col, seq_col, off_col)]
             if with_ids:

@@ -58,30 +58,27 @@ def write_tokens(
             T.StructField("ids", T.ArrayType(T.IntegerType())),
         ]
     )
-    end = np.array([end_id], dtype="<u4").tobytes()
-
     def encoded(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
         file, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            lists = [ids + end for ids in token_ids(batch.column(1).to_pylist(), tokenizer)]
-            lengths = np.array([len(ids) // 4 for ids in lists], dtype=np.int64)
-            ends = np.concatenate([[0], np.cumsum(lengths)])
-            values = np.frombuffer(b"".join(lists), dtype="<u4").astype(np.int32)
+            ids, bounds = token_ids(batch.column(1), tokenizer, end_id)
+            view, n = memoryview(ids).cast("B"), len(bounds) - 1
+            sums = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array(np.full(len(lists), file, dtype=np.int32)),
-                    pa.array(before + ends[:-1]),
-                    pa.array(lengths),
-                    pa.array(np.array([zlib.crc32(ids) for ids in lists], dtype=np.int64)),
-                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values)),
+                    pa.array(np.full(n, file, dtype=np.int32)),
+                    pa.array(before + bounds[:-1]),
+                    pa.array(np.diff(bounds)),
+                    pa.array(sums, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.view(np.int32))),
                 ],
                 names=schema.fieldNames(),
             )
-            before += int(ends[-1])
+            before += int(bounds[-1])
 
     writer = placed.mapInArrow(encoded, schema).write
     layout = {

@@ -1,25 +1,33 @@
 """Token ids by the tokenizers library, with the ids of recurring chunks kept per worker.
 
 A byte-level BPE always cuts at a space between two characters that aren't
-white (see `chunks`), so a chunk gives the same ids wherever it stands. The
-chunks of some texts that aren't known yet go through the library in one call,
-and the ids that come back are told apart by their lengths in bytes. Texts of
-other tokenizers go through the library whole.
+white (see `chunks`), so a chunk gives the same ids wherever it stands. Arrow
+cuts texts into chunks and tells the distinct ones; those not known yet go
+through the library in one call, and the ids that come back are told apart by
+their lengths in bytes. Texts of other tokenizers go through the library whole.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
 
 import numpy as np
 
-from layerkit.llm.chunks import resolved
+from layerkit.llm.chunks import MARKS, resolved
+from layerkit.llm.token_counts import byte_letters
 
 #: Where every chunk but a text's first begins.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 
-#: Texts are worked on in spans of about so many characters.
+#: Letters below this are letters to every version of Unicode: a run of them is one pre-token.
+LATIN_END = "\u0250"
+
+#: Bytes of text worked on together; a longer text is worked on alone.
+SLICE = 4 << 20
+
+#: Texts with white space beside spaces are worked on in spans of about so many characters.
 SPAN = 1 << 20
 
 _ENCODERS: dict[str, TokenIds] = {}
@@ -28,8 +36,7 @@ _ENCODERS: dict[str, TokenIds] = {}
 class TokenIds:
     """Ids of whole texts as little-endian unsigned 32-bit numbers, for one tokenizers JSON file.
 
-    At most about `limit` chunks are kept; when there are more, only those of
-    the texts at hand stay.
+    At most about `limit` chunks are kept, and as many old ones.
     """
 
     def __init__(self, path: str, limit: int = 600_000):
@@ -41,50 +48,149 @@ class TokenIds:
         # Cut to nothing and filled up to nothing, whatever the file says.
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.merges = self.tokenizer.model
+        self.letters = byte_letters()
         self.sizes = _byte_sizes(spec)
         self.limit = limit
         self.kept: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text; a null is empty."""
+    def __call__(self, texts, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in one array, and the bounds of each text's ids in it; a null is empty, `end` follows every text.
+
+        `texts` is an Arrow array of strings or a list of them.
+        """
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        column = column.fill_null("")
+        after = b"" if end is None else np.array([end], dtype="<u4").tobytes()
+        before = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE
+        edges = [0, *(np.flatnonzero(np.diff(before)) + 1).tolist(), len(column)] if len(column) else [0]
+        parts = [self._slice(column.slice(a, b - a), after) for a, b in zip(edges, edges[1:], strict=False)]
+        ids = np.concatenate([np.empty(0, "<u4"), *[p[0] for p in parts]])
+        lengths = np.concatenate([np.zeros(1, np.int64), *[p[1] for p in parts]])
+        return ids, np.cumsum(lengths)
+
+    def _slice(self, texts, after: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number per text: Arrow cuts the texts, each distinct chunk is looked up once."""
+        import pyarrow.compute as pc
+
         if self.sizes is None:
-            return [self.whole(t) if t else b"" for t in texts]
-        out, waiting, size = [], [], 0
-        for text in texts:
-            spans = list(_spans(text or ""))
-            if len(spans) > 1:
-                out += self._joined(waiting)
-                waiting, size = [], 0
-                out.append(b"".join(self._joined([s])[0] for s in spans))
-                continue
-            waiting.append(text or "")
-            size += len(waiting[-1])
-            if size >= SPAN:
-                out += self._joined(waiting)
-                waiting, size = [], 0
-        return out + self._joined(waiting)
-
-    def _joined(self, texts: list[str]) -> list[bytes]:
-        cut = [_chunks(t) for t in texts]
-        kept = self.kept
-        unknown = list(set().union(*[rest for _, rest, _ in cut]) - kept.keys())
-        if unknown:
-            kept.update(zip(unknown, self._together(unknown), strict=True))
+            made = [np.frombuffer(self.whole(t) + after, "<u4") for t in texts.to_pylist()]
+            return np.concatenate(made), np.array([len(ids) for ids in made], dtype=np.int64)
+        cut = pc.split_pattern(texts, " ")
+        coded = cut.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        index = coded.indices.to_numpy().astype(np.int64)
+        starts = cut.offsets.to_numpy()[:-1].astype(np.int64)
+        starts -= starts[0]
+        counts = np.diff(np.append(starts, len(index)))
+
+        edged = np.fromiter((not c or c != c.strip() for c in chunks), bool, len(chunks))
+        heads = [chunks[i] for i in index[starts].tolist()]
+        odd = edged[index]
+        odd[starts] = [h != h.rstrip() for h in heads]
+        odd = np.logical_or.reduceat(odd, starts)
+
+        known = [*map(self.kept.get, chunks)]
+        at = [k for k, ids in enumerate(known) if ids is None]
+        missing = {chunks[k]: k for k in at if not edged[k]}
+        for chunk, ids in self._learnt(missing):
+            known[missing[chunk]] = ids
+        # Pieces: the distinct chunks, then each text's head (an odd text is one head), then the end.
+        pieces = [ids or b"" for ids in known]
+        for i, head in enumerate(heads):
+            pieces.append(self._spanned(texts[i].as_py()) if odd[i] else self.whole(head) if head else b"")
+        pieces.append(after)
+        kept = ~np.repeat(odd, counts)
+        kept[starts] = True
+        piece = index
+        piece[starts] = len(chunks) + np.arange(len(heads))
+        counts = np.where(odd, 1, counts)
+        ends = np.cumsum(counts)
+        piece = np.insert(piece[kept], ends, len(pieces) - 1)
+
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        lengths = sizes[piece]
+        shift = (np.cumsum(sizes) - sizes)[piece] - (np.cumsum(lengths) - lengths)
+        places = np.repeat(shift, lengths)
+        places += np.arange(len(places))
+        ids = np.frombuffer(b"".join(pieces), "<u4")[places]
+        return ids, np.add.reduceat(lengths, ends - counts + np.arange(len(ends)))
+
+    def _spanned(self, text: str) -> bytes:
+        """The ids of a text that has white space beside its spaces."""
         out = []
-        for head, rest, tail in cut:
-            ids = [self.whole(head)] if head else []
-            ids += map(kept.__getitem__, rest)
-            if tail:
-                ids.append(self.whole(tail))
-            out.append(b"".join(ids))
+        for span in _spans(text):
+            head, *rest = CUT.split(span)
+            tail = " " + rest.pop() if rest and rest[-1][-1].isspace() else ""
+            out.append(self.whole(head) if head else b"")
+            found = dict(self._learnt(dict.fromkeys(rest)))
+            out += map(found.__getitem__, rest)
+            out.append(self.whole(tail) if tail else b"")
+        return b"".join(out)
+
+    def _learnt(self, chunks) -> list[tuple[str, bytes]]:
+        """Each chunk with its ids, which are kept from now on.
+
+        Marks behind a letter are tokens of their own, so a word's ids serve
+        with and without them. When too many chunks are kept they become the
+        old ones; those of the old ones that come again stay.
+        """
+        kept, old = self.kept, self.old
+        parts, unknown = {}, {}
+        for chunk in chunks:
+            if chunk in kept:
+                continue
+            if (ids := old.get(chunk)) is not None:
+                kept[chunk] = ids
+                continue
+            word = chunk.rstrip(MARKS)
+            if word != chunk and word and word[-1].isalpha():
+                parts[chunk] = word, chunk[len(word) :]
+                if (ids := old.get(word)) is not None:
+                    kept[word] = ids
+                    continue
+                chunk = word
+            if chunk not in kept:
+                unknown[chunk] = None
+        together = []
+        for chunk in unknown:
+            if chunk.isalpha() and (chunk.isascii() or max(chunk) < LATIN_END):
+                kept[chunk] = self._word(chunk)
+            else:
+                together.append(chunk)
+        if together:
+            kept.update(zip(together, self._together(together), strict=True))
+        for chunk, (word, marks) in parts.items():
+            kept[chunk] = kept[word] + self._marks(marks)
+        learnt = [(c, kept[c]) for c in chunks]
         if len(kept) > self.limit:
-            self.kept = {c: kept[c] for _, rest, _ in cut for c in rest if len(c) <= 64}
-        return out
-
-    def _together(self, chunks: list[str]) -> list[bytes]:
+            self.old = {c: ids for c, ids in kept.items() if len(c) <= 64}
+            self.kept = {}
+        return learnt
+
+    def _word(self, word: str) -> bytes:
+        """The ids of letters behind a space, straight from the library's merges."""
+        shown = " " + word
+        made = self.merges.tokenize(shown.encode().decode("latin-1").translate(self.letters))
+        return array("I", [t.id for t in made]).tobytes()
+
+    def _marks(self, marks: str) -> bytes:
+        if marks not in self.marks:
+            ids = self.whole(marks)
+            if len(marks) > 8:
+                return ids
+            self.marks[marks] = ids
+        return self.marks[marks]
+
+    def _together(self, chunks) -> list[bytes]:
         """The ids of each chunk behind a space, from one call of the library."""
         text = " " + " ".join(chunks)
         made = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -128,19 +234,8 @@ def _spans(text: str):
     yield text[start:] if start else text
 
 
-def _chunks(text: str) -> tuple[str, list[str], str]:
-    """The text's head, the chunks behind a cut each, and a last one that ends in white space, its space included."""
-    head, *rest = text.split(" ")
-    if "" not in rest and [*map(str.strip, rest)] == rest and head.rstrip() == head:
-        return head, rest, ""
-    head, *rest = CUT.split(text)
-    if rest and rest[-1][-1].isspace():
-        return head, rest[:-1], " " + rest[-1]
-    return head, rest, ""
-
-
-def token_ids(texts: list[str | None], path: str) -> list[bytes]:
-    """The ids of whole texts by one tokenizers JSON file, once loaded per Python worker."""
+def token_ids(texts, path: str, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and bounds of whole texts by one tokenizers JSON file, once loaded per Python worker."""
     if path not in _ENCODERS:
         _ENCODERS[path] = TokenIds(path)
-    return _ENCODERS[path](texts)
+    return _ENCODERS[path](texts, end)
