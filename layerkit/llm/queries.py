@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from layerkit.llm import oracles
 from layerkit.llm.common import importable, shared_folder, table
 from layerkit.llm.embeddings import near_vectors
+from layerkit.llm.hard_negatives import hard_negatives
 from layerkit.llm.languages import language_predictions
 from layerkit.llm.packing import pack
 from layerkit.llm.pieces import piece_digests
@@ -26,15 +28,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(fn):
+def query(fn, sql: str | None = None):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         importable(spark)
         return fn(spark, sf_dir)
 
     QUERIES[fn.__name__] = run
+    if sql is not None:
+        ORACLES[fn.__name__] = sql
     return fn
 
 
+def checked(sql: str):
+    """Register a query with the SQL that must give the same rows."""
+    return lambda fn: query(fn, sql)
+
+
 #: The shards that documents are dealt to.
 SHARDS = [f"shard-{k:03d}" for k in range(128)]
 
@@ -108,6 +117,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_predictions(table(spark, sf_dir, "documents"))
 
 
+@checked(oracles.HARD_NEGATIVES)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fiftieth vector is an anchor; every seventh carries the next label."""
+    vectors = table(spark, sf_dir, "embeddings")
+    number, label = vectors["vec_id"], vectors["label"].cast("long")
+    label = F.when(number % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(vectors, number % 50 == 0, label)
+
+
 @query
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus as token files; lengths and checksums are those of the lists read back."""
