@@ -24,3 +24,25 @@ FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.alike
   AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
 QUALIFY rank <= 3
 """
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+RANKED_SEARCH = f"""
+WITH held AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+counted AS (SELECT doc_id, term, count(*) AS tf FROM held GROUP BY ALL),
+lengths AS (SELECT doc_id, count(*) AS n FROM held GROUP BY ALL),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+wanted AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, totals GROUP BY term, docs),
+scored AS (
+  SELECT item_id, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM wanted JOIN counted USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals
+  GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+       doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""

@@ -17,6 +17,7 @@ from layerkit.llm.languages import language_predictions
 from layerkit.llm.packing import pack
 from layerkit.llm.pieces import piece_digests
 from layerkit.llm.quality_rules import quality_verdicts
+from layerkit.llm.ranked_search import ranked_search
 from layerkit.llm.sharding import place, slot_of, write_shards
 from layerkit.llm.simhash import simhash_components
 from layerkit.llm.substrings import removal_digests
@@ -117,6 +118,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_predictions(table(spark, sf_dir, "documents"))
 
 
+@checked(oracles.RANKED_SEARCH)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), most=50)
+
+
 @checked(oracles.HARD_NEGATIVES)
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fiftieth vector is an anchor; every seventh carries the next label."""
