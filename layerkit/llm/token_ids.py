@@ -99,10 +99,9 @@ class TokenIds:
         odd = np.logical_or.reduceat(odd, starts)
 
         known = [*map(self.kept.get, chunks)]
-        at = [k for k, ids in enumerate(known) if ids is None]
-        missing = {chunks[k]: k for k in at if not edged[k]}
-        for chunk, ids in self._learnt(missing):
-            known[missing[chunk]] = ids
+        at = [k for k, ids in enumerate(known) if ids is None and not edged[k]]
+        for k, ids in zip(at, self._learnt([chunks[k] for k in at]), strict=True):
+            known[k] = ids
         # Pieces: the distinct chunks, then each text's head (an odd text is one head), then the end.
         pieces = [ids or b"" for ids in known]
         for i, head in enumerate(heads):
@@ -131,56 +130,49 @@ class TokenIds:
             head, *rest = CUT.split(span)
             tail = " " + rest.pop() if rest and rest[-1][-1].isspace() else ""
             out.append(self.whole(head) if head else b"")
-            found = dict(self._learnt(dict.fromkeys(rest)))
+            distinct = list(dict.fromkeys(rest))
+            found = dict(zip(distinct, self._learnt(distinct), strict=True))
             out += map(found.__getitem__, rest)
             out.append(self.whole(tail) if tail else b"")
         return b"".join(out)
 
-    def _learnt(self, chunks) -> list[tuple[str, bytes]]:
-        """Each chunk with its ids, which are kept from now on.
+    def _learnt(self, chunks: list[str]) -> list[bytes]:
+        """The ids of distinct chunks that aren't kept yet; from now on they are.
 
         Marks behind a letter are tokens of their own, so a word's ids serve
         with and without them. When too many chunks are kept they become the
         old ones; those of the old ones that come again stay.
         """
         kept, old = self.kept, self.old
-        parts, unknown = {}, {}
-        for chunk in chunks:
-            if chunk in kept:
-                continue
-            if (ids := old.get(chunk)) is not None:
-                kept[chunk] = ids
-                continue
-            word = chunk.rstrip(MARKS)
-            if word != chunk and word and word[-1].isalpha():
-                parts[chunk] = word, chunk[len(word) :]
+        found = [*map(old.get, chunks)]
+        fresh = [c for c, ids in zip(chunks, found, strict=True) if ids is None]
+        kept.update([(c, ids) for c, ids in zip(chunks, found, strict=True) if ids is not None])
+        marked = [(c, w) for c in fresh if (w := c.rstrip(MARKS)) != c and w and w[-1].isalpha()]
+        alone = dict.fromkeys(fresh)
+        for chunk, word in marked:
+            del alone[chunk]
+            if word not in kept:
                 if (ids := old.get(word)) is not None:
                     kept[word] = ids
-                    continue
-                chunk = word
-            if chunk not in kept:
-                unknown[chunk] = None
-        together = []
-        for chunk in unknown:
-            if chunk.isalpha() and (chunk.isascii() or max(chunk) < LATIN_END):
-                kept[chunk] = self._word(chunk)
-            else:
-                together.append(chunk)
-        if together:
-            kept.update(zip(together, self._together(together), strict=True))
-        for chunk, (word, marks) in parts.items():
-            kept[chunk] = kept[word] + self._marks(marks)
-        learnt = [(c, kept[c]) for c in chunks]
+                else:
+                    alone[word] = None
+        words = [c for c in alone if c.isalpha() and (c.isascii() or max(c) < LATIN_END)]
+        kept.update(zip(words, self._words(words), strict=True))
+        others = [c for c in alone if c not in kept]
+        if others:
+            kept.update(zip(others, self._together(others), strict=True))
+        kept.update([(c, kept[w] + self._marks(c[len(w) :])) for c, w in marked])
+        learnt = [*map(kept.__getitem__, chunks)]
         if len(kept) > self.limit:
             self.old = {c: ids for c, ids in kept.items() if len(c) <= 64}
             self.kept = {}
         return learnt
 
-    def _word(self, word: str) -> bytes:
-        """The ids of letters behind a space, straight from the library's merges."""
-        shown = " " + word
-        made = self.merges.tokenize(shown.encode().decode("latin-1").translate(self.letters))
-        return array("I", [t.id for t in made]).tobytes()
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of runs of letters behind a space, straight from the library's merges."""
+        merged, letters, space = self.merges.tokenize, self.letters, self.letters[32]
+        shown = [space + (w if w.isascii() else w.encode().decode("latin-1").translate(letters)) for w in words]
+        return [array("I", [t.id for t in merged(w)]).tobytes() for w in shown]
 
     def _marks(self, marks: str) -> bytes:
         if marks not in self.marks:
