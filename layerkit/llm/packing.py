@@ -13,7 +13,7 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from layerkit.llm.token_ids import token_ids
+from layerkit.llm.token_ids import gathered, token_ids
 
 
 class BestFit:
@@ -103,7 +103,7 @@ def pack(
 
         base = TaskContext.get().partitionId() << 36
         bins = BestFit(size, open_bins)
-        for batch in batches:
+        for batch in gathered(batches):
             if not batch.num_rows:
                 continue
             rows, numbers = [], [[] for _ in range(7)]

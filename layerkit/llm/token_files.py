@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerkit.llm.token_ids import token_ids
+from layerkit.llm.token_ids import gathered, token_ids
 
 NUMBERS = ["doc_id", "start", "n_tokens", "ids_crc32"]
 
@@ -63,7 +63,7 @@ def write_tokens(
         from pyspark import TaskContext
 
         file, before = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in gathered(batches):
             ids, bounds = token_ids(batch.column(1), tokenizer, end_id)
             view, n = memoryview(ids).cast("B"), len(bounds) - 1
             sums = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False)]

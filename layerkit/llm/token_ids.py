@@ -25,7 +25,7 @@ CUT = re.compile(r"(?<=\S) (?=\S)")
 LATIN_END = "\u0250"
 
 #: Bytes of text worked on together; a longer text is worked on alone.
-SLICE = 4 << 20
+SLICE = 8 << 20
 
 #: Texts with white space beside spaces are worked on in spans of about so many characters.
 SPAN = 1 << 20
@@ -39,7 +39,7 @@ class TokenIds:
     At most about `limit` chunks are kept, and as many old ones.
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 500_000):
         from tokenizers import Tokenizer
 
         with open(resolved(path), encoding="utf-8") as file:
@@ -78,7 +78,8 @@ class TokenIds:
         return ids, np.cumsum(lengths)
 
     def _slice(self, texts, after: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and their number per text: Arrow cuts the texts, each distinct chunk is looked up once."""
+        """Ids and their number per text: Arrow cuts the texts, each distinct word is looked up once."""
+        import pyarrow as pa
         import pyarrow.compute as pc
 
         if self.sizes is None:
@@ -86,34 +87,50 @@ class TokenIds:
             return np.concatenate(made), np.array([len(ids) for ids in made], dtype=np.int64)
         cut = pc.split_pattern(texts, " ")
         coded = cut.flatten().dictionary_encode()
-        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         index = coded.indices.to_numpy().astype(np.int64)
         starts = cut.offsets.to_numpy()[:-1].astype(np.int64)
         starts -= starts[0]
         counts = np.diff(np.append(starts, len(index)))
 
-        edged = np.fromiter((not c or c != c.strip() for c in chunks), bool, len(chunks))
-        heads = [chunks[i] for i in index[starts].tolist()]
-        odd = edged[index]
+        # A distinct chunk is a word and the marks behind it, if it ends in a letter and marks.
+        chunks = coded.dictionary
+        bare = pc.utf8_rtrim(chunks, characters=MARKS)
+        bare = pc.if_else(pc.match_substring_regex(bare, r"\p{L}$"), bare, chunks)
+        length = pc.utf8_length(bare).to_numpy(zero_copy_only=False)
+        marked = np.flatnonzero(pc.utf8_length(chunks).to_numpy(zero_copy_only=False) > length)
+        coded = bare.dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        word_of = coded.indices.to_numpy().astype(np.int64)
+
+        edged = np.fromiter((not w or w != w.strip() for w in words), bool, len(words))
+        heads = chunks.take(pa.array(index[starts])).to_pylist()
+        odd = edged[word_of][index]
         odd[starts] = [h != h.rstrip() for h in heads]
         odd = np.logical_or.reduceat(odd, starts)
 
-        known = [*map(self.kept.get, chunks)]
+        known = [*map(self.kept.get, words)]
         at = [k for k, ids in enumerate(known) if ids is None and not edged[k]]
-        for k, ids in zip(at, self._learnt([chunks[k] for k in at]), strict=True):
+        for k, ids in zip(at, self._learnt([words[k] for k in at]), strict=True):
             known[k] = ids
-        # Pieces: the distinct chunks, then each text's head (an odd text is one head), then the end.
+        # Pieces: distinct words, then the marks, then each text's head (an odd text is one head), then the end.
         pieces = [ids or b"" for ids in known]
+        marks_of = np.full(len(chunks), -1)
+        marks_of[marked] = len(pieces) + np.arange(len(marked))
+        ends_in = chunks.take(pa.array(marked)).to_pylist()
+        pieces += [self._marks(c[n:]) for c, n in zip(ends_in, length[marked].tolist(), strict=True)]
+        first_head = len(pieces)
         for i, head in enumerate(heads):
             pieces.append(self._spanned(texts[i].as_py()) if odd[i] else self.whole(head) if head else b"")
         pieces.append(after)
         kept = ~np.repeat(odd, counts)
         kept[starts] = True
-        piece = index
-        piece[starts] = len(chunks) + np.arange(len(heads))
-        counts = np.where(odd, 1, counts)
+        both = np.stack([word_of[index], marks_of[index]], axis=1)
+        both[starts, 0], both[starts, 1] = first_head + np.arange(len(heads)), -1
+        both = both[kept]
+        there = both >= 0
+        counts = np.add.reduceat(there.sum(axis=1), np.cumsum(np.where(odd, 1, counts)) - np.where(odd, 1, counts))
         ends = np.cumsum(counts)
-        piece = np.insert(piece[kept], ends, len(pieces) - 1)
+        piece = np.insert(both[there], ends, len(pieces) - 1)
 
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
         lengths = sizes[piece]
@@ -136,35 +153,24 @@ class TokenIds:
             out.append(self.whole(tail) if tail else b"")
         return b"".join(out)
 
-    def _learnt(self, chunks: list[str]) -> list[bytes]:
-        """The ids of distinct chunks that aren't kept yet; from now on they are.
+    def _learnt(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words that aren't kept yet, each behind a space; from now on they are.
 
-        Marks behind a letter are tokens of their own, so a word's ids serve
-        with and without them. When too many chunks are kept they become the
-        old ones; those of the old ones that come again stay.
+        When too many are kept they become the old ones; those of the old ones
+        that come again stay.
         """
-        kept, old = self.kept, self.old
-        found = [*map(old.get, chunks)]
-        fresh = [c for c, ids in zip(chunks, found, strict=True) if ids is None]
-        kept.update([(c, ids) for c, ids in zip(chunks, found, strict=True) if ids is not None])
-        marked = [(c, w) for c in fresh if (w := c.rstrip(MARKS)) != c and w and w[-1].isalpha()]
-        alone = dict.fromkeys(fresh)
-        for chunk, word in marked:
-            del alone[chunk]
-            if word not in kept:
-                if (ids := old.get(word)) is not None:
-                    kept[word] = ids
-                else:
-                    alone[word] = None
-        words = [c for c in alone if c.isalpha() and (c.isascii() or max(c) < LATIN_END)]
-        kept.update(zip(words, self._words(words), strict=True))
-        others = [c for c in alone if c not in kept]
-        if others:
-            kept.update(zip(others, self._together(others), strict=True))
-        kept.update([(c, kept[w] + self._marks(c[len(w) :])) for c, w in marked])
-        learnt = [*map(kept.__getitem__, chunks)]
+        kept = self.kept
+        found = [*map(self.old.get, words)]
+        fresh = [w for w, ids in zip(words, found, strict=True) if ids is None]
+        letters = [w for w in fresh if w.isalpha() and (w.isascii() or max(w) < LATIN_END)]
+        made = dict(zip(letters, self._words(letters), strict=True))
+        if len(letters) < len(fresh):
+            others = [w for w in fresh if w not in made]
+            made.update(zip(others, self._together(others), strict=True))
+        learnt = [made[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+        kept.update(zip(words, learnt, strict=True))
         if len(kept) > self.limit:
-            self.old = {c: ids for c, ids in kept.items() if len(c) <= 64}
+            self.old = {w: ids for w, ids in kept.items() if len(w) <= 64}
             self.kept = {}
         return learnt
 
@@ -182,7 +188,7 @@ class TokenIds:
             self.marks[marks] = ids
         return self.marks[marks]
 
-    def _together(self, chunks) -> list[bytes]:
+    def _together(self, chunks: list[str]) -> list[bytes]:
         """The ids of each chunk behind a space, from one call of the library."""
         text = " " + " ".join(chunks)
         made = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -231,3 +237,18 @@ def token_ids(texts, path: str, end: int | None = None) -> tuple[np.ndarray, np.
     if path not in _ENCODERS:
         _ENCODERS[path] = TokenIds(path)
     return _ENCODERS[path](texts, end)
+
+
+def gathered(batches, column: int = 1, size: int = 6 << 20):
+    """Neighbouring batches as one, so that words which recur in them are looked up once."""
+    import pyarrow as pa
+
+    kept, held = [], 0
+    for batch in batches:
+        kept.append(batch)
+        held += batch.column(column).nbytes
+        if held >= size:
+            yield pa.concat_batches(kept)
+            kept, held = [], 0
+    if kept:
+        yield pa.concat_batches(kept)
