@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from layerkit import presets
 from layerkit.operators.aggregate import group_count
 from layerkit.operators.retention import expired
-from layerkit.plans.layers import BATCH, Layers, create, expire_raw, merge_rows, rebuild_agg, rebuild_clean
+from layerkit.plans.layers import BATCH, Layers, append_load, create, expire_raw, merge_rows, rebuild_agg, rebuild_clean
 from layerkit.quality.evaluate import check_status, error_records
 from layerkit.quality.rules import RowRule, Unique
 from layerkit.session import local_session, scratch_schema
-from layerkit.sources.tables import append, batches, gather
+from layerkit.sources.tables import batches
 from layerkit.workload import QUERIES
 from layerkit.workload.inputs import CUT, raw
 
@@ -80,7 +80,7 @@ def merge_median(spark, early: DataFrame, late: DataFrame) -> float:
     for _ in range(ROUNDS + 1):
         layers = Layers(schema=scratch_schema(spark, "merge"), clean_buckets=8, agg_buckets=2)
         create(spark, layers)
-        append(gather(early, BATCH), layers.raw)
+        append_load(layers, early)
         rebuild_clean(spark, layers)
         rebuild_agg(spark, layers)
         start = time.perf_counter()
@@ -98,7 +98,7 @@ def main() -> None:
 
     layers = Layers(schema=scratch_schema(spark, "bench"), clean_buckets=8, agg_buckets=2)
     create(spark, layers)
-    append(gather(raw(spark, SF_DIR), BATCH), layers.raw)
+    append_load(layers, raw(spark, SF_DIR))
     log = spark.table(layers.raw)
     late = F.coalesce(F.col(BATCH) > CUT, F.lit(False))
     newest = F.coalesce(F.col(BATCH) == batches(spark, layers.raw, BATCH).agg(F.max(BATCH)).first()[0], F.lit(False))

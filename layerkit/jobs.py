@@ -20,6 +20,7 @@ TASKS = {
     "rebuild-clean": lambda s, l, a: plans.rebuild_clean(s, l),
     "rebuild-agg": lambda s, l, a: plans.rebuild_agg(s, l),
     "refresh": lambda s, l, a: plans.refresh(s, l, delete_missing=a.full_snapshots),
+    "fold": lambda s, l, a: plans.fold_clean(s, l),
     "quality": lambda s, l, a: plans.run_quality(s, l, a.as_of, a.must_pass),
     "expire": lambda s, l, a: plans.expire_raw(s, l, a.as_of),
     "daily": lambda s, l, a: plans.run_daily(

@@ -43,14 +43,14 @@ def newest_order(
 
 
 def orderable(df: DataFrame, columns: Iterable[str]) -> list[str]:
-    return [c for c in columns if _orderable(df.schema[c].dataType)]
+    return [c for c in columns if can_order(df.schema[c].dataType)]
 
 
-def _orderable(kind: T.DataType) -> bool:
+def can_order(kind: T.DataType) -> bool:
     if isinstance(kind, T.ArrayType):
-        return _orderable(kind.elementType)
+        return can_order(kind.elementType)
     if isinstance(kind, T.StructType):
-        return all(_orderable(f.dataType) for f in kind.fields)
+        return all(can_order(f.dataType) for f in kind.fields)
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 

@@ -8,21 +8,23 @@ audit  status of every quality check, with samples of failing rows
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerkit import presets
 from layerkit.contract import Contract
 from layerkit.functions.text import standardize
 from layerkit.operators.aggregate import apply_delta, group_count, row_counts, tracked_delta
-from layerkit.operators.dedupe import latest_per_key, orderable
+from layerkit.operators.dedupe import can_order, latest_per_key, newest_order
 from layerkit.operators.incremental import new_rows, read_watermark
 from layerkit.operators.retention import expired
-from layerkit.operators.upsert import split_by_source, upsert_tracking
+from layerkit.operators.upsert import same_key, upsert_tracking
 from layerkit.quality.evaluate import check_status, error_records, repeated_keys, verdict
 from layerkit.quality.log import audit_rows, ensure_log_tables, error_rows, log
 from layerkit.quality.rules import Rule
@@ -38,12 +40,15 @@ from layerkit.sources.pages import (
 from layerkit.sources.tables import (
     BUCKET,
     KeyedTable,
+    MergedTable,
     append,
     batches,
     drop_batches,
     ensure_schema,
     ensure_table,
+    finish_refresh,
     full_refresh,
+    gather,
     get_property,
     require_table,
     set_property,
@@ -52,6 +57,18 @@ from layerkit.sources.tables import (
 BATCH = "_ingestion_date"
 MOMENT = "_ingestion_ts"
 CUT = "layerkit.cut"  # property of raw: retention has dropped batches
+LEDGER = T.StructType(
+    [
+        T.StructField("load", T.StringType()),
+        T.StructField("step", T.StringType()),  # begun, done or expired
+        T.StructField("_source", T.StringType()),
+        T.StructField(BATCH, T.StringType()),
+        T.StructField("newest", T.TimestampType()),
+        T.StructField("row_count", T.LongType()),
+    ]
+)
+MERGED = T.StructType([T.StructField("load", T.StringType()), T.StructField(BATCH, T.StringType())])
+UNLISTED = "unlisted"  # stands for a load that the ledger doesn't know
 REPLACED = "layerkit.replaced"  # property of clean: days whose raw rows were replaced after it was built
 
 
@@ -75,6 +92,7 @@ class Layers:
     agg_buckets: int = 4
     full_snapshots: bool = False  # every load holds all keys, so raw alone can rebuild clean
     sample_rows: int = 50  # failing rows logged per check
+    fold_after: int = 64  # parts beside clean's base before a merge folds them in
 
     def table(self, layer: str) -> str:
         return self.names.get(layer, f"{self.schema}.{layer}")
@@ -93,16 +111,35 @@ class Layers:
         return f"{self.raw}_drift"
 
     @property
-    def clean(self) -> KeyedTable:
-        return KeyedTable(self.table("clean"), self.contract.keys, self.clean_buckets)
+    def clean(self) -> MergedTable:
+        name, contract = self.table("clean"), self.contract
+        return MergedTable(name, contract.keys, self.clean_buckets, tuple(contract.order), self.settle)
+
+    @property
+    def settle(self) -> tuple[str, ...]:
+        """What settles rows of a key with the same order columns: the groups first, then the rest.
+
+        With the groups first, a pass over keys and groups alone finds the same
+        groups as one over whole rows, and any split into merges gives the rows
+        that a rebuild gives.
+        """
+        contract = self.contract
+        known = [*contract.keys, *contract.order, *self.groups]
+        rest = [f.name for f in contract.raw_schema if f.name not in known and can_order(f.dataType)]
+        return (*self.groups, *rest)
 
     @property
     def agg(self) -> KeyedTable:
         return KeyedTable(self.table("agg"), self.groups, self.agg_buckets)
 
     @property
-    def loads(self) -> str:
-        """The batches of raw that clean holds: their rows and newest moment when they were merged."""
+    def ledger(self) -> str:
+        """The loads of raw, written down when they come in, see `loads`."""
+        return f"{self.raw}_loads"
+
+    @property
+    def merged(self) -> str:
+        """The loads that clean holds."""
         return f"{self.table('clean')}__loads"
 
     @property
@@ -118,6 +155,7 @@ def create(spark: SparkSession, layers: Layers) -> None:
     ensure_table(spark, layers.raw, layers.contract.raw_schema, [BATCH])
     ensure_table(spark, layers.quarantine, _quarantine_schema(), [BATCH])
     ensure_table(spark, layers.drift, _drift_schema(), [BATCH])
+    ensure_table(spark, layers.ledger, LEDGER)
 
 
 def _quarantine_schema():
@@ -149,7 +187,7 @@ def ingest(
     pages = load_pages(spark, landing, layers.contract, page_per_line)
     seen = Observation()
     watched = pages.observe(seen, F.count(CORRUPT).alias("broken"))
-    append(add_lineage(good_records(watched), layers.source, as_of), layers.raw, replace_day)
+    _land(layers, add_lineage(good_records(watched), layers.source, as_of), as_of, replace_day)
     if seen.get["broken"]:
         bad = add_lineage(broken_pages(pages), layers.source, as_of)
         append(bad, layers.quarantine, replace_day)
@@ -164,8 +202,47 @@ def ingest_frame(
     """Append the rows of any frame to raw, projected to the contract, by the rules of `ingest`."""
     create(df.sparkSession, layers)
     _admit(df.sparkSession, layers, as_of, replace_day)
-    rows = add_lineage(layers.contract.project(df), layers.source, as_of)
-    append(rows, layers.raw, replace_day)
+    _land(layers, add_lineage(layers.contract.project(df), layers.source, as_of), as_of, replace_day)
+
+
+def _land(layers: Layers, rows: DataFrame, as_of: datetime, replace_day: bool) -> None:
+    """Append the rows of one load. The ledger has it before raw does, and its row count after."""
+    spark, moment, load = rows.sparkSession, utc(as_of), uuid.uuid4().hex
+    day = moment.strftime("%Y-%m-%d")
+    if replace_day:
+        known = spark.table(layers.ledger)
+        if not known.filter(F.col(BATCH) == day).isEmpty():
+            full_refresh(known.filter(~F.col(BATCH).eqNullSafe(day)), layers.ledger)
+    _note(spark, layers, [(load, "begun", layers.source, day, moment, None)])
+    seen = Observation()
+    append(rows.observe(seen, F.count(F.lit(1)).alias("rows")), layers.raw, replace_day)
+    _note(spark, layers, [(load, "done", layers.source, day, moment, seen.get["rows"])])
+
+
+def append_load(layers: Layers, rows: DataFrame) -> None:
+    """Append rows that carry their lineage columns, of any number of batches, as one load.
+
+    Their batches and counts are found first, by a pass over two narrow columns.
+    """
+    spark, load = rows.sparkSession, uuid.uuid4().hex
+    create(spark, layers)
+    stats = rows.groupBy(BATCH).agg(F.max(MOMENT).alias("newest"), F.count(F.lit(1)).alias("n"))
+    entries = [(load, "begun", layers.source, r[BATCH], r["newest"], r["n"]) for r in stats.collect()]
+    _note(spark, layers, entries)
+    append(gather(rows, BATCH) if len(entries) > 1 else rows, layers.raw)
+
+
+def _note(spark: SparkSession, layers: Layers, entries: list[tuple]) -> None:
+    if entries:
+        append(spark.createDataFrame(entries, LEDGER).coalesce(1), layers.ledger)
+
+
+def loads(spark: SparkSession, layers: Layers) -> DataFrame:
+    """One row per load and batch: load, batch, newest moment, row_count (null where the load broke off)."""
+    ensure_table(spark, layers.ledger, LEDGER)
+    spark.catalog.refreshTable(layers.ledger)
+    entries = spark.table(layers.ledger).filter("step != 'expired'")
+    return entries.groupBy("load", BATCH).agg(F.max("newest").alias("newest"), F.max("row_count").alias("row_count"))
 
 
 def _admit(spark: SparkSession, layers: Layers, as_of: datetime, replace_day: bool) -> None:
@@ -193,75 +270,78 @@ def curate(df: DataFrame, layers: Layers) -> DataFrame:
     rows = standardize(df.select(*contract.raw_schema.names), layers.text_forms)
     if layers.drop_null_keys:
         rows = rows.dropna(subset=list(contract.keys))
-    return latest_per_key(rows, contract.keys, contract.order, _settle(layers, rows))
-
-
-def _settle(layers: Layers, df: DataFrame) -> list[str]:
-    """What settles rows of a key with the same order columns: the groups first, then the rest.
-
-    With the groups first, a pass over keys and groups alone finds the same
-    groups as one over whole rows, and any split into merges gives the rows
-    that a rebuild gives.
-    """
-    known = [*layers.contract.keys, *layers.contract.order, *layers.groups]
-    rest = [c for c in layers.contract.raw_schema.names if c in df.columns and c not in known]
-    return [*layers.groups, *orderable(df, rest)]
+    return latest_per_key(rows, contract.keys, contract.order, layers.settle)
 
 
 def rebuild_clean(spark: SparkSession, layers: Layers) -> None:
-    """Clean from the whole of raw.
+    """Clean from the whole of raw, its parts folded in.
 
     Where retention has cut raw, the rows that clean has stay in the running,
     save those of days replaced since; they are written down before clean is
-    overwritten, so a crash loses none. If there is no whole clean to take them
-    from, this raises; with full_snapshots raw alone is enough.
+    overwritten, so a crash loses none, and the next run goes on from them and
+    from all that raw has by then. If there is no whole clean to take them
+    from, this raises; with full_snapshots raw alone is enough. A key whose
+    older loads have expired and whose newest one is replaced without it is gone.
     """
-    rows, clean, kept = spark.table(layers.raw), layers.clean, f"{layers.clean.name}__rebuilt"
+    clean, kept = layers.clean, f"{layers.clean.name}__rebuilt"
+    held = pending_and_merged(spark, layers)  # before raw is read: what comes in meanwhile is merged later
+    rows = spark.table(layers.raw)
     if get_property(spark, layers.raw, CUT) == "true" and not layers.full_snapshots:
-        if not spark.catalog.tableExists(kept):
-            if not clean.exists(spark) or not clean.is_whole(spark):
-                raise RuntimeError(f"{clean.name} is not whole and {layers.raw} no longer has all loads")
-            had = clean.read(spark).select(*rows.columns)
-            replaced = F.coalesce(F.col(BATCH).isin(_replaced(spark, layers)), F.lit(False))
-            union = rows.unionByName(had.filter(~replaced))
-            curate(union, layers).write.saveAsTable(kept)
-        curated = spark.table(kept)
+        replaced = F.coalesce(F.col(BATCH).isin(_replaced(spark, layers)), F.lit(False))
+        begun = _exists(spark, kept)
+        if not begun and not (clean.exists(spark) and clean.is_whole(spark)):
+            raise RuntimeError(f"{clean.name} is not whole and {layers.raw} no longer has all loads")
+        had = spark.table(kept) if begun else clean.read(spark)
+        curated = curate(rows.unionByName(had.select(*rows.columns).filter(~replaced)), layers)
+        if not begun:
+            full_refresh(curated, kept)
+            curated = spark.table(kept)
     else:
         curated = curate(rows, layers)
     if layers.agg.exists(spark):
         layers.agg.mark_whole(spark, False)
     clean.rebuild(curated)
     set_property(spark, clean.name, REPLACED, "")
-    full_refresh(_load_stats(rows), layers.loads)
+    full_refresh(spark.createDataFrame(held, MERGED).coalesce(1), layers.merged)
     spark.sql(f"DROP TABLE IF EXISTS {kept}")
     spark.sql(f"DROP TABLE IF EXISTS {clean.name}__merged")
 
 
 def start_clean(spark: SparkSession, layers: Layers) -> None:
-    """An empty clean table that holds no batch yet."""
-    nothing = spark.table(layers.raw).limit(0)
-    layers.clean.rebuild(curate(nothing, layers))
-    full_refresh(_load_stats(nothing), layers.loads)
+    """An empty clean table that holds no load yet."""
+    layers.clean.rebuild(curate(spark.table(layers.raw).limit(0), layers))
+    full_refresh(spark.createDataFrame([], MERGED).coalesce(1), layers.merged)
+
 
+def _exists(spark: SparkSession, name: str) -> bool:
+    finish_refresh(spark, name)
+    return spark.catalog.tableExists(name)
 
-def _load_stats(rows: DataFrame) -> DataFrame:
-    """Rows and newest moment of each batch of raw; reads one narrow column."""
-    return rows.groupBy(BATCH).agg(F.count(F.lit(1)).alias("row_count"), F.max(MOMENT).alias("newest"))
 
+def pending_and_merged(spark: SparkSession, layers: Layers) -> list[tuple]:
+    """(load, batch) of all that raw holds now, one entry per load and batch."""
+    listed = [r[BATCH] for r in batches(spark, layers.raw, BATCH, undated=True).collect()]
+    entries = [(r["load"], r[BATCH]) for r in loads(spark, layers).collect() if r[BATCH] in listed]
+    known = {batch for _, batch in entries}
+    return entries + [(UNLISTED, batch) for batch in listed if batch not in known]
 
-def unmerged(spark: SparkSession, layers: Layers) -> DataFrame:
-    """The batches of raw that clean doesn't hold as they are now: new, late or grown ones."""
-    stats = _load_stats(spark.table(layers.raw))
-    if not spark.catalog.tableExists(layers.loads):
-        return stats
-    known = spark.table(layers.loads)
-    same = [stats[c].eqNullSafe(known[c]) for c in stats.columns]
-    return stats.join(known, same, "left_anti")
+
+def unmerged(spark: SparkSession, layers: Layers) -> list[tuple]:
+    """(load, batch) of the loads that clean doesn't hold. Raw isn't read: its ledger and its folders are.
+
+    A batch that was appended past the ledger counts as one load when it is new.
+    """
+    held = pending_and_merged(spark, layers)
+    if not _exists(spark, layers.merged):
+        return held
+    spark.catalog.refreshTable(layers.merged)
+    known = {(r["load"], r[BATCH]) for r in spark.table(layers.merged).collect()}
+    return [entry for entry in held if entry not in known]
 
 
 def rebuild_agg(spark: SparkSession, layers: Layers) -> None:
-    clean = require_table(spark, layers.clean.name, "run rebuild_clean first")
-    layers.agg.rebuild(group_count(clean, layers.groups, layers.measure))
+    require_table(spark, layers.clean.name, "run rebuild_clean first")
+    layers.agg.rebuild(group_count(layers.clean.read(spark), layers.groups, layers.measure))
 
 
 def merge_rows(
@@ -269,53 +349,100 @@ def merge_rows(
 ) -> None:
     """Upsert raw rows into clean and carry the change over to agg.
 
-    The count change of each group is found from keys and groups alone and
-    written down before clean is overwritten; where raw has been cut, so are the
-    merged rows. A table stays marked as broken from its first to its last move,
-    see repair. delete_missing drops keys absent from rows, which must then be a
-    full snapshot.
+    Rows newer than what clean has for their key are written as a part beside
+    its base, which is neither shuffled nor rewritten: of it the keys, order and
+    group columns are read to find them. The count change of each group is
+    written down before. agg stays marked as broken from the part's write to its
+    own, see repair. delete_missing drops keys absent from rows, which must then
+    be a full snapshot; that rewrites clean.
     """
-    clean, agg, order = layers.clean, layers.agg, layers.contract.order
-    staged = [f"{clean.name}__batch", f"{agg.name}__delta", f"{clean.name}__merged"]
-    batch, touched = _stage(curate(rows, layers), staged[0], clean)
     if delete_missing:
-        touched = list(range(clean.buckets))
-    if touched:
-        old, others = clean.slice(spark, touched), None
-        if not delete_missing:
-            old, others = split_by_source(old, batch, [BUCKET, *clean.keys])
-        merged = _meet(old, batch, layers, old.columns, cluster_by=BUCKET)
-        kept = merged.filter("_sighted") if delete_missing else merged
-        kept = kept.select(*old.columns)
-        if others is not None:
-            kept = others.unionByName(kept)
-        slim = _meet(old, batch, layers, [BUCKET, *clean.keys, *order, *layers.groups])
-        delta = tracked_delta(slim, layers.groups, layers.measure, delete_missing)
+        return _replace_rows(spark, layers, rows)
+    clean, agg = layers.clean, layers.agg
+    staged = [f"{clean.name}__batch", f"{agg.name}__delta"]
+    seen = Observation()
+    won = _newer(layers, clean.with_buckets(spark), curate(rows, layers))
+    watched = won.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if("_tie").alias("ties"))
+    watched.write.mode("overwrite").saveAsTable(staged[0])
+    if seen.get["rows"]:
+        batch = spark.table(staged[0])
+        newer = batch.filter("not _tie")
+        delta = tracked_delta(newer.withColumn("_sighted", F.lit(True)), layers.groups, layers.measure)
         delta, moved = _stage(delta, staged[1], agg)
-        if get_property(spark, layers.raw, CUT) == "true":
-            kept.write.mode("overwrite").saveAsTable(staged[2])
-            kept = spark.table(staged[2])
+        part = newer.drop("_before", "_tie")
+        if seen.get["ties"]:
+            tied = batch.filter("_tie").drop("_before", "_tie")
+            part = part.unionByName(_settled(layers, clean.with_buckets(spark), tied))
         agg.mark_whole(spark, False)
-        clean.write_buckets(kept, touched)
+        clean.add_part(part)
         _apply(spark, layers, delta, moved)
         agg.mark_whole(spark, True)
     for name in staged:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if len(clean.part_numbers(spark)) >= layers.fold_after:
+        fold_clean(spark, layers)
 
 
-def _meet(
-    old: DataFrame,
-    new: DataFrame,
-    layers: Layers,
-    columns: list[str],
-    cluster_by: str | None = None,
-) -> DataFrame:
-    """Newest row per key of some columns, tracking its group."""
-    keys, order = [BUCKET, *layers.contract.keys], layers.contract.order
-    settle = _settle(layers, old.select(*columns))
-    return upsert_tracking(
-        old.select(*columns), new.select(*columns), keys, order, layers.groups, settle, cluster_by
-    )
+def _newer(layers: Layers, old: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of `new` that aren't older than the old row of their key, by order and groups.
+
+    Adds `_before`, the old row's groups (null for a new key), and `_tie`. Both
+    sides hold a key once.
+    """
+    keys, order, groups = layers.contract.keys, layers.contract.order, layers.groups
+
+    def mark(side: str):
+        return F.struct(*[F.col(f"{side}.{c}") for c in [*order, *groups]])
+
+    slim = old.select(*dict.fromkeys([*keys, *order, *groups]), F.lit(True).alias("_had"))
+    met = new.alias("s").join(slim.alias("t"), same_key(keys), "left")
+    had = F.col("t._had").isNotNull()
+    tie = F.coalesce(had & (mark("s") == mark("t")), F.lit(False))
+    before = F.when(had, F.struct(*[F.col(f"t.{g}").alias(g) for g in groups]))
+    return met.filter(~had | (mark("s") >= mark("t"))).select("s.*", before.alias("_before"), tie.alias("_tie"))
+
+
+def _settled(layers: Layers, old: DataFrame, tied: DataFrame) -> DataFrame:
+    """Those of the tied rows that beat the old row of their key by the other columns."""
+    keys, columns = layers.contract.keys, tied.columns
+    had = old.alias("t").join(tied.alias("s"), same_key(keys), "left_semi")
+    both = tied.withColumn("_new", F.lit(True)).unionByName(had.select(*columns).withColumn("_new", F.lit(False)))
+    order = newest_order(tied, keys, layers.contract.order, layers.settle)
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, "_new"))
+    return both.withColumn("_rank", rank).filter("_rank = 1 and _new").select(*columns)
+
+
+def fold_clean(spark: SparkSession, layers: Layers) -> None:
+    """Bring the parts of clean into its base, rewriting the buckets they fall in."""
+    cut = get_property(spark, layers.raw, CUT) == "true"
+    layers.clean.fold(spark, f"{layers.clean.name}__merged" if cut else None)
+
+
+def _replace_rows(spark: SparkSession, layers: Layers, rows: DataFrame) -> None:
+    """Clean as a full snapshot leaves it: every bucket is rewritten, keys that it lacks go."""
+    clean, agg, contract = layers.clean, layers.agg, layers.contract
+    staged = [f"{clean.name}__batch", f"{agg.name}__delta", f"{clean.name}__merged"]
+    batch, _ = _stage(curate(rows, layers), staged[0], clean)
+    old = clean.with_buckets(spark)
+    keys = [BUCKET, *contract.keys]
+
+    def meet(columns: list[str], cluster_by: str | None = None) -> DataFrame:
+        settle = [c for c in layers.settle if c in columns]
+        sides = old.select(*columns), batch.select(*columns)
+        return upsert_tracking(*sides, keys, contract.order, layers.groups, settle, cluster_by)
+
+    slim = meet(list(dict.fromkeys([*keys, *contract.order, *layers.groups])))
+    delta, moved = _stage(tracked_delta(slim, layers.groups, layers.measure, True), staged[1], agg)
+    kept = meet(old.columns, BUCKET).filter("_sighted").select(*old.columns)
+    if get_property(spark, layers.raw, CUT) == "true":
+        full_refresh(kept, staged[2])
+        kept = spark.table(staged[2])
+    agg.mark_whole(spark, False)
+    clean.write_buckets(kept, range(clean.buckets))
+    _apply(spark, layers, delta, moved)
+    agg.mark_whole(spark, True)
+    for name in staged:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def _stage(df: DataFrame, name: str, like: KeyedTable) -> tuple[DataFrame, list[int]]:
@@ -352,36 +479,29 @@ def refresh(
     if repair(spark, layers):
         return
     log_rows = spark.table(layers.raw)
-    stats = unmerged(spark, layers).collect()  # one row per batch not merged yet
+    pending = unmerged(spark, layers)
     if delete_missing:
         newest = read_watermark(batches(spark, layers.raw, BATCH), BATCH)
         fresh = log_rows.filter(F.col(BATCH) == newest)
     elif since == "load":
-        names = [r[BATCH] for r in stats if r[BATCH] is not None]
-        undated = F.lit(any(r[BATCH] is None for r in stats)) & F.col(BATCH).isNull()
-        fresh = log_rows.filter(F.col(BATCH).isin(names) | undated)
+        if not pending:
+            return
+        days = {batch for _, batch in pending}
+        undated = F.lit(None in days) & F.col(BATCH).isNull()
+        fresh = log_rows.filter(F.col(BATCH).isin([d for d in days if d is not None]) | undated)
     elif since in ("day", "next_day"):
-        fresh = new_rows(log_rows, BATCH, read_watermark(spark.table(layers.loads), BATCH), strict_day=since == "next_day")
+        fresh = new_rows(log_rows, BATCH, read_watermark(spark.table(layers.merged), BATCH), strict_day=since == "next_day")
     else:
         raise ValueError(f"since must be load, day or next_day, not {since!r}")
-    if since == "load" and not stats and not delete_missing:
-        return
     merge_rows(spark, layers, fresh, delete_missing)
-    if since == "load" or delete_missing:
-        _remember(spark, layers, stats)
-
-
-def _remember(spark: SparkSession, layers: Layers, stats: list) -> None:
-    """Write down what the merged batches held."""
-    known = spark.table(layers.loads)
-    fresh = spark.createDataFrame(stats, known.schema)
-    full_refresh(known.join(fresh, known[BATCH].eqNullSafe(fresh[BATCH]), "left_anti").unionByName(fresh), layers.loads)
+    if (since == "load" or delete_missing) and pending:
+        append(spark.createDataFrame(pending, MERGED).coalesce(1), layers.merged)
 
 
 def repair(spark: SparkSession, layers: Layers) -> bool:
     """Build what is absent, was left broken by a crash, or lost a replaced day; True if clean is new from raw."""
     clean, merged = layers.clean, f"{layers.clean.name}__merged"
-    if clean.exists(spark) and not clean.is_whole(spark) and spark.catalog.tableExists(merged):
+    if clean.exists(spark) and not clean.is_whole(spark) and _exists(spark, merged):
         rows = spark.table(merged)
         clean.write_buckets(rows, [r[BUCKET] for r in rows.select(BUCKET).distinct().collect()])
         spark.sql(f"DROP TABLE {merged}")
@@ -389,7 +509,7 @@ def repair(spark: SparkSession, layers: Layers) -> bool:
         not clean.exists(spark)
         or not clean.is_whole(spark)
         or bool(_replaced(spark, layers))
-        or not spark.catalog.tableExists(layers.loads)
+        or not _exists(spark, layers.merged)
     )
     if renew:
         rebuild_clean(spark, layers)
@@ -478,14 +598,36 @@ def run_quality(
 
 
 def expire_raw(spark: SparkSession, layers: Layers, as_of: datetime) -> dict[str, int]:
-    """Drop raw batches past the retention age; gives the rows that each of them had."""
-    day = utc(as_of).date()
-    late = expired(BATCH, day, layers.retention_days)
-    counts = {r[BATCH]: r["row_count"] for r in row_counts(spark.table(layers.raw).filter(late), BATCH).collect()}
-    if counts or not batches(spark, layers.raw, BATCH).filter(late).isEmpty():
-        set_property(spark, layers.raw, CUT, "true")
-    dropped = drop_batches(spark, layers.raw, BATCH, lambda b: b.filter(late))
-    return {name: counts.get(name, 0) for name in dropped}
+    """Drop raw batches past the retention age; gives the rows that each of them had.
+
+    The ledger knows the counts; only a batch that it doesn't know is counted.
+    """
+    late = expired(BATCH, utc(as_of).date(), layers.retention_days)
+    doomed = [r[BATCH] for r in batches(spark, layers.raw, BATCH).filter(late).collect()]
+    if not doomed:
+        return {}
+    ensure_table(spark, layers.ledger, LEDGER)
+    of_batch = F.col(BATCH).isin(doomed)
+    steps = spark.table(layers.ledger).filter(of_batch).groupBy(BATCH, "load", "step")
+    noted: dict[str, list] = {}
+    begun: dict[tuple, int | None] = {}
+    for r in steps.agg(F.max("row_count").alias("n")).collect():
+        if r["step"] == "expired":
+            noted.setdefault(r[BATCH], []).append(r["n"])
+        else:
+            begun[r[BATCH], r["load"]] = r["n"] if begun.get((r[BATCH], r["load"])) is None else begun[r[BATCH], r["load"]]
+    for (batch, _), n in begun.items():
+        noted.setdefault(batch, []).append(n)
+    counts = {batch: sum(ns) for batch, ns in noted.items() if None not in ns}
+    unknown = [batch for batch in doomed if batch not in counts]
+    if unknown:
+        found = row_counts(spark.table(layers.raw).filter(F.col(BATCH).isin(unknown)), BATCH)
+        counts |= {r[BATCH]: r["row_count"] for r in found.collect()}
+    set_property(spark, layers.raw, CUT, "true")
+    dropped = drop_batches(spark, layers.raw, BATCH, lambda b: b.filter(of_batch))
+    gone = {name: counts.get(name, 0) for name in dropped}
+    _note(spark, layers, [(uuid.uuid4().hex, "expired", layers.source, b, None, -n) for b, n in gone.items() if b not in unknown])
+    return gone
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from layerkit.operators.dedupe import latest_per_key
+
 BUCKET = "_bucket"
 BUCKETS = "layerkit.buckets"  # table property: the bucket number rows were placed with
 WHOLE = "layerkit.whole"  # table property: false while buckets are being replaced
@@ -154,11 +156,14 @@ def _partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
-def batches(spark: SparkSession, name: str, batch: str) -> DataFrame:
-    """The batches of a table partitioned by batch, from the catalog: no file is opened."""
+def batches(spark: SparkSession, name: str, batch: str, undated: bool = False) -> DataFrame:
+    """The batches of a table partitioned by batch, from the catalog: no file is opened.
+
+    With `undated` the rows without a batch, where there are some, count as a null batch.
+    """
     value = F.regexp_extract("partition", f"^{batch}=(.*)$", 1)
-    listed = spark.sql(f"SHOW PARTITIONS {name}").select(value.alias(batch))
-    named = listed.filter(F.col(batch) != "__HIVE_DEFAULT_PARTITION__")
+    listed = spark.sql(f"SHOW PARTITIONS {name}").select(F.nullif(value, F.lit("__HIVE_DEFAULT_PARTITION__")).alias(batch))
+    named = listed if undated else listed.filter(F.col(batch).isNotNull())
     # Folder names escape some characters as %XX, and no others.
     return named.select(F.try_url_decode(F.replace(batch, F.lit("+"), F.lit("%2B"))).alias(batch))
 
@@ -215,11 +220,14 @@ class KeyedTable:
 
     def slice(self, spark: SparkSession, touched: list[int]) -> DataFrame:
         """The rows of some buckets, bucket column included; other folders are not read."""
+        self._require_buckets(spark)
+        table = self._current(spark)
+        return table if len(touched) == self.buckets else table.filter(F.col(BUCKET).isin(touched))
+
+    def _require_buckets(self, spark: SparkSession) -> None:
         made_with = get_property(spark, self.name, BUCKETS)
         if made_with != str(self.buckets):
             raise ValueError(f"{self.name} was built with {made_with} buckets, not {self.buckets}: rebuild it")
-        table = self._current(spark)
-        return table if len(touched) == self.buckets else table.filter(F.col(BUCKET).isin(touched))
 
     def rebuild(self, df: DataFrame) -> None:
         """Replace all rows; a changed schema or bucket number replaces the table's too."""
@@ -270,6 +278,112 @@ class KeyedTable:
         _drop_partitions(spark, self.name, [f"{BUCKET} = {b}" for b in sorted(emptied)])
 
 
+PART = "_part"
+
+
+@dataclass(frozen=True)
+class MergedTable(KeyedTable):
+    """A keyed table as a base and numbered parts beside it, read as one.
+
+    An upsert adds a part and leaves the base alone. A part may hold a row only
+    if it is newer than what the table had for its key, so a reader takes the
+    newest row of the parts and, for all other keys, the base: the base is never
+    shuffled for it, and parts are as small as what has changed since the last
+    fold. `order` and `settle` say which row of a key is the newest.
+    """
+
+    order: tuple[str, ...] = ()
+    settle: tuple[str, ...] = ()
+
+    @property
+    def parts(self) -> str:
+        return f"{self.name}__parts"
+
+    def part_numbers(self, spark: SparkSession) -> list[int]:
+        """The parts, from the catalog."""
+        if not spark.catalog.tableExists(self.parts):
+            return []
+        return sorted(int(r[PART]) for r in batches(spark, self.parts, PART).collect())
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return self.with_buckets(spark).drop(BUCKET)
+
+    def with_buckets(self, spark: SparkSession, touched: list[int] | None = None) -> DataFrame:
+        """The rows as readers see them, with their bucket; of some buckets alone where they are given."""
+        base = self._current(spark) if touched is None else self.slice(spark, touched)
+        if not self.part_numbers(spark):
+            return base
+        changed = self.changed(spark)
+        if touched is not None:
+            changed = changed.filter(F.col(BUCKET).isin(touched))
+        keys = changed.select(BUCKET, *self.keys).alias("s")
+        same = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in (BUCKET, *self.keys)]
+        return base.alias("t").join(keys, same, "left_anti").unionByName(changed)
+
+    def changed(self, spark: SparkSession) -> DataFrame:
+        """The newest row of each key that a part holds."""
+        spark.catalog.refreshTable(self.parts)
+        columns = self._current(spark).columns
+        rows = spark.table(self.parts).select(*columns)
+        return latest_per_key(rows, [BUCKET, *self.keys], self.order, self.settle)
+
+    def add_part(self, df: DataFrame) -> None:
+        """Write rows, newer than what the table has for their keys, as the next part."""
+        spark = df.sparkSession
+        self._require_buckets(spark)
+        placed = self.with_bucket(df)
+        number = max(self.part_numbers(spark), default=0) + 1
+        schema = T.StructType([*placed.schema.fields, T.StructField(PART, T.IntegerType())])
+        ensure_table(spark, self.parts, schema, [PART])
+        append(placed.withColumn(PART, F.lit(number)), self.parts)
+
+    def fold(self, spark: SparkSession, staged: str | None = None) -> None:
+        """Bring the parts into the base; buckets without a change are not touched.
+
+        While buckets move the parts stay, so what is read stays the same. With
+        `staged` the new rows are written down first, under that name, for a
+        base that nothing else could restore.
+        """
+        if not self.part_numbers(spark):
+            return
+        touched = sorted(r[BUCKET] for r in spark.table(self.parts).select(BUCKET).distinct().collect())
+        rows = self.with_buckets(spark, touched)
+        if staged:
+            full_refresh(rows, staged)
+            rows = spark.table(staged)
+        self.write_buckets(rows.repartition(BUCKET), touched)
+        if staged:
+            spark.sql(f"DROP TABLE IF EXISTS {staged}")
+
+    def rebuild(self, df: DataFrame) -> None:
+        spark = df.sparkSession
+        placed = gather(self.with_bucket(df), BUCKET)
+        if self.exists(spark):
+            self.mark_whole(spark, False)
+        if self.exists(spark) and _types(spark.table(self.name)) != _types(placed):
+            full_refresh(placed, self.name, [BUCKET])
+            self.mark_whole(spark, False)
+        else:
+            ensure_table(spark, self.name, placed.schema, [BUCKET])
+            _require_dynamic(spark, self.name)
+            self._overwrite(placed, None)
+        set_property(spark, self.name, BUCKETS, str(self.buckets))
+        self._drop_parts(spark)
+        self.mark_whole(spark, True)
+
+    def write_buckets(self, placed: DataFrame, replaced: Iterable[int]) -> None:
+        """Overwrite buckets with rows that hold what the parts changed in them; then the parts go."""
+        spark = placed.sparkSession
+        _require_dynamic(spark, self.name)
+        self.mark_whole(spark, False)
+        self._overwrite(placed, set(replaced))
+        self._drop_parts(spark)
+        self.mark_whole(spark, True)
+
+    def _drop_parts(self, spark: SparkSession) -> None:
+        spark.sql(f"DROP TABLE IF EXISTS {self.parts}")
+
+
 def set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{key}' = '{value}')")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from layerkit import presets
 from layerkit.contract import Contract
 from layerkit.operators.aggregate import group_count
-from layerkit.plans.layers import Layers, create, refresh, run_daily, run_weekly
+from layerkit.plans.layers import Layers, append_load, create, refresh, run_daily, run_weekly
 from layerkit.session import scratch_dir, scratch_schema
 from layerkit.sources.pages import CORRUPT, add_lineage, load_pages
 from layerkit.sources.tables import (
@@ -170,7 +170,7 @@ def same_moment_loads(spark, sf):
         rows = add_lineage(pages, "orders", as_of)
         odd = F.coalesce(F.pmod(F.xxhash64("id"), F.lit(2)) == 1, F.lit(False))
         for part in (rows.filter(odd), rows.filter(~odd)):
-            append(part, layers.raw)
+            append_load(layers, part)
             refresh(spark, layers)
     return plain(layers.clean.read(spark))
 
@@ -247,6 +247,6 @@ def merged_layers(spark, sf) -> Layers:
     create(spark, layers)
     late = F.coalesce(F.col(BATCH) > CUT, F.lit(False))
     for part in (rows.filter(~late), rows.filter(late)):
-        append(gather(part, BATCH), layers.raw)
+        append_load(layers, part)
         refresh(spark, layers)
     return layers

@@ -26,7 +26,7 @@ from layerkit.plans.layers import (
 from layerkit.quality.rules import MinRows, NotMissing
 from layerkit.sources.tables import BUCKET, KeyedTable, append
 from layerkit.streaming.upsert import run_stream
-from tests.conftest import at, rows
+from tests.conftest import at, plan_of, rows
 
 LOADS = [
     [{"id": "1", "name": "ann", "brewery_type": "MICRO", "city": "a b", "country": "x"},
@@ -139,6 +139,7 @@ def test_crash_before_the_first_write_is_harmless(spark, layers, landings, monke
 
 
 def test_crash_while_clean_is_moved_rebuilds_it(spark, layers, landings, monkeypatch):
+    layers = replace(layers, fold_after=1)  # every merge is folded in at once
     run_daily(spark, layers, landings[0], at(1))
     moves = KeyedTable._overwrite
 
@@ -309,7 +310,7 @@ def test_an_older_load_that_comes_late_is_merged(spark, layers):
     put(spark, layers, 5, [("1", "new")])
     put(spark, layers, 3, [("1", "old"), ("2", "old")])
     assert names(spark, layers) == {"1": "New", "2": "Old"}
-    assert plans.unmerged(spark, layers).isEmpty()
+    assert not plans.unmerged(spark, layers)
 
 
 def test_a_load_is_taken_once_and_its_day_can_be_replaced(spark, layers):
@@ -324,6 +325,7 @@ def test_a_load_is_taken_once_and_its_day_can_be_replaced(spark, layers):
 
 
 def test_keys_of_expired_loads_survive(spark, layers, monkeypatch):
+    layers = replace(layers, fold_after=1)
     put(spark, layers, 1, [("1", "a"), ("2", "a")])
     put(spark, layers, 31, [("2", "b")])
     assert plans.expire_raw(spark, layers, datetime(2024, 3, 5)) == {"2024-01-01": 2}
@@ -360,7 +362,7 @@ def test_nothing_is_left_beside_the_tables(spark, layers):
     put(spark, layers, 1, [("1", "a")])
     put(spark, layers, 2, [("1", "b")])
     found = {t.name for t in spark.catalog.listTables(layers.schema)}
-    assert found == {"raw", "raw_quarantine", "raw_drift", "clean", "agg", "clean__loads"}
+    assert found == {"raw", "raw_quarantine", "raw_drift", "raw_loads", "clean", "agg", "clean__loads", "clean__parts"}
 
 
 def test_fields_outside_the_contract_fail_the_drift_check(spark, layers, landings):
@@ -385,3 +387,117 @@ def test_the_audit_says_when_samples_were_cut(spark, layers):
     assert "logged_rows" not in details["completeness_name"]
     errors = spark.table(f"{layers.schema}.dq_errors").filter("layer = 'raw' and check_name = 'completeness_id'")
     assert errors.count() == 2
+
+
+def files_of(spark, name):
+    return {r["f"] for r in spark.table(name).select(F.input_file_name().alias("f")).distinct().collect()}
+
+
+def many(n, name="a", city="x"):
+    return [(str(i), name, city) for i in range(n)]
+
+
+def put_cities(spark, layers, day, records):
+    ingest_frame(layers, spark.createDataFrame(records, "id string, name string, city string"), at(day))
+    refresh(spark, layers)
+
+
+def test_a_merge_leaves_the_base_alone(spark, layers):
+    put_cities(spark, layers, 1, many(3000))
+    before, all_rows = files_of(spark, layers.clean.name), state(spark, layers)
+    put_cities(spark, layers, 2, [(str(30 * i), "b", "y" if i % 2 else "x") for i in range(100)])
+    assert files_of(spark, layers.clean.name) == before
+    assert spark.table(layers.clean.parts).count() == 100
+    merged = state(spark, layers)
+    assert merged != all_rows and len(merged[0]) == 3000 and merged[1] == recount(spark, layers)
+    plans.fold_clean(spark, layers)
+    assert layers.clean.part_numbers(spark) == [] and files_of(spark, layers.clean.name) != before
+    assert state(spark, layers) == merged
+    rebuild_clean(spark, layers)
+    rebuild_agg(spark, layers)
+    assert state(spark, layers) == merged
+
+
+def test_rows_that_change_nothing_are_not_written(spark, layers):
+    put_cities(spark, layers, 2, many(20))
+    put_cities(spark, layers, 1, many(20, "older", "z"))  # late, and beaten by what is there
+    assert not layers.clean.part_numbers(spark)
+    plans.merge_rows(spark, layers, spark.table(layers.raw))  # a replay
+    assert rows(layers.clean.changed(spark)) == []
+    assert state(spark, layers)[1] == recount(spark, layers)
+
+
+def test_many_merges_are_folded_in(spark, layers):
+    few = replace(layers, fold_after=2)
+    put_cities(spark, few, 1, many(40))
+    for day in range(2, 6):
+        put_cities(spark, few, day, [(str(i), f"n{day}", f"c{day}") for i in range(day, 40, day)] + [(None, "x", "y")])
+        assert len(few.clean.part_numbers(spark)) < 2
+        assert state(spark, few)[1] == recount(spark, few)
+    daily = state(spark, few)
+    rebuild_clean(spark, few)
+    rebuild_agg(spark, few)
+    assert state(spark, few) == daily
+
+
+def test_a_refresh_reads_the_batches_it_merges_alone(spark, layers, monkeypatch):
+    for day in (1, 2, 3):
+        put_cities(spark, layers, day, many(30, f"n{day}"))
+    ingest_frame(layers, spark.createDataFrame(many(3, "late"), "id string, name string, city string"), at(4))
+    seen = []
+    merge = plans.merge_rows
+    monkeypatch.setattr(plans, "merge_rows", lambda s, l, r, d=False: (seen.append(r), merge(s, l, r, d)))
+    monkeypatch.setattr(plans, "row_counts", lambda *_: 1 / 0)
+    refresh(spark, layers)
+    assert {f.split("_ingestion_date=")[1][:10] for f in seen[0].inputFiles()} == {"2024-01-04"}
+    assert "PartitionFilters: [isnotnull(_ingestion_date" in plan_of(seen[0])
+    seen.clear()
+    refresh(spark, layers)
+    assert not seen
+
+
+def test_loads_that_broke_off_are_not_lost(spark, layers, monkeypatch):
+    put(spark, layers, 1, [("1", "a")])
+    note = plans._note
+
+    def crash(spark, layers, entries):
+        if entries[0][1] == "done":
+            raise RuntimeError("lost")
+        note(spark, layers, entries)
+
+    with monkeypatch.context() as m:
+        m.setattr(plans, "_note", crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            ingest_frame(layers, spark.createDataFrame([("2", "b")], "id string, name string"), at(1, 5))
+    refresh(spark, layers)  # the same day as a load merged before, and in raw
+    assert names(spark, layers) == {"1": "A", "2": "B"}
+    assert plans.expire_raw(spark, layers, datetime(2024, 5, 1)) == {"2024-01-01": 2}
+
+
+def test_expired_rows_are_told_without_reading_them(spark, layers, monkeypatch):
+    for day in (1, 2):
+        put(spark, layers, day, [("1", "a"), ("2", "a")])
+    monkeypatch.setattr(plans, "row_counts", lambda *_: 1 / 0)
+    assert plans.expire_raw(spark, layers, datetime(2024, 3, 2)) == {"2024-01-01": 2}
+    put(spark, layers, 1, [("3", "a")])  # the day comes back, later
+    assert plans.expire_raw(spark, layers, datetime(2024, 3, 3)) == {"2024-01-01": 1, "2024-01-02": 2}
+
+
+def test_a_load_that_comes_while_a_crashed_rebuild_waits_is_merged(spark, layers, monkeypatch):
+    put(spark, layers, 1, [("1", "a")])
+    put(spark, layers, 31, [("2", "a")])
+    plans.expire_raw(spark, layers, datetime(2024, 3, 5))
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(type(layers.clean), "rebuild", crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            rebuild_clean(spark, layers)
+    layers.clean.mark_whole(spark, False)
+    ingest_frame(layers, spark.createDataFrame([("3", "b")], "id string, name string"), datetime(2024, 2, 5))
+    refresh(spark, layers)
+    refresh(spark, layers)
+    assert names(spark, layers) == {"1": "A", "2": "A", "3": "B"}
+    assert not plans.unmerged(spark, layers) and state(spark, layers)[1] == recount(spark, layers)
