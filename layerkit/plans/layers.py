@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,12 +28,14 @@ from layerkit.operators.upsert import same_key, upsert_tracking
 from layerkit.quality.evaluate import check_status, error_records, repeated_keys, verdict
 from layerkit.quality.log import audit_rows, ensure_log_tables, error_rows, log
 from layerkit.quality.rules import Rule
+from layerkit.quality.states import merged_status, refresh_states
 from layerkit.sources.pages import (
     CORRUPT,
     add_lineage,
     broken_pages,
     good_records,
     load_pages,
+    split_records,
     unexpected_fields,
     utc,
 )
@@ -174,10 +176,11 @@ def ingest(
     page_per_line: bool = True,
     replace_day: bool = False,
 ) -> None:
-    """Append landed pages to raw; broken pages go to the quarantine table.
+    """Append landed pages to raw; what isn't a record goes to the quarantine table.
 
     The broken pages are counted while the good records are written, so the
-    landing folder is read again only when there are some. Fields outside the
+    landing folder is read again only when there are some. Their good records
+    are appended as well, see split_records. Fields outside the
     contract are counted per load in the drift table. A load that raw
     already has is refused; replace_day puts this one in place of all loads of
     its day, and clean is rebuilt by the next refresh.
@@ -187,10 +190,11 @@ def ingest(
     pages = load_pages(spark, landing, layers.contract, page_per_line)
     seen = Observation()
     watched = pages.observe(seen, F.count(CORRUPT).alias("broken"))
-    _land(layers, add_lineage(good_records(watched), layers.source, as_of), as_of, replace_day)
+    load = _land(layers, add_lineage(good_records(watched), layers.source, as_of), as_of, replace_day)
     if seen.get["broken"]:
-        bad = add_lineage(broken_pages(pages), layers.source, as_of)
-        append(bad, layers.quarantine, replace_day)
+        torn = split_records(broken_pages(pages).withColumnRenamed(CORRUPT, "value"), layers.contract)
+        _land(layers, add_lineage(good_records(torn), layers.source, as_of), as_of, more_of=load)
+        append(add_lineage(broken_pages(torn), layers.source, as_of), layers.quarantine, replace_day)
     extra = unexpected_fields(spark, landing, layers.contract, page_per_line)
     found = extra.withColumn("filled_rows", F.col("filled_rows").cast("string"))
     append(add_lineage(found.coalesce(1), layers.source, as_of), layers.drift, replace_day)
@@ -205,9 +209,11 @@ def ingest_frame(
     _land(layers, add_lineage(layers.contract.project(df), layers.source, as_of), as_of, replace_day)
 
 
-def _land(layers: Layers, rows: DataFrame, as_of: datetime, replace_day: bool) -> None:
-    """Append the rows of one load. The ledger has it before raw does, and its row count after."""
-    spark, moment, load = rows.sparkSession, utc(as_of), uuid.uuid4().hex
+def _land(
+    layers: Layers, rows: DataFrame, as_of: datetime, replace_day: bool = False, more_of: str | None = None
+) -> str:
+    """Append the rows of one load. The ledger has it before raw does, and its row count after; gives its name."""
+    spark, moment, load = rows.sparkSession, utc(as_of), f"{more_of}+" if more_of else uuid.uuid4().hex
     day = moment.strftime("%Y-%m-%d")
     if replace_day:
         known = spark.table(layers.ledger)
@@ -217,6 +223,47 @@ def _land(layers: Layers, rows: DataFrame, as_of: datetime, replace_day: bool) -
     seen = Observation()
     append(rows.observe(seen, F.count(F.lit(1)).alias("rows")), layers.raw, replace_day)
     _note(spark, layers, [(load, "done", layers.source, day, moment, seen.get["rows"])])
+    return load
+
+
+def ingest_batch(layers: Layers, pages: DataFrame, files: list[str], as_of: datetime, load: str) -> None:
+    """Append a micro-batch of loaded pages, which came from `files`, as the load of that name.
+
+    A load that raw has whole is not appended again, and one that broke off goes
+    on under the moment it began with. Broken pages are split as in `ingest`.
+    """
+    spark = pages.sparkSession
+    create(spark, layers)
+    entries = spark.table(layers.ledger).filter(F.col("load") == load).select("step", F.unix_micros("newest").alias("at"))
+    known = {r["step"]: r["at"] for r in entries.collect()}
+    if "done" in known:
+        return
+    moment = datetime.fromtimestamp(known["begun"] / 1e6, timezone.utc) if known else utc(as_of)
+    day = moment.strftime("%Y-%m-%d")
+    if not known:
+        _note(spark, layers, [(load, "begun", layers.source, day, moment, None)])
+
+    def missing(table: str) -> bool:
+        """Whether a table has nothing of this load yet."""
+        of_load = (F.col(BATCH) == day) & (F.col(MOMENT) == F.lit(moment)) & (F.col("_source") == layers.source)
+        return not known or spark.table(table).filter(of_load).isEmpty()
+
+    def traced(df: DataFrame) -> DataFrame:
+        return add_lineage(df, layers.source, moment)
+
+    torn = split_records(broken_pages(pages).withColumnRenamed(CORRUPT, "value"), layers.contract)
+    good, seen = good_records(pages).unionByName(good_records(torn)), Observation()
+    if missing(layers.raw):
+        append(traced(good.observe(seen, F.count(F.lit(1)).alias("rows"))), layers.raw)
+        count = seen.get["rows"]
+    else:
+        count = good.count()
+    if missing(layers.quarantine):
+        append(traced(broken_pages(torn).coalesce(1)), layers.quarantine)
+    if missing(layers.drift):
+        extra = unexpected_fields(spark, files, layers.contract)
+        append(traced(extra.withColumn("filled_rows", F.col("filled_rows").cast("string")).coalesce(1)), layers.drift)
+    _note(spark, layers, [(load, "done", layers.source, day, moment, count)])
 
 
 def append_load(layers: Layers, rows: DataFrame) -> None:
@@ -234,7 +281,8 @@ def append_load(layers: Layers, rows: DataFrame) -> None:
 
 def _note(spark: SparkSession, layers: Layers, entries: list[tuple]) -> None:
     if entries:
-        append(spark.createDataFrame(entries, LEDGER).coalesce(1), layers.ledger)
+        rows = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(e, LEDGER, strict=True)]) for e in entries]
+        append(spark.range(1, numPartitions=1).select(F.inline(F.array(*rows))), layers.ledger)
 
 
 def loads(spark: SparkSession, layers: Layers) -> DataFrame:
@@ -326,16 +374,19 @@ def pending_and_merged(spark: SparkSession, layers: Layers) -> list[tuple]:
     return entries + [(UNLISTED, batch) for batch in listed if batch not in known]
 
 
-def unmerged(spark: SparkSession, layers: Layers) -> list[tuple]:
-    """(load, batch) of the loads that clean doesn't hold. Raw isn't read: its ledger and its folders are.
+def unmerged(spark: SparkSession, layers: Layers, taken: str | None = None) -> list[tuple]:
+    """(load, batch) of the loads that clean, or another table of taken ones, doesn't hold.
+
+    Raw isn't read: its ledger and its folders are.
 
     A batch that was appended past the ledger counts as one load when it is new.
     """
     held = pending_and_merged(spark, layers)
-    if not _exists(spark, layers.merged):
+    taken = taken or layers.merged
+    if not _exists(spark, taken):
         return held
-    spark.catalog.refreshTable(layers.merged)
-    known = {(r["load"], r[BATCH]) for r in spark.table(layers.merged).collect()}
+    spark.catalog.refreshTable(taken)
+    known = {(r["load"], r[BATCH]) for r in spark.table(taken).collect()}
     return [entry for entry in held if entry not in known]
 
 
@@ -597,6 +648,19 @@ def run_quality(
     return passed
 
 
+def run_raw_checks(spark: SparkSession, layers: Layers) -> DataFrame:
+    """Status of the raw checks, counted in the loads that came since the last run and kept for the others."""
+    states, checked = f"{layers.raw}_states", f"{layers.raw}_states__loads"
+    pending = unmerged(spark, layers, checked)
+    days = {batch for _, batch in pending}
+    refresh_states(spark, states, layers.raw, _with_drift(spark, layers), layers.raw_rules(), "raw", BATCH, days)
+    if pending:
+        ensure_table(spark, checked, MERGED)
+        append(spark.createDataFrame(pending, MERGED).coalesce(1), checked)
+    spark.catalog.refreshTable(states)
+    return merged_status(spark.table(states), layers.raw_rules(), "raw", BATCH)
+
+
 def expire_raw(spark: SparkSession, layers: Layers, as_of: datetime) -> dict[str, int]:
     """Drop raw batches past the retention age; gives the rows that each of them had.
 
@@ -607,24 +671,19 @@ def expire_raw(spark: SparkSession, layers: Layers, as_of: datetime) -> dict[str
     if not doomed:
         return {}
     ensure_table(spark, layers.ledger, LEDGER)
-    of_batch = F.col(BATCH).isin(doomed)
-    steps = spark.table(layers.ledger).filter(of_batch).groupBy(BATCH, "load", "step")
-    noted: dict[str, list] = {}
-    begun: dict[tuple, int | None] = {}
-    for r in steps.agg(F.max("row_count").alias("n")).collect():
-        if r["step"] == "expired":
-            noted.setdefault(r[BATCH], []).append(r["n"])
-        else:
-            begun[r[BATCH], r["load"]] = r["n"] if begun.get((r[BATCH], r["load"])) is None else begun[r[BATCH], r["load"]]
-    for (batch, _), n in begun.items():
-        noted.setdefault(batch, []).append(n)
+    noted: dict[str, dict] = {}
+    for r in spark.table(layers.ledger).filter(F.col(BATCH).isin(doomed)).collect():  # a few rows per load
+        steps = noted.setdefault(r[BATCH], {})
+        if steps.get(r["load"]) is None:
+            steps[r["load"]] = r["row_count"]
+    noted = {batch: list(steps.values()) for batch, steps in noted.items()}
     counts = {batch: sum(ns) for batch, ns in noted.items() if None not in ns}
     unknown = [batch for batch in doomed if batch not in counts]
     if unknown:
         found = row_counts(spark.table(layers.raw).filter(F.col(BATCH).isin(unknown)), BATCH)
         counts |= {r[BATCH]: r["row_count"] for r in found.collect()}
     set_property(spark, layers.raw, CUT, "true")
-    dropped = drop_batches(spark, layers.raw, BATCH, lambda b: b.filter(of_batch))
+    dropped = drop_batches(spark, layers.raw, BATCH, lambda b: b.filter(late))
     gone = {name: counts.get(name, 0) for name in dropped}
     _note(spark, layers, [(uuid.uuid4().hex, "expired", layers.source, b, None, -n) for b, n in gone.items() if b not in unknown])
     return gone

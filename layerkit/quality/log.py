@@ -66,3 +66,19 @@ def _moment(at: datetime | Column) -> Column:
 def log(rows: DataFrame, table: str) -> None:
     """Append a run's rows, a bounded handful, as one file."""
     append(rows.repartition(1), table)
+
+
+RUN = "_run"
+
+
+def ensure_run_table(spark: SparkSession, schema: str) -> str:
+    """An audit table whose rows belong to numbered runs, such as the micro-batches of a stream."""
+    ensure_schema(spark, schema)
+    name = f"{schema}.dq_audit_runs"
+    ensure_table(spark, name, T.StructType([*AUDIT.fields, T.StructField(RUN, T.StringType())]), [RUN])
+    return name
+
+
+def log_once(rows: DataFrame, table: str, run: str) -> None:
+    """Write a run's rows in place of those it has written before, so a run that is repeated adds none."""
+    append(rows.repartition(1).withColumn(RUN, F.lit(run)), table, replace_partitions=True)

@@ -12,6 +12,12 @@ from layerkit.contract import Contract
 
 CORRUPT = "_corrupt_record"
 
+# A record in broken JSON: braces that match, two deep, text in quotes skipped; never tried twice.
+_QUOTED = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_RECORD = rf'\{{(?:[^{{}}"]++|{_QUOTED}|\{{(?:[^{{}}"]++|{_QUOTED})*+\}}){{0,2000}}+\}}'
+# Text up to a bare number, and the number.
+_NUMBER = rf'\G((?:[^"0-9\-]++|{_QUOTED})*+)(-?[0-9][0-9.eE+\-]*+)'
+
 
 def load_pages(
     spark: SparkSession, path: str, contract: Contract, page_per_line: bool = True
@@ -34,6 +40,56 @@ def load_pages(
     )
 
 
+def read_lines(spark: SparkSession, path: str, page_per_line: bool = True) -> DataFrame:
+    """Landed pages as text, column `value`."""
+    return spark.read.option("wholetext", str(not page_per_line).lower()).text(path)
+
+
+def split_records(lines: DataFrame, contract: Contract) -> DataFrame:
+    """Records of pages read as text, plus the text of what isn't a record; a broken one doesn't take others with it.
+
+    A page that is whole is split by the parser. One that isn't is split at
+    matching braces, and what lies between them, or the page where there are
+    none, is set aside as well. Columns are those of load_pages: the contract's,
+    and the broken text. Blank pages give nothing, nor do nulls in a list.
+    Unlike the file reader the parser writes bare numbers anew (1.50 as 1.5), so
+    where all columns are text they are put in quotes first, save in records
+    that hold lists or records.
+    """
+    value, corrupt = F.col("value"), T.StructField(CORRUPT, T.StringType())
+    page = F.trim(value, F.lit(" \t\r\n"))
+    listed = page.startswith("[")
+    whole = F.from_json(value, "array<string>")
+    between = F.regexp_replace(value, _RECORD, "")
+    left = F.when(F.length(F.regexp_replace(between, r"[\[\],\s]", "")) > 0, between)
+    torn = F.concat(F.regexp_extract_all("value", F.lit(_RECORD), F.lit(0)), F.array(left))
+    # What a list of records holds is cut out by braces too, as the parser would write its numbers anew.
+    cut = F.regexp_extract_all("value", F.lit(_RECORD), F.lit(0))
+    exact = whole.isNotNull() & (F.size(cut) == F.size(F.filter(whole, lambda t: t.startswith("{"))))
+    others = F.filter(whole, lambda t: ~t.startswith("{"))
+    texts = (
+        F.when(~listed, F.array(value))
+        .when(exact, F.concat(cut, others))
+        .when(whole.isNotNull(), whole)
+        .otherwise(torn)
+    )
+    text = F.col("_text")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    quoted = F.regexp_replace(text, _NUMBER, r'$1"$2"')
+    flat = ~F.regexp_replace(text, _QUOTED, "").rlike(r"\[|\{[^{]*\{")
+    spelt = F.when(flat, quoted).otherwise(text) if _all_text(contract) else text
+    record = F.from_json(spelt, T.StructType([*contract.schema.fields, corrupt]), options)
+    is_record = F.trim(text, F.lit(" \t\r\n")).startswith("{")
+    other = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in contract.schema], text.alias(CORRUPT))
+    rows = lines.filter(F.length(page) > 0).select(F.explode(texts).alias("_text")).filter("_text is not null")
+    parsed = rows.select(F.when(is_record, record).otherwise(other).alias("r"), "_text").select("r.*", "_text")
+    return parsed.withColumn(CORRUPT, F.when(F.col(CORRUPT).isNotNull(), F.col("_text"))).drop("_text")
+
+
+def _all_text(contract: Contract) -> bool:
+    return all(isinstance(f.dataType, T.StringType) for f in contract.schema)
+
+
 def unexpected_fields(
     spark: SparkSession, path: str, contract: Contract, page_per_line: bool = True
 ) -> DataFrame:
@@ -42,7 +98,11 @@ def unexpected_fields(
     The contract read never sees them, so the pages are read as text and only
     the names of their fields are kept.
     """
-    pages = spark.read.option("wholetext", str(not page_per_line).lower()).text(path)
+    return unexpected_of(read_lines(spark, path, page_per_line), contract)
+
+
+def unexpected_of(pages: DataFrame, contract: Contract) -> DataFrame:
+    """The same of pages that were read as text."""
     page = F.ltrim("value", F.lit(" \t\r\n"))
     records = F.when(
         page.startswith("["), F.from_json("value", "array<map<string,string>>")

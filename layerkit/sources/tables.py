@@ -10,8 +10,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -184,6 +185,33 @@ def drop_batches(
     return values
 
 
+def expire_rows(
+    spark: SparkSession, name: str, batch: str, day: Column, before: date, last_day: Callable[[Column], Column] = F.last_day
+) -> dict[str, list[str]]:
+    """Delete the rows dated before a day from a table whose batches span several days.
+
+    `day` dates a row; a batch is named by the first day of its span, and
+    `last_day` gives the last one, a month's by default. Batches that end before
+    the day are dropped unread, those that straddle it are rewritten, and no
+    other is touched. Rows and batches without a readable date stay. Gives the
+    batches dropped and rewritten.
+    """
+    _require_dynamic(spark, name)
+    first, bound = F.try_to_date(F.col(batch), "yyyy-MM-dd"), F.lit(before)
+    spans = batches(spark, name, batch).select(batch, (last_day(first) < bound).alias("over"), (first < bound).alias("begun"))
+    late = spans.filter("begun").collect()
+    whole = sorted(r[batch] for r in late if r["over"])
+    torn = sorted(r[batch] for r in late if not r["over"])
+    _drop_partitions(spark, name, [f"{batch} = '{quoted(value)}'" for value in whole])
+    if torn:
+        seen = Observation()
+        kept = spark.table(name).filter(F.col(batch).isin(torn)).filter(~F.coalesce(day < bound, F.lit(False)))
+        append(kept.observe(seen, F.collect_set(batch).alias("left")), name, replace_partitions=True)
+        emptied = sorted(set(torn) - set(seen.get["left"]))
+        _drop_partitions(spark, name, [f"{batch} = '{quoted(value)}'" for value in emptied])
+    return {"dropped": whole, "rewritten": torn}
+
+
 def _drop_partitions(spark: SparkSession, name: str, specs: list[str]) -> None:
     if specs:
         parts = ", ".join(f"PARTITION ({spec})" for spec in specs)

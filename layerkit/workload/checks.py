@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from layerkit import presets
 from layerkit.operators.aggregate import group_count
 from layerkit.quality.evaluate import check_status, error_records, failing_rows, verdict, verdicts
-from layerkit.quality.log import audit_rows, ensure_log_tables, error_rows, log
+from layerkit.plans.layers import Layers, append_load, run_raw_checks
+from layerkit.quality.log import audit_rows, ensure_log_tables, error_rows, log, log_once
 from layerkit.quality.monitor import (
     check_trend as trend_of,
     failures_with_samples,
@@ -19,8 +20,9 @@ from layerkit.quality.monitor import (
     newest_errors,
 )
 from layerkit.quality.rules import Expression, Fresh
-from layerkit.session import scratch_schema
-from layerkit.workload.inputs import BATCH, agg, clean, curated, plain, raw, table, written
+from layerkit.session import scratch_dir, scratch_schema
+from layerkit.streaming.upsert import run_stream
+from layerkit.workload.inputs import BATCH, CUT, agg, clean, curated, plain, raw, table, written
 from layerkit.workload.oracle import AGG, CLEAN, RAW, RAW_COLUMNS
 from layerkit.workload.registry import query
 
@@ -100,6 +102,37 @@ def dq_status_raw(spark, sf):
     return check_status(raw(spark, sf), presets.raw_rules(), "raw")
 
 
+@query(f"WITH {RAW} {RAW_STATUS}")
+def dq_status_incremental(spark, sf):
+    """The same from counts kept per batch: a first run over the early loads, a second over the late ones alone."""
+    layers = Layers(schema=scratch_schema(spark, "states"), source="orders")
+    rows = raw(spark, sf)
+    late = F.coalesce(F.col(BATCH) > CUT, F.lit(False))
+    for part in (rows.filter(~late), rows.filter(late)):
+        append_load(layers, part)
+        status = run_raw_checks(spark, layers)
+    return status
+
+
+@query(
+    f"WITH {RAW}, s AS ({' UNION ALL '.join(_counts('raw', RAW_TESTS, 'raw'))}) "
+    "SELECT check_name, failed_rows, total_rows FROM s"
+)
+def stream_audit(spark, sf):
+    """Checks of every micro-batch of a stream, logged once also where a micro-batch is repeated, and summed up."""
+    layers = Layers(schema=scratch_schema(spark, "audit"), source="orders")
+    append_load(layers, raw(spark, sf))
+    run_stream(spark, layers, scratch_dir(spark, "stream"), files_per_batch=40, audit_as="raw")
+    log_rows = spark.table(f"{layers.schema}.dq_audit_runs")
+    again = log_rows.filter("_run = 'raw-0'").drop("_run")
+    log_once(again, f"{layers.schema}.dq_audit_runs", "raw-0")  # what a replay of the first one does
+    counts = F.from_json("details", "failed_rows long, total_rows long")
+    named = spark.table(f"{layers.schema}.dq_audit_runs").filter(F.col("check_name").isin(list(RAW_TESTS)))
+    return named.select("check_name", counts.alias("c")).groupBy("check_name").agg(
+        F.sum("c.failed_rows").alias("failed_rows"), F.sum("c.total_rows").alias("total_rows")
+    )
+
+
 @query(f"WITH {CLEAN} {CLEAN_STATUS}")
 def dq_status_clean(spark, sf):
     return check_status(clean(spark, sf), presets.clean_rules(), "clean")

@@ -9,18 +9,22 @@ from pyspark.sql import functions as F
 from layerkit import presets
 from layerkit.contract import Contract
 from layerkit.operators.aggregate import group_count
+from layerkit.plans import layers as plans
 from layerkit.plans.layers import Layers, append_load, create, refresh, run_daily, run_weekly
 from layerkit.session import scratch_dir, scratch_schema
-from layerkit.sources.pages import CORRUPT, add_lineage, load_pages
+from layerkit.sources.pages import CORRUPT, add_lineage, load_pages, read_lines, split_records
 from layerkit.sources.tables import (
     KeyedTable,
     append,
     append_snapshot,
+    ensure_table,
+    expire_rows,
     full_refresh,
     gather,
     scan_snapshot,
 )
-from layerkit.streaming.upsert import run_stream
+from layerkit.streaming.counts import counts, stream_counts
+from layerkit.streaming.upsert import run_stream, stream_pages
 from layerkit.workload.inputs import (
     BATCH,
     CUT,
@@ -250,3 +254,91 @@ def merged_layers(spark, sf) -> Layers:
         append_load(layers, part)
         refresh(spark, layers)
     return layers
+
+
+ONE_LINE = "regexp_replace(text, '[\r\n]+', ' ', 'g')"
+NO_FIELDS = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in FIELDS)
+
+
+@query(
+    f"""WITH {RECORDS} SELECT {", ".join(FIELDS)}, CAST(NULL AS VARCHAR) AS broken FROM records
+    UNION ALL SELECT {NO_FIELDS}, {ONE_LINE} FROM documents WHERE trim({ONE_LINE}, ' \t') <> ''"""
+)
+def stream_landed_pages(spark, sf):
+    """Pages and free text landed side by side and streamed in several micro-batches: what raw and quarantine hold then."""
+    layers, folder = new_layers(spark, "pages"), scratch_dir(spark, "landing")
+    for first, last, _ in DROPS:
+        rows = sightings(spark, sf).filter(F.year("o_orderdate").between(first, last))
+        page = F.floor(F.col("o_orderkey") / PAGE).alias("page")
+        landed_pages(rows.select(*record_columns(), page), "page").coalesce(2).write.mode("append").text(folder)
+    text = table(spark, sf, "documents").select(F.regexp_replace("text", r"[\r\n]+", " ").alias("value"))
+    text.coalesce(1).write.mode("append").text(folder)
+    stream_pages(spark, layers, folder, scratch_dir(spark, "stream"), files_per_batch=4, clock=lambda: DROPS[0][2])
+    good = spark.table(layers.raw).select(*FIELDS, F.lit(None).cast("string").alias("broken"))
+    bad = spark.table(layers.quarantine).select(CORRUPT)
+    return good.unionByName(bad.select(*[F.lit(None).cast("string").alias(c) for c in FIELDS], F.col(CORRUPT).alias("broken")))
+
+
+@query(
+    f"""WITH {RECORDS} SELECT {", ".join(FIELDS)}, CAST(NULL AS VARCHAR) AS broken FROM records
+    UNION ALL SELECT {NO_FIELDS}, '{{"id": ' || custkey || ',,}}' FROM (SELECT DISTINCT o_custkey AS custkey FROM orders)"""
+)
+def quarantine_records(spark, sf):
+    """A broken record in the midst of every page: the good ones of the page stay."""
+    rows = sightings(spark, sf).select(*record_columns(), "o_custkey")
+    record = F.to_json(F.struct(*FIELDS), {"ignoreNullFields": "false"})
+    of_page = rows.groupBy("o_custkey").agg(F.collect_list(record).alias("records"))
+    bad = F.concat(F.lit('{"id": '), F.col("o_custkey").cast("string"), F.lit(",,}"))
+    page = F.concat(F.lit("["), F.array_join(F.array_insert("records", F.lit(2), bad), ", "), F.lit("]"))
+    folder = scratch_dir(spark, "torn")
+    of_page.select(page.alias("value")).write.text(folder)
+    found = split_records(read_lines(spark, folder), presets.CONTRACT)
+    return found.withColumnRenamed(CORRUPT, "broken")
+
+
+EXPIRED = "1997-05-17"  # within a month
+
+
+@query(
+    f"""WITH {RAW} SELECT {RAW_COLUMNS} FROM raw
+    WHERE _ingestion_date IS NULL OR CAST(_ingestion_ts AS DATE) >= DATE '{EXPIRED}'"""
+)
+def retention_rows(spark, sf):
+    """Rows before a day within a month go from a log of months; one partition is rewritten."""
+    name = f"{scratch_schema(spark, 'months')}.log"
+    ensure_table(spark, name, presets.CONTRACT.raw_schema, [BATCH])
+    append(gather(raw(spark, sf), BATCH), name)
+    expire_rows(spark, name, BATCH, F.to_date("_ingestion_ts"), datetime.fromisoformat(EXPIRED).date())
+    return plain(spark.table(name))
+
+
+@query(f"WITH {AGG} SELECT * FROM agg")
+def stream_group_counts(spark, sf):
+    """Counts whose changes come from each key's place and group in the stream's state."""
+    layers = new_layers(spark, "states")
+    create(spark, layers)
+    append(gather(raw(spark, sf), BATCH), layers.raw)
+    name, contract = f"{layers.schema}.counts", presets.CONTRACT
+    log = spark.readStream.option("maxFilesPerTrigger", 40).table(layers.raw)
+    shaped = plans.standardize(log, presets.TEXT_FORMS)
+    stream_counts(
+        spark, shaped, name, scratch_dir(spark, "stream"), contract.keys, contract.order, presets.GROUPS, presets.MEASURE
+    )
+    return counts(spark, name, presets.GROUPS, presets.MEASURE)
+
+
+@query(f"WITH {REPLAYED} SELECT {RAW_COLUMNS} FROM clean")
+def rebuild_after_crash(spark, sf):
+    """A log cut by retention, a rebuild that breaks off, and a load that comes before it is repaired."""
+    layers = new_layers(spark, "crash")
+    for first, last, as_of in DROPS[:2]:
+        run_daily(spark, layers, land(spark, sf, first, last), as_of)
+    plans.expire_raw(spark, layers, datetime(2024, 3, 2))  # the first load
+    # What a rebuild leaves that breaks off once its rows are written down.
+    full_refresh(layers.clean.read(spark), f"{layers.clean.name}__rebuilt")
+    layers.clean.mark_whole(spark, False)
+    first, last, as_of = DROPS[2]
+    plans.ingest(spark, layers, land(spark, sf, first, last), as_of)
+    for _ in range(2):
+        refresh(spark, layers)
+    return plain(layers.clean.read(spark))
