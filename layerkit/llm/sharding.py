@@ -73,19 +73,22 @@ def place(df: DataFrame, keys: list[str], shards: list[str], size: int = 65_537)
     return rows.join(F.broadcast(table), "slot").select("row", "slot", "shard")
 
 
-def write_shards(placed: DataFrame, path: str) -> None:
-    """One folder per shard under `path`, with the columns of the rows.
+def write_shards(placed: DataFrame, path: str) -> str:
+    """One folder per shard under `path`, with the columns of the rows; gives the name of the folders' column.
 
-    Rows meet by shard in a rebalance, which splits a shard that is larger
-    than a task should write and packs small ones.
+    That is `shard`, with a line behind it for as long as the rows have a column
+    of that name. Rows meet by shard in a rebalance, which splits a shard that is
+    larger than a task should write and packs small ones.
     """
-    names = placed.schema["row"].dataType.names
-    if "shard" in names:
-        raise ValueError("a column named shard would clash with the folders")
+    names = {n.lower() for n in placed.schema["row"].dataType.names}
+    column = "shard"
+    while column in names:
+        column += "_"
     (
-        placed.select("row.*", "shard")
-        .hint("rebalance", F.col("shard"))
-        .write.partitionBy("shard")
+        placed.select("row.*", F.col("shard").alias(column))
+        .hint("rebalance", F.col(column))
+        .write.partitionBy(column)
         .mode("overwrite")
         .parquet(path)
     )
+    return column
