@@ -9,12 +9,15 @@ rule: a rule fits when as many of its tokens are found as it has.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layerkit.llm.common import checkpointed
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_BAD = "label=bad"
 
 
 def host_of(url: Column) -> Column:
@@ -76,6 +79,9 @@ def given_rule(pages: DataFrame, rules: DataFrame, url: str) -> DataFrame:
     )
 
 
+RULE = "rule_id long, tokens array<string>, members array<array<string>>, confidence double"
+
+
 def mined_rules(
     baskets: DataFrame,
     min_support: float = 0.002,
@@ -83,27 +89,71 @@ def mined_rules(
     min_confidence: float = 0.6,
     min_lift: float = 2.0,
 ) -> DataFrame:
-    """(rule_id, tokens, confidence) from labelled baskets (tokens, bad).
+    """(rule_id, tokens, members, confidence) from labelled baskets (tokens, bad).
 
     Support counts a rule's tokens together with the label; a rule needs the
     share `min_support` of all baskets, and `min_count` of them. A rule is
     dropped if another one with a part of its tokens is at least as sure.
+
+    Tokens that are in the same baskets, told by count and two sums of hashes,
+    are one item: the first of them stands in `tokens` for all of its
+    `members`, each of which would make a rule as sure. A token that only bad
+    baskets have is a rule that no longer one can beat. Both are settled before
+    FP-growth, which sees bad baskets alone, so a URL with very many names of
+    its own, however often it comes, doesn't multiply; the counts in all
+    baskets, for the confidence, come from an inverted index.
     """
-    labelled = baskets.select(
-        F.when(F.col("bad"), F.array_append("tokens", F.lit(_BAD))).otherwise(F.col("tokens")).alias("items")
-    ).filter("size(items) > 0")
-    share = min(1.0, max(min_support, min_count / max(1, labelled.count())))
-    miner = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence)
-    found = miner.fit(labelled).associationRules.filter(
-        (F.col("consequent") == F.array(F.lit(_BAD))) & (F.col("lift") >= min_lift)
+    spark = baskets.sparkSession
+    sets = checkpointed(
+        baskets.groupBy("tokens").agg(F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad"))
+        .filter("size(tokens) > 0 or bad > 0")
+        .withColumns({"h": F.xxhash64("tokens"), "g": F.xxhash64(F.lit(1), F.col("tokens"))})
+    )
+    total, bad = (x or 0 for x in sets.agg(F.sum("n"), F.sum("bad")).first())
+    least = max(1, ceil(max(min_support * total, min_count) - 1e-9))
+    if bad < least:
+        return spark.createDataFrame([], RULE)
+    token = sets.select(F.explode("tokens").alias("token"), "n", "bad", "h", "g").groupBy("token")
+    wide = "decimal(38,0)"
+    token = token.agg(
+        F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.sum(F.col("h").cast(wide)).alias("h"), F.sum(F.col("g").cast(wide)).alias("g")
     )
-    rules = found.select(F.array_sort("antecedent").alias("tokens"), "confidence")
-    rules = rules.withColumn("rule_id", F.xxhash64("tokens"))
+    items = checkpointed(
+        token.filter(F.col("bad") >= least)
+        .groupBy("n", "bad", "h", "g")
+        .agg(F.array_sort(F.collect_list("token")).alias("members"))  # all of them in one URL
+        .select("members", F.col("members")[0].alias("item"), "n", "bad")
+    )
+    found = items.select(F.array("item").alias("tokens"), F.col("bad").alias("freq"), "n")
+    mixed = items.filter("bad < n").select(F.col("item").alias("token"))
+    seen = sets.filter("bad > 0").select("h", "g", "bad", F.explode("tokens").alias("token")).join(mixed, "token")
+    mined = seen.groupBy("h", "g", "bad").agg(F.collect_list("token").alias("items"))
+    mined = checkpointed(mined.select("items", F.explode(F.expr("sequence(1L, bad)")).alias("copy")))
+    rows = mined.count()
+    if rows >= least:
+        miner = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / rows, minConfidence=1.0)
+        long = miner.fit(mined).freqItemsets.filter("size(items) > 1")
+        long = checkpointed(long.select(F.array_sort("items").alias("tokens"), "freq"))
+        index = long.select("tokens", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
+        held = (
+            sets.select("h", "g", "n", F.explode("tokens").alias("token"))
+            .join(index, "token")
+            .groupBy("h", "g", "n", "tokens", "size")
+            .count()
+            .filter("count = size")
+            .groupBy("tokens")
+            .agg(F.sum("n").alias("n"))
+        )
+        found = found.unionByName(long.join(held, "tokens").select("tokens", "freq", "n"))
+    rules = found.select("tokens", (F.col("freq") / F.col("n")).alias("confidence"))
+    rules = rules.filter((F.col("confidence") >= min_confidence) & (F.col("confidence") * total / bad >= min_lift))
+    rules = checkpointed(rules.withColumn("rule_id", F.xxhash64("tokens")))
     # Rules with a token in common meet by that token; a shorter one that is as sure makes the longer one idle.
     index = rules.select("rule_id", F.size("tokens").alias("n"), "confidence", F.explode("tokens").alias("token"))
     short = index.select("token", F.col("rule_id").alias("short_id"), F.col("n").alias("short_n"), F.col("confidence").alias("short_confidence"))
     idle = (
-        index.join(short, "token")
+        index.filter("n > 1")
+        .join(short, "token")
         .filter("short_n < n and short_confidence >= confidence")
         .groupBy("rule_id", "short_id", "short_n")
         .count()
@@ -111,19 +161,26 @@ def mined_rules(
         .select("rule_id")
         .distinct()
     )
-    return rules.join(idle, "rule_id", "left_anti")
+    left = rules.join(idle, "rule_id", "left_anti")
+    named = left.select("rule_id", F.posexplode("tokens").alias("place", "item")).join(items.select("item", "members"), "item")
+    named = named.groupBy("rule_id").agg(F.array_sort(F.collect_list(F.struct("place", "members"))).alias("m"))
+    return left.join(named, "rule_id").select("rule_id", "tokens", F.col("m.members").alias("members"), "confidence")
 
 
 def matched(baskets: DataFrame, rules: DataFrame) -> DataFrame:
-    """(tokens, confidence): of each distinct basket that a mined rule fits, the surest rule's confidence."""
-    index = rules.select("rule_id", F.size("tokens").alias("n"), "confidence", F.explode("tokens").alias("token"))
+    """(tokens, confidence): of each distinct basket that a mined rule fits, the surest rule's confidence.
+
+    A rule fits a basket that has one of the members of each of its items.
+    """
+    index = rules.select("rule_id", F.size("tokens").alias("n"), "confidence", F.posexplode("members").alias("place", "m"))
+    index = index.select("rule_id", "n", "confidence", "place", F.explode("m").alias("token"))
     distinct = baskets.select("tokens").distinct()
     return (
         distinct.select("tokens", F.explode("tokens").alias("token"))
         .join(index, "token")
         .groupBy("tokens", "rule_id", "n", "confidence")
-        .count()
-        .filter("count = n")
+        .agg(F.count_distinct("place").alias("places"))
+        .filter("places = n")
         .groupBy("tokens")
         .agg(F.max("confidence").alias("confidence"))
     )
