@@ -31,7 +31,7 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def with_counts(df: DataFrame, text: str) -> DataFrame:
-    """`df` with the counts of its column `text`, n_lines, and base_failed; a null text is empty.
+    """`df` with the counts of its column `text`, n_lines, text_hash, and base_failed; a null text is empty.
 
     A word is in a repeat if a window of three words over it occurs twice in
     its text. The windows are compared as 64-bit hashes: they are sorted with
@@ -54,6 +54,7 @@ def with_counts(df: DataFrame, text: str) -> DataFrame:
         (F.char_length("_s") - F.char_length(F.translate("_s", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
         F.size("_l").cast("long").alias("n_lines"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
+        F.xxhash64("_t").alias("text_hash"),
     )
     counted = [c for c in df.columns if c not in [*keep, "_w"]]
     window = F.expr(
@@ -138,14 +139,20 @@ def fitted(
     """(stratum, cutoffs): for each stratum a map from rule to chosen cutoff.
 
     `counts` is as from `with_counts`; `labels` has the id and `good` (1 or
-    0). Rows that failed the base rules, or have no id or label, aren't used;
-    a document labelled several times counts each time. Falsely rejecting one
+    0). Rows that failed the base rules, or have no id or label, aren't used.
+    Equal texts of a stratum are one observation, however many documents hold
+    them or labels they have, and a good one if any label says so: copies would
+    make a cutoff look surer than it is. Falsely rejecting one
     good document costs as much as missing `price` bad ones, and a cutoff has to
     pay `least_pay` at least. A null stratum is a stratum. Rules without a paying certified cutoff are left out, so a
     stratum with few labels loses nothing.
     """
     known = labels.select(labels[id_col].alias(id_col), labels[good].alias("_good")).filter("_good is not null")
     rows = counts.join(known, id_col)
+    each = [c for c in [*COUNTS, "n_lines", "base_failed"] if c in rows.columns]
+    rows = rows.groupBy(F.col(stratum).alias("_stratum"), "text_hash").agg(
+        F.max(F.when(F.col("_good") == 1, 1).otherwise(0)).alias("_good"), *[F.min(c).alias(c) for c in each]
+    )
     # Not a filter: pushed below the counts it would make each of them several times.
     open_ = ~F.col("base_failed")
     is_good = F.col("_good") == 1
@@ -168,7 +175,7 @@ def fitted(
                     F.col(f"{name}_pay").alias("pay"),
                 )
             )
-    tally = rows.groupBy(F.col(stratum).alias("stratum")).agg(*sums).select("stratum", "n", F.inline(F.array(*tries)))
+    tally = rows.groupBy(F.col("_stratum").alias("stratum")).agg(*sums).select("stratum", "n", F.inline(F.array(*tries)))
     tests = checkpointed(tally)  # a row per stratum and cutoff
     strata = tests.agg(F.count_distinct(F.struct("stratum")).alias("strata")).scalar()
     sure = binomial_at_most(F.col("k"), F.col("n"), alpha) <= delta / (F.greatest(strata, F.lit(1)) * len(RULES))
