@@ -200,6 +200,9 @@ def _verified(least: float):
     return run
 
 
+NO_ID = 1 << 62
+
+
 def near_vectors(
     vectors: DataFrame,
     least: float = 0.98,
@@ -218,9 +221,9 @@ def near_vectors(
     that are null, empty, zero, or hold nulls or numbers that aren't finite link
     with nothing. Equal vectors of a label are one vector to the search, with a
     number of copies, and link with each other.
-    component_id is the smallest id that links lead to, itself included; a row
-    with a null id is its own. Ids are longs; rows that repeat an id count as
-    copies of it.
+    component_id is the smallest id that links lead to, itself included, and
+    null where none of them has one. Ids are longs below 2**62; rows that repeat
+    an id count as copies of it.
 
     Each length has codebooks of its own, fitted on the driver on at most
     `sample` rows for all; a length that the sample misses is one cell. The number
@@ -240,8 +243,11 @@ def near_vectors(
     ) & F.col("label").isNotNull()
     rows = plain.select("id", "label", F.when(fit, F.transform("vec", lambda x: x.cast("double"))).alias("vec"))
     usable = rows.filter("vec is not null").withColumn("vec", F.transform("vec", lambda x: x + F.lit(0.0)))  # -0 is 0
+    # Vectors without any id go by a number above all ids; it is taken away again below.
+    own = F.lit(NO_ID) + F.xxhash64("label", "vec").bitwiseAND(NO_ID - 1)
     distinct = checkpointed(
-        usable.groupBy("label", "vec").agg(F.min("id").alias("id"), F.count("*").alias("copies")).filter("id is not null")
+        usable.groupBy("label", "vec").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+        .withColumn("id", F.coalesce("id", own))
     )
     total = distinct.count()
     if not total:
@@ -314,6 +320,6 @@ def near_vectors(
     done = keyed.join(named, ["label", "vec"], "left").select(
         F.col("id").alias(id_col),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component_id", "id").alias("component_id"),
+        F.coalesce(F.when(F.col("id").isNotNull() | (F.col("component_id") < NO_ID), F.col("component_id")), "id").alias("component_id"),
     )
     return done.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
