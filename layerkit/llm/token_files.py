@@ -82,6 +82,7 @@ def write_tokens(
 
     writer = placed.mapInArrow(encoded, schema).write
     layout = {
+        "compression": "uncompressed",  # coded as they are, ids would shrink by a tenth
         "parquet.writer.version": "v2",
         "parquet.block.size": row_group,
         "parquet.page.size": page,

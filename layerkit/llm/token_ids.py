@@ -39,7 +39,7 @@ class TokenIds:
     At most about `limit` chunks are kept, and as many old ones.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         with open(resolved(path), encoding="utf-8") as file:
