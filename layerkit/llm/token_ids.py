@@ -15,12 +15,15 @@ from array import array
 
 import numpy as np
 
-from layerkit.llm.chunks import MARKS, resolved
+from layerkit.llm.chunks import resolved
 from layerkit.llm.token_counts import byte_letters
 
 #: Where every chunk but a text's first begins.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 
+#: Neither letters, numbers nor white space: behind a letter they are tokens of their own.
+MARKS = ".,;:!?|$%&*#@)]}\"'"
+
 #: Letters below this are letters to every version of Unicode: a run of them is one pre-token.
 LATIN_END = "\u0250"
 
@@ -39,7 +42,7 @@ class TokenIds:
     At most about `limit` chunks are kept, and as many old ones.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 450_000):
         from tokenizers import Tokenizer
 
         with open(resolved(path), encoding="utf-8") as file:
@@ -48,6 +51,9 @@ class TokenIds:
         # Cut to nothing and filled up to nothing, whatever the file says.
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # What a special string ends in is left at its chunk, so that none is torn.
+        special = {t["content"][-1:] for t in spec.get("added_tokens", [])}
+        self.ends = "".join(c for c in MARKS if c not in special)
         self.merges = self.tokenizer.model
         self.letters = byte_letters()
         self.sizes = _byte_sizes(spec)
@@ -94,7 +100,7 @@ class TokenIds:
 
         # A distinct chunk is a word and the marks behind it, if it ends in a letter and marks.
         chunks = coded.dictionary
-        bare = pc.utf8_rtrim(chunks, characters=MARKS)
+        bare = pc.utf8_rtrim(chunks, characters=self.ends)
         bare = pc.if_else(pc.match_substring_regex(bare, r"\p{L}$"), bare, chunks)
         length = pc.utf8_length(bare).to_numpy(zero_copy_only=False)
         marked = np.flatnonzero(pc.utf8_length(chunks).to_numpy(zero_copy_only=False) > length)

@@ -35,7 +35,7 @@ def ids_of(texts, encoder=None):
 
 PARTS = st.lists(
     st.one_of(
-        st.sampled_from([" ", "  ", "\n", "\t ", " \n", "the", "don't", "1234", "<|endoftext|>", "é", "日本", "\x1c", "\x85", "　", "\xa0", "'s", ".", "...", "Word", "ciónñas,"]),
+        st.sampled_from([" ", "  ", "\n", "\t ", " \n", "the", "don't", "1234", "<|endoftext|>", "é", "日本", "\x1c", "\x85", "　", "\xa0", "'s", ".", "...", "Word", "ciónñas,", "a$$$", "b'", "x)]", "y|>", "<|", "|>"]),
         st.text(max_size=6),
     ),
     max_size=25,
