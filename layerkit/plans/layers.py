@@ -45,13 +45,14 @@ from layerkit.sources.tables import (
     MergedTable,
     append,
     batches,
-    drop_batches,
+    drop_listed,
     ensure_schema,
     ensure_table,
     finish_refresh,
     full_refresh,
     gather,
     get_property,
+    local_rows,
     require_table,
     set_property,
 )
@@ -281,16 +282,24 @@ def append_load(layers: Layers, rows: DataFrame) -> None:
 
 def _note(spark: SparkSession, layers: Layers, entries: list[tuple]) -> None:
     if entries:
-        rows = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(e, LEDGER, strict=True)]) for e in entries]
-        append(spark.range(1, numPartitions=1).select(F.inline(F.array(*rows))), layers.ledger)
+        append(local_rows(spark, [_with_zone(e) for e in entries], LEDGER), layers.ledger)
+
+
+def _with_zone(entry: tuple) -> tuple:
+    """Moments with a time zone; those that came from a frame have the driver's."""
+    return tuple(v.astimezone(timezone.utc) if isinstance(v, datetime) else v for v in entry)
 
 
 def loads(spark: SparkSession, layers: Layers) -> DataFrame:
     """One row per load and batch: load, batch, newest moment, row_count (null where the load broke off)."""
+    return _entries(spark, layers).groupBy("load", BATCH).agg(F.max("newest").alias("newest"), F.max("row_count").alias("row_count"))
+
+
+def _entries(spark: SparkSession, layers: Layers) -> DataFrame:
+    """The ledger as it is now, without what has expired."""
     ensure_table(spark, layers.ledger, LEDGER)
     spark.catalog.refreshTable(layers.ledger)
-    entries = spark.table(layers.ledger).filter("step != 'expired'")
-    return entries.groupBy("load", BATCH).agg(F.max("newest").alias("newest"), F.max("row_count").alias("row_count"))
+    return spark.table(layers.ledger).filter("step != 'expired'")
 
 
 def _admit(spark: SparkSession, layers: Layers, as_of: datetime, replace_day: bool) -> None:
@@ -350,7 +359,7 @@ def rebuild_clean(spark: SparkSession, layers: Layers) -> None:
         layers.agg.mark_whole(spark, False)
     clean.rebuild(curated)
     set_property(spark, clean.name, REPLACED, "")
-    full_refresh(spark.createDataFrame(held, MERGED).coalesce(1), layers.merged)
+    full_refresh(local_rows(spark, held, MERGED), layers.merged)
     spark.sql(f"DROP TABLE IF EXISTS {kept}")
     spark.sql(f"DROP TABLE IF EXISTS {clean.name}__merged")
 
@@ -358,7 +367,7 @@ def rebuild_clean(spark: SparkSession, layers: Layers) -> None:
 def start_clean(spark: SparkSession, layers: Layers) -> None:
     """An empty clean table that holds no load yet."""
     layers.clean.rebuild(curate(spark.table(layers.raw).limit(0), layers))
-    full_refresh(spark.createDataFrame([], MERGED).coalesce(1), layers.merged)
+    full_refresh(local_rows(spark, [], MERGED), layers.merged)
 
 
 def _exists(spark: SparkSession, name: str) -> bool:
@@ -369,7 +378,9 @@ def _exists(spark: SparkSession, name: str) -> bool:
 def pending_and_merged(spark: SparkSession, layers: Layers) -> list[tuple]:
     """(load, batch) of all that raw holds now, one entry per load and batch."""
     listed = [r[BATCH] for r in batches(spark, layers.raw, BATCH, undated=True).collect()]
-    entries = [(r["load"], r[BATCH]) for r in loads(spark, layers).collect() if r[BATCH] in listed]
+    noted = _entries(spark, layers).select("load", BATCH).collect()  # a few rows per load
+    held = set(listed)
+    entries = list(dict.fromkeys((r["load"], r[BATCH]) for r in noted if r[BATCH] in held))
     known = {batch for _, batch in entries}
     return entries + [(UNLISTED, batch) for batch in listed if batch not in known]
 
@@ -546,7 +557,7 @@ def refresh(
         raise ValueError(f"since must be load, day or next_day, not {since!r}")
     merge_rows(spark, layers, fresh, delete_missing)
     if (since == "load" or delete_missing) and pending:
-        append(spark.createDataFrame(pending, MERGED).coalesce(1), layers.merged)
+        append(local_rows(spark, pending, MERGED), layers.merged)
 
 
 def repair(spark: SparkSession, layers: Layers) -> bool:
@@ -656,7 +667,7 @@ def run_raw_checks(spark: SparkSession, layers: Layers) -> DataFrame:
     refresh_states(spark, states, layers.raw, _with_drift(spark, layers), layers.raw_rules(), "raw", BATCH, days)
     if pending:
         ensure_table(spark, checked, MERGED)
-        append(spark.createDataFrame(pending, MERGED).coalesce(1), checked)
+        append(local_rows(spark, pending, MERGED), checked)
     spark.catalog.refreshTable(states)
     return merged_status(spark.table(states), layers.raw_rules(), "raw", BATCH)
 
@@ -667,7 +678,7 @@ def expire_raw(spark: SparkSession, layers: Layers, as_of: datetime) -> dict[str
     The ledger knows the counts; only a batch that it doesn't know is counted.
     """
     late = expired(BATCH, utc(as_of).date(), layers.retention_days)
-    doomed = [r[BATCH] for r in batches(spark, layers.raw, BATCH).filter(late).collect()]
+    doomed = sorted(r[BATCH] for r in batches(spark, layers.raw, BATCH).filter(late).collect())
     if not doomed:
         return {}
     ensure_table(spark, layers.ledger, LEDGER)
@@ -683,8 +694,8 @@ def expire_raw(spark: SparkSession, layers: Layers, as_of: datetime) -> dict[str
         found = row_counts(spark.table(layers.raw).filter(F.col(BATCH).isin(unknown)), BATCH)
         counts |= {r[BATCH]: r["row_count"] for r in found.collect()}
     set_property(spark, layers.raw, CUT, "true")
-    dropped = drop_batches(spark, layers.raw, BATCH, lambda b: b.filter(late))
-    gone = {name: counts.get(name, 0) for name in dropped}
+    drop_listed(spark, layers.raw, BATCH, doomed)
+    gone = {name: counts.get(name, 0) for name in doomed}
     _note(spark, layers, [(uuid.uuid4().hex, "expired", layers.source, b, None, -n) for b, n in gone.items() if b not in unknown])
     return gone
 

@@ -12,9 +12,11 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from layerkit.operators.dedupe import latest_per_key
 
@@ -66,6 +68,14 @@ def append(df: DataFrame, name: str, replace_partitions: bool = False) -> None:
     df.select(*columns).write.insertInto(name, overwrite=replace_partitions)
 
 
+def local_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows of the driver as a frame of one partition, without a job or a literal for each value."""
+    columns = zip(*rows, strict=True) if rows else [[] for _ in schema]
+    arrow = to_arrow_schema(schema)
+    arrays = [pa.array(list(values), f.type) for values, f in zip(columns, arrow, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema).coalesce(1)
+
+
 def _require_dynamic(spark: SparkSession, name: str) -> None:
     """Refuse a table whose overwrite would also remove the partitions not written."""
     if get_property(spark, name, "option.partitionOverwriteMode") != "dynamic":
@@ -178,11 +188,16 @@ def drop_batches(
     Raises if one that should have gone is still there.
     """
     values = sorted(row[batch] for row in doomed(batches(spark, name, batch)).collect())
+    drop_listed(spark, name, batch, values)
+    return values
+
+
+def drop_listed(spark: SparkSession, name: str, batch: str, values: list[str]) -> None:
+    """Drop the partitions of the batches listed, as `drop_batches` does."""
     _drop_partitions(spark, name, [f"{batch} = '{quoted(value)}'" for value in values])
     left = {row[batch] for row in batches(spark, name, batch).collect()} & set(values) if values else set()
     if left:
         raise RuntimeError(f"{name} still holds the batches {sorted(left)}")
-    return values
 
 
 def expire_rows(
