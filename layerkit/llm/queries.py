@@ -78,12 +78,19 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(pages, URL_RULES, labelled.select("url", bad.alias("bad")))
 
 
+@checked(oracles.GIVEN_RULES)
+def url_given_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the given rules say in op2_url_rules, which SQL can say too."""
+    given = F.when(F.col("rule").isNotNull(), F.col("verdict"))
+    return op2_url_rules(spark, sf_dir).select("page_id", "host", "path", "rule", given.alias("given_verdict"))
+
+
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), size=4, radius=4)
 
 
-@query
+@checked(oracles.SUBSTRING_DEDUP)
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digests(table(spark, sf_dir, "documents"), window=35)
 
@@ -108,7 +115,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query
+@checked(oracles.QUALITY_COUNTS)
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and base verdicts of op7_quality_rules, which SQL can say too."""
+    return op7_quality_rules(spark, sf_dir).drop("kept")
+
+
+@checked(oracles.NEAR_VECTORS)
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
 
