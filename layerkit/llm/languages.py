@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerkit.llm.common import byte_slices, mixed
+from layerkit.llm.common import byte_slices, checkpointed, mixed
 
 UNKNOWN = "und"
 _LETTERS: list[np.ndarray] = []
@@ -131,7 +131,9 @@ def fit(
     """A model of the labels of `docs`, fitted on at most about `most` different texts.
 
     Each label gives its share of the texts, those with the least hashes;
-    copies count once. Null labels and null texts aren't used. Features are
+    copies count once. A label's hashes are counted first, and only the low share
+    of them that holds the sample is ranked, so no task gets a label's rows.
+    Null labels and null texts aren't used. Features are
     made by the executors from whole texts; the driver gets one row of `width`
     numbers for each text of the sample.
     """
@@ -139,13 +141,20 @@ def fit(
         "text is not null and label is not null"
     )
     hashed = known.select("label", F.xxhash64("text").alias("h"), "text")
-    labels = sorted(r.label for r in hashed.select("label").distinct().limit(most).collect())
+    pairs = checkpointed(hashed.select("label", "h").distinct())
+    sizes = pairs.groupBy("label").count()
+    labels = sizes.count()
     if not labels:
         return Model([], np.zeros((0, 1)), np.zeros((width, 1)), np.zeros(1), width)
-    each = max(1, most // len(labels))
+    each = max(1, most // labels)
+    # Hashes lie evenly in -2^63 to 2^63, so about 2 * each + 100 of a label are in the share that is ranked.
+    near = F.col("h") / F.lit(2.0**64) + 0.5 < (2 * each + 100) / F.col("count")
     ranked = Window.partitionBy("label").orderBy("h")
     chosen = (
-        hashed.select("label", "h").distinct().withColumn("n", F.row_number().over(ranked)).filter(F.col("n") <= each)
+        pairs.join(F.broadcast(sizes) if labels <= most else sizes, "label")
+        .filter(near)
+        .withColumn("n", F.row_number().over(ranked))
+        .filter(F.col("n") <= each)
     )
     # At most `most` rows, or one per label, of two columns.
     picked = hashed.join(F.broadcast(chosen.select("label", "h")), ["label", "h"]).dropDuplicates(["label", "h"])

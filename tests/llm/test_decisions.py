@@ -155,6 +155,20 @@ def test_language_query_on_held_out_documents(spark):
     assert np.mean([r.lang_pred == truth[r.doc_id].lang for r in held]) > 0.98
 
 
+def test_language_sample_is_the_least_hashes_of_each_label(spark):
+    words = {"en": "the cat of a house", "fr": "le chat de la maison", "de": "die katze von dem haus"}
+    many = {"en": 2000, "fr": 300, "de": 4}
+    texts = [(f"{words[k]} {chr(97 + i % 26)}{i}", k) for k, n in many.items() for i in range(n)]
+    docs = spark.createDataFrame([*texts, *texts[:700], (None, "en"), ("x", None)], "text string, lang string")
+    ranked = docs.dropna().distinct().withColumn(
+        "n", F.expr("row_number() over (partition by lang order by xxhash64(text))")
+    )
+    whole = languages.fit(docs, most=30, width=64)
+    least = languages.fit(ranked.filter("n <= 10").drop("n"), most=30, width=64)
+    assert whole.languages == ["de", "en", "fr"]
+    assert np.array_equal(whole.weights, least.weights) and np.array_equal(whole.bias, least.bias)
+
+
 def test_language_of_odd_rows(odd, nothing, spark):
     extra = spark.createDataFrame([(100 + i, "the and of is", "en") for i in range(9)], "doc_id long, text string, lang string")
     docs = odd.select("doc_id", "text", "lang").union(extra)
