@@ -1,65 +1,64 @@
 """Counts per group kept up to date by a stream whose state is each key's place and group.
 
 A row that is newer than what its key had gives minus one for the old group and
-plus one for the new. Each micro-batch writes its changes, summed, as a
+plus one for the new: the state that the micro-batch before left is read beside
+the new one, and both meet in a join, so no key costs a call of its own. Each micro-batch writes its changes, summed, as a
 partition of its own number; one that is replayed puts the same rows there
 again. The total is the sum of all.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from layerkit.operators.aggregate import sum_delta
+from layerkit.operators.aggregate import sum_delta, tracked_delta
+from layerkit.operators.upsert import same_key
 from layerkit.sources.tables import append, ensure_table, full_refresh
 
 NUMBER = "_batch"
+PLACE, BEFORE = "_place", "_place_before"
 
 
-def group_changes(
-    stream: DataFrame, keys: Iterable[str], order: Iterable[str], groups: Iterable[str], measure: str
+def newest_places(
+    stream: DataFrame, keys: Iterable[str], order: Iterable[str], groups: Iterable[str]
 ) -> DataFrame:
-    """Signed rows (groups, measure) as the newest row of a key comes or moves; null keys are one key.
+    """The newest place (order and groups) of each key, as a streaming aggregate; null keys are one key.
 
-    Order columns are text or timestamps, groups are text. Equal rows change nothing.
+    Its state is each key's place, and a micro-batch gives the keys it holds. A
+    task cuts its rows to one per key before they are shuffled.
     """
-    keys, order, groups = list(keys), list(order), list(groups)
-    marks = []
-    for c in order:
-        stamp = isinstance(stream.schema[c].dataType, T.TimestampType)
-        marks.append((F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") if stamp else F.col(c)).alias(f"_mark_{c}"))
-    slim = stream.select(*keys, *marks, *[F.col(g).alias(f"_group_{g}") for g in groups])
-    names = [c for c in slim.columns if c.startswith(("_mark_", "_group_"))]
-    text = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    out = T.StructType([T.StructField(g, T.StringType()) for g in groups] + [T.StructField(measure, T.LongType())])
-
-    def moved(_, frames: Iterator, state: GroupState):
-        import pandas as pd
-
-        def rank(row):
-            return tuple((v is not None, v or "") for v in row)
-
-        before = tuple(state.get) if state.exists else None
-        newest = before
-        for frame in frames:
-            for row in frame[names].itertuples(index=False, name=None):
-                row = tuple(None if pd.isna(v) else v for v in row)
-                if newest is None or rank(row) > rank(newest):
-                    newest = row
-        changes = []
-        if newest is not None and newest != before:
-            state.update(newest)
-            old, new = before and before[len(order) :], newest[len(order) :]
-            if old != new:
-                changes = ([(*old, -1)] if old is not None else []) + [(*new, 1)]
-        yield pd.DataFrame(changes, columns=[*groups, measure])
-
-    return slim.groupBy(*keys).applyInPandasWithState(moved, out, text, "update", GroupStateTimeout.NoTimeout)
+    place = F.struct(*order, *[F.col(g).alias(f"_group_{g}") for g in groups])
+    return stream.groupBy(*keys).agg(F.max(place).alias(PLACE))
+
+
+def places_before(spark: SparkSession, checkpoint: str, number: int, keys: Iterable[str]) -> DataFrame | None:
+    """Each key's place in the state that the micro-batch before this one left; none before the first."""
+    if number == 0:
+        return None
+    state = spark.read.format("statestore").option("batchId", number - 1).load(checkpoint)
+    (place,) = state.schema["value"].dataType.names  # of its only aggregate
+    return state.select(*[F.col("key")[k].alias(k) for k in keys], F.col("value")[place].alias(BEFORE))
+
+
+def group_changes(
+    newest: DataFrame, before: DataFrame | None, keys: Iterable[str], groups: Iterable[str], measure: str
+) -> DataFrame:
+    """Signed rows (groups, measure) as the newest row of a key comes or moves."""
+    groups = list(groups)
+    if before is None:
+        met = newest.withColumn(BEFORE, F.lit(None).cast(newest.schema[PLACE].dataType))
+    else:
+        met = newest.alias("t").join(before.alias("s"), same_key(keys), "left").select(PLACE, BEFORE)
+
+    def group(place: str) -> Column:
+        return F.when(F.col(place).isNotNull(), F.struct(*[F.col(place)[f"_group_{g}"].alias(g) for g in groups]))
+
+    slim = met.select(group(PLACE).alias("_after"), group(BEFORE).alias("_before"))
+    return tracked_delta(slim.select("_after.*", "_before"), groups, measure)
 
 
 def stream_counts(
@@ -74,17 +73,17 @@ def stream_counts(
     timeout: int | None = None,
 ) -> None:
     """Take all that the stream has, then stop; counts(table) is what a recount of the newest rows would give."""
-    groups = list(groups)
+    keys, groups = list(keys), list(groups)
     schema = [T.StructField(g, T.StringType()) for g in groups] + [T.StructField(measure, T.LongType()), T.StructField(NUMBER, T.LongType())]
     ensure_table(spark, table, T.StructType(schema), [NUMBER])
 
-    def write(changes: DataFrame, number: int) -> None:
-        summed = sum_delta(changes, groups, measure).withColumn(NUMBER, F.lit(number).cast("bigint"))
+    def write(newest: DataFrame, number: int) -> None:
+        before = places_before(newest.sparkSession, checkpoint, number, keys)
+        summed = group_changes(newest, before, keys, groups, measure).withColumn(NUMBER, F.lit(number).cast("bigint"))
         append(summed.coalesce(1), table, replace_partitions=True)
 
-    changes = group_changes(stream, keys, order, groups, measure)
     query = (
-        changes.writeStream.outputMode("update").foreachBatch(write)
+        newest_places(stream, keys, order, groups).writeStream.outputMode("update").foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

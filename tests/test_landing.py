@@ -198,3 +198,28 @@ def test_counts_in_state_equal_a_recount(spark, schema, folder, edge, per_batch)
         replay = spark.table(table).filter(F.col("_batch") == last)
         append(spark.createDataFrame(replay.collect(), replay.schema), table, True)
         assert rows(counts(spark, table, groups, "n")) == rows(group_count(newest, groups, "n"))
+
+
+def test_counts_in_state_take_no_call_per_key(spark, schema, folder, monkeypatch):
+    """Keys that come, move, go back, and stay: the state is Spark's own and a micro-batch writes what moved."""
+    from pyspark.sql.group import GroupedData
+
+    def refuse(*_, **__):
+        raise AssertionError("a Python call per key")
+
+    monkeypatch.setattr(GroupedData, "applyInPandasWithState", refuse)
+    source, table = f"{folder}/in", f"{schema}.counts"
+    loads = [
+        [("a", "1", "x"), ("a", "0", "y"), ("b", "1", "x"), (None, "1", None), ("c", None, "y")],
+        [("a", "2", "y"), ("b", "0", "y"), (None, "1", "x"), ("c", None, "y")],
+        [("a", "3", "x"), ("d", "9", "z")],
+    ]
+    changes = [[(None, 1), ("x", 2), ("y", 1)], [(None, -1), ("y", 1)], [("x", 1), ("y", -1), ("z", 1)]]
+    for number, load in enumerate(loads):
+        frame = spark.createDataFrame(load, "id string, day string, kind string")
+        frame.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(frame.schema).parquet(source)
+        stream_counts(spark, stream, table, f"{folder}/state", ["id"], ["day"], ["kind"], "n")
+        written = spark.table(table).filter(F.col("_batch") == number).select("kind", "n")
+        assert rows(written) == sorted(changes[number], key=repr)
+    assert rows(counts(spark, table, ["kind"], "n")) == [("x", 3), ("y", 1), ("z", 1)]
