@@ -1,7 +1,7 @@
 """Pages record by record, streams of pages, counts in stream state, and what is kept per batch or run."""
 
 import json
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -223,3 +223,69 @@ def test_counts_in_state_take_no_call_per_key(spark, schema, folder, monkeypatch
         written = spark.table(table).filter(F.col("_batch") == number).select("kind", "n")
         assert rows(written) == sorted(changes[number], key=repr)
     assert rows(counts(spark, table, ["kind"], "n")) == [("x", 3), ("y", 1), ("z", 1)]
+
+
+def test_a_stream_of_pages_merges_each_load_alone(spark, layers, monkeypatch, tmp_path, folder):
+    """Loads of one day and moment: a micro-batch merges the rows it brought, not what the day has."""
+    landing = tmp_path / "in"
+    landing.mkdir()
+    for n in range(4):
+        page = json.dumps([{"id": str(10 * n + k), "name": "x"} for k in range(3)] + [{"id": "1", "name": f"n{n}"}])
+        (landing / f"{n}.json").write_text(f"{page}\nbroken {n}\n")
+    merged, merge = [], plans.merge_rows
+
+    def watch(spark, layers, rows, *rest):
+        merged.append(rows.count())
+        merge(spark, layers, rows, *rest)
+
+    monkeypatch.setattr(plans, "merge_rows", watch)
+    stream_pages(spark, layers, str(landing), folder, files_per_batch=1, clock=lambda: at(1))
+    assert merged == [4, 4, 4]  # the first builds clean
+    assert not plans.unmerged(spark, layers)
+    assert state(spark, layers)[1] == recount(spark, layers)
+    assert rows(layers.clean.read(spark)) == rows(plans.curate(spark.table(layers.raw), layers))
+    assert spark.table(layers.quarantine).count() == 4
+
+
+def test_a_load_of_pages_that_broke_off_before_its_merge_is_merged(spark, layers, monkeypatch, tmp_path, folder):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    (landing / "a.json").write_text('[{"id": "1", "name": "ann"}]')
+    stream_pages(spark, layers, str(landing), folder, clock=lambda: at(1))
+    (landing / "b.json").write_text('[{"id": "1", "name": "zoe"}]\n[{"id": "2", "name": "bob"},{]')
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(plans, "merge_rows", crash)
+        with pytest.raises(Exception, match="lost"):
+            stream_pages(spark, layers, str(landing), folder, clock=lambda: at(2))
+    stream_pages(spark, layers, str(landing), folder, clock=lambda: at(3))
+    assert {r["id"]: (r["name"], r[BATCH]) for r in layers.clean.read(spark).collect()} == {"1": ("Zoe", "2024-01-02"), "2": ("Bob", "2024-01-02")}
+    assert spark.table(layers.raw).count() == 3 and not plans.unmerged(spark, layers)
+    assert spark.table(layers.quarantine).count() == 1
+
+
+def test_pages_are_landed_in_files_of_bounded_size(spark, tmp_path, folder, monkeypatch):
+    from layerkit.workload import runs
+
+    tables = {
+        "region": [(1, "ASIA")], "nation": [(1, "CHINA", 1)], "customer": [(7, "c", 1, 1.0, "AUTO")],
+        "orders": [(k * runs.PAGE, 7, "O", 2000.0, datetime(1995, 1, 1), "1-URGENT") for k in range(60)],
+        "documents": [(k, f"free\ntext {k}", "en", "s", 5) for k in range(4)],
+    }
+    for name, data in tables.items():
+        spark.createDataFrame(data, runs_schema(name)).repartition(2).write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(runs, "FILE_ROWS", 10)
+    runs.land_in_files(spark, str(tmp_path), folder)
+    lines = spark.read.text(folder).withColumn("file", F.input_file_name())
+    counts = {r["file"]: r["count"] for r in lines.filter("value like '[%'").groupBy("file").count().collect()}
+    assert len(counts) > 2 and sum(counts.values()) == 60
+    assert lines.filter("value like 'free %'").count() == 4
+
+
+def runs_schema(name):
+    from layerkit.workload.inputs import SCHEMAS
+
+    return SCHEMAS[name]
