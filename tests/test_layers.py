@@ -501,3 +501,32 @@ def test_a_load_that_comes_while_a_crashed_rebuild_waits_is_merged(spark, layers
     refresh(spark, layers)
     assert names(spark, layers) == {"1": "A", "2": "A", "3": "B"}
     assert not plans.unmerged(spark, layers) and state(spark, layers)[1] == recount(spark, layers)
+
+
+def test_parts_are_read_by_their_numbers(spark, layers):
+    """A part holds newer rows than those before it, so no other column is read to tell the newest."""
+    columns = "id string, name string, country string, phone string"
+    for day, row in enumerate([("1", "a", "x", "9"), ("1", "b", "y", "8"), ("1", "c", "y", "1")], 1):
+        plans.ingest_frame(layers, spark.createDataFrame([row, (str(day + 1), "n", "z", None)], columns), at(day))
+        plans.refresh(spark, layers)
+    assert layers.clean.part_numbers(spark) == [1, 2]
+    plan = plan_of(layers.clean.changed(spark).select("id", "country"))
+    assert "phone" not in plan and "website_url" not in plan
+    assert {r["id"]: r["name"] for r in layers.clean.read(spark).collect()} == {"1": "C", "2": "N", "3": "N", "4": "N"}
+
+
+def test_rows_that_tie_are_settled_by_the_other_columns(spark, layers):
+    """Loads of one moment whose rows agree in order and groups: the larger rest wins, null is the smallest."""
+    columns = "id string, name string, phone string"
+    data = [[("1", "a", None), ("2", "b", "5"), ("3", "c", "5"), (None, "d", None)],
+            [("1", "a", "1"), ("2", "b", "4"), ("3", "c", "5"), (None, "d", "2")],
+            [("1", "a", None), ("2", "b", "6"), ("3", None, "9"), (None, "c", "3")]]
+    create(spark, layers)
+    plans.refresh(spark, layers)
+    for load in data:
+        rows_ = plans.add_lineage(layers.contract.project(spark.createDataFrame(load, columns)), "s", at(1))
+        plans.append_load(layers, rows_)
+        plans.refresh(spark, layers)
+    found = {r["id"]: (r["name"], r["phone"]) for r in layers.clean.read(spark).collect()}
+    assert found == {"1": ("A", "1"), "2": ("B", "6"), "3": ("C", "5"), None: ("D", "2")}
+    assert rows(layers.clean.read(spark)) == rows(plans.curate(spark.table(layers.raw), layers))
