@@ -1,10 +1,11 @@
 """Token ids by the tokenizers library, with the ids of recurring chunks kept per worker.
 
 A byte-level BPE always cuts at a space between two characters that aren't
-white (see `chunks`), so a chunk gives the same ids wherever it stands. Arrow
-cuts texts into chunks and tells the distinct ones; those not known yet go
-through the library in one call, and the ids that come back are told apart by
-their lengths in bytes. Texts of other tokenizers go through the library whole.
+white (see `chunks`), and in front of a line break behind such a character, so
+a chunk gives the same ids wherever it stands. Arrow cuts texts into chunks,
+tells the distinct ones and finds those that are kept. Of the others, words of
+letters go to the library's merges; the rest goes through the library in one
+call, and the ids that come back are told apart by their lengths in bytes. Texts of other tokenizers go through the library whole.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ MARKS = ".,;:!?|$%&*#@)]}\"'"
 LATIN_END = "\u0250"
 
 #: Bytes of text worked on together; a longer text is worked on alone.
-SLICE = 8 << 20
+SLICE = 10 << 20
 
 #: Texts with white space beside spaces are worked on in spans of about so many characters.
 SPAN = 1 << 20
@@ -36,6 +37,53 @@ SPAN = 1 << 20
 _ENCODERS: dict[str, TokenIds] = {}
 
 
+class Known:
+    """Distinct words and their ids in arrays, which take less room than a dict of strings."""
+
+    def __init__(self):
+        import pyarrow as pa
+
+        self.words = pa.array([], pa.string())
+        self.ids = np.empty(0, "<u4")
+        self.bounds = np.zeros(1, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def find(self, words) -> np.ndarray:
+        """The number of each word, -1 where it isn't here."""
+        import pyarrow.compute as pc
+
+        if not len(self.words):
+            return np.full(len(words), -1)
+        at = pc.index_in(words, value_set=self.words)
+        return at.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def add(self, words, ids: np.ndarray, sizes: np.ndarray) -> None:
+        import pyarrow as pa
+
+        self.words = pa.concat_arrays([self.words, words])
+        self.ids = np.concatenate([self.ids, ids])
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words of these numbers, and how many each has."""
+        sizes = self.bounds[at + 1] - self.bounds[at]
+        return _joined(self.ids, self.bounds[at], sizes), sizes
+
+    def of_length(self, most: int) -> Known:
+        """The words of at most so many bytes."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        short = np.flatnonzero(pc.binary_length(self.words).to_numpy(zero_copy_only=False) <= most)
+        if len(short) == len(self):
+            return self
+        kept = Known()
+        kept.add(self.words.take(pa.array(short)), *self.take(short))
+        return kept
+
+
 class TokenIds:
     """Ids of whole texts as little-endian unsigned 32-bit numbers, for one tokenizers JSON file.
 
@@ -58,8 +106,8 @@ class TokenIds:
         self.letters = byte_letters()
         self.sizes = _byte_sizes(spec)
         self.limit = limit
-        self.kept: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.kept = Known()
+        self.old = Known()
         self.marks: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -91,9 +139,13 @@ class TokenIds:
         if self.sizes is None:
             made = [np.frombuffer(self.whole(t) + after, "<u4") for t in texts.to_pylist()]
             return np.concatenate(made), np.array([len(ids) for ids in made], dtype=np.int64)
-        cut = pc.split_pattern(texts, " ")
+        texts = texts.cast(pa.string())
+        # A line break behind a character that isn't white is cut off too, and begins a chunk; no other chunk but
+        # those of texts with a space before a line break begins with one, and such texts are odd.
+        broken = pc.match_substring(texts, " \n").to_numpy(zero_copy_only=False)
+        cut = pc.split_pattern(pc.replace_substring_regex(texts, r"([^\s])\n", "\\1 \n"), " ")
         coded = cut.flatten().dictionary_encode()
-        index = coded.indices.to_numpy().astype(np.int64)
+        index = coded.indices.to_numpy()
         starts = cut.offsets.to_numpy()[:-1].astype(np.int64)
         starts -= starts[0]
         counts = np.diff(np.append(starts, len(index)))
@@ -105,86 +157,142 @@ class TokenIds:
         length = pc.utf8_length(bare).to_numpy(zero_copy_only=False)
         marked = np.flatnonzero(pc.utf8_length(chunks).to_numpy(zero_copy_only=False) > length)
         coded = bare.dictionary_encode()
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        word_of = coded.indices.to_numpy().astype(np.int64)
+        words, word_of = coded.dictionary, coded.indices.to_numpy()
 
-        edged = np.fromiter((not w or w != w.strip() for w in words), bool, len(words))
+        inner = pc.utf8_ltrim(words, characters="\n")
+        size = pc.binary_length(inner).to_numpy(zero_copy_only=False)
+        edged = pc.binary_length(pc.utf8_trim_whitespace(inner)).to_numpy(zero_copy_only=False) != size
+        edged |= size == 0
         heads = chunks.take(pa.array(index[starts])).to_pylist()
         odd = edged[word_of][index]
         odd[starts] = [h != h.rstrip() for h in heads]
-        odd = np.logical_or.reduceat(odd, starts)
-
-        known = [*map(self.kept.get, words)]
-        at = [k for k, ids in enumerate(known) if ids is None and not edged[k]]
-        for k, ids in zip(at, self._learnt([words[k] for k in at]), strict=True):
-            known[k] = ids
-        # Pieces: distinct words, then the marks, then each text's head (an odd text is one head), then the end.
-        pieces = [ids or b"" for ids in known]
-        marks_of = np.full(len(chunks), -1)
-        marks_of[marked] = len(pieces) + np.arange(len(marked))
-        ends_in = chunks.take(pa.array(marked)).to_pylist()
-        pieces += [self._marks(c[n:]) for c, n in zip(ends_in, length[marked].tolist(), strict=True)]
-        first_head = len(pieces)
-        for i, head in enumerate(heads):
-            pieces.append(self._spanned(texts[i].as_py()) if odd[i] else self.whole(head) if head else b"")
-        pieces.append(after)
-        kept = ~np.repeat(odd, counts)
-        kept[starts] = True
-        both = np.stack([word_of[index], marks_of[index]], axis=1)
-        both[starts, 0], both[starts, 1] = first_head + np.arange(len(heads)), -1
-        both = both[kept]
-        there = both >= 0
-        counts = np.add.reduceat(there.sum(axis=1), np.cumsum(np.where(odd, 1, counts)) - np.where(odd, 1, counts))
+        odd = np.logical_or.reduceat(odd, starts) | broken
+
+        # Pieces: distinct chunks, each a word's ids and those of its marks, then heads (an odd text is one), then the end.
+        known, first, size = self._placed(words, np.flatnonzero(~edged))
+        ends_in = chunks.take(pa.array(marked)).to_numpy(zero_copy_only=False).tolist()
+        ends_in = [c[n:] for c, n in zip(ends_in, length[marked].tolist(), strict=True)]
+        marks = list(dict.fromkeys(ends_in))
+        number = dict(zip(marks, range(len(words), len(words) + len(marks)), strict=True))
+        made = [self._marks(m) for m in marks]
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        first = np.concatenate([first, len(known) + np.cumsum(sizes) - sizes])
+        size = np.concatenate([size, sizes])
+        known = np.concatenate([known, np.frombuffer(b"".join(made), "<u4")])
+        parts = np.insert(word_of, marked + 1, [number[m] for m in ends_in])
+        pieces = _joined(known, first[parts], size[parts])
+        sizes = size[word_of]
+        sizes[marked] += size[[number[m] for m in ends_in]]
+        made = [self.whole(h) if h and not o else b"" for h, o in zip(heads, odd.tolist(), strict=True)]
+        if odd.any():
+            at = np.flatnonzero(odd)
+            for i, ids in zip(at.tolist(), self._spanned(texts.take(pa.array(at)).to_pylist()), strict=True):
+                made[i] = ids
+        made.append(after)
+        sizes = np.concatenate([sizes, np.fromiter(map(len, made), np.int64, len(made)) // 4])
+        pieces = np.concatenate([pieces, np.frombuffer(b"".join(made), "<u4")])
+
+        piece = index.copy()
+        piece[starts] = len(chunks) + np.arange(len(heads))
+        if odd.any():
+            kept = ~np.repeat(odd, counts)
+            kept[starts] = True
+            piece, counts = piece[kept], np.where(odd, 1, counts)
         ends = np.cumsum(counts)
-        piece = np.insert(both[there], ends, len(pieces) - 1)
-
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
+        piece = np.insert(piece, ends, len(sizes) - 1)
         lengths = sizes[piece]
-        shift = (np.cumsum(sizes) - sizes)[piece] - (np.cumsum(lengths) - lengths)
-        places = np.repeat(shift, lengths)
-        places += np.arange(len(places))
-        ids = np.frombuffer(b"".join(pieces), "<u4")[places]
+        ids = _joined(pieces, (np.cumsum(sizes) - sizes)[piece], lengths)
         return ids, np.add.reduceat(lengths, ends - counts + np.arange(len(ends)))
 
-    def _spanned(self, text: str) -> bytes:
-        """The ids of a text that has white space beside its spaces."""
-        out = []
-        for span in _spans(text):
+    def _spanned(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that have white space beside their spaces."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        held, size = [], 0
+        for k, text in enumerate(texts):
+            for span in _spans(text):
+                held.append((k, span))
+                size += len(span)
+                if size > SPAN:
+                    self._spans_to(out, held)
+                    held, size = [], 0
+        self._spans_to(out, held)
+        return [b"".join(parts) for parts in out]
+
+    def _spans_to(self, out: list[list[bytes]], held: list[tuple[int, str]]) -> None:
+        """The ids of spans go to the texts of these numbers; their words are looked up together."""
+        import pyarrow as pa
+
+        cut, rests = [], []
+        for _, span in held:
             head, *rest = CUT.split(span)
             tail = " " + rest.pop() if rest and rest[-1][-1].isspace() else ""
-            out.append(self.whole(head) if head else b"")
-            distinct = list(dict.fromkeys(rest))
-            found = dict(zip(distinct, self._learnt(distinct), strict=True))
-            out += map(found.__getitem__, rest)
-            out.append(self.whole(tail) if tail else b"")
-        return b"".join(out)
-
-    def _learnt(self, words: list[str]) -> list[bytes]:
-        """The ids of distinct words that aren't kept yet, each behind a space; from now on they are.
-
-        When too many are kept they become the old ones; those of the old ones
-        that come again stay.
+            cut.append((head, len(rest), tail))
+            rests += rest
+        coded = pa.array(rests, pa.string()).dictionary_encode()
+        at = coded.indices.to_numpy()
+        known, first, size = self._placed(coded.dictionary, np.arange(len(coded.dictionary)))
+        done = 0
+        for (k, _), (head, n, tail) in zip(held, cut, strict=True):
+            here = at[done : done + n]
+            out[k] += [self.whole(head) if head else b"", _joined(known, first[here], size[here]).tobytes()]
+            out[k].append(self.whole(tail) if tail else b"")
+            done += n
+
+    def _placed(self, words, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An array that holds the ids of distinct words behind a space, and where and how many; those not wanted have none.
+
+        Words that aren't kept yet are from now on. When too many are kept they
+        become the old ones; those of the old ones that come again stay.
         """
+        import pyarrow as pa
+
         kept = self.kept
-        found = [*map(self.old.get, words)]
-        fresh = [w for w, ids in zip(words, found, strict=True) if ids is None]
-        letters = [w for w in fresh if w.isalpha() and (w.isascii() or max(w) < LATIN_END)]
-        made = dict(zip(letters, self._words(letters), strict=True))
-        if len(letters) < len(fresh):
-            others = [w for w in fresh if w not in made]
-            made.update(zip(others, self._together(others), strict=True))
-        learnt = [made[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
-        kept.update(zip(words, learnt, strict=True))
-        if len(kept) > self.limit:
-            self.old = {w: ids for w, ids in kept.items() if len(w) <= 64}
-            self.kept = {}
-        return learnt
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """The ids of runs of letters behind a space, straight from the library's merges."""
+        at = kept.find(words)
+        lost = wanted[at[wanted] < 0]
+        if len(lost):
+            found = self.old.find(words.take(pa.array(lost)))
+            again = lost[found >= 0]
+            kept.add(words.take(pa.array(again)), *self.old.take(found[found >= 0]))
+            fresh = lost[found < 0]
+            order, ids, sizes = self._made(words.take(pa.array(fresh)).to_numpy(zero_copy_only=False).tolist())
+            fresh = fresh[order]
+            kept.add(words.take(pa.array(fresh)), ids, sizes)
+            lost = np.concatenate([again, fresh])
+            at[lost] = len(kept) - len(lost) + np.arange(len(lost))
+        first, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        at = at[wanted]
+        first[wanted] = kept.bounds[at]
+        size[wanted] = kept.bounds[at + 1] - kept.bounds[at]
+        if len(kept) > self.limit or kept.words.nbytes > 64 * self.limit:
+            self.old, self.kept = kept.of_length(64), Known()
+        return kept.ids, first, size
+
+    def _made(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of words that aren't known yet, one after another, how many each has, and in what order they come."""
+        bare = [w[1:] if w[0] == "\n" else w for w in words]
+        plain = np.fromiter((w.isalpha() and (w.isascii() or max(w) < LATIN_END) for w in bare), bool, len(words))
+        letters, others = np.flatnonzero(plain), np.flatnonzero(~plain)
+        ids, sizes = self._words([words[k] for k in letters.tolist()])
+        if len(others):
+            more = self._together([words[k] for k in others.tolist()])
+            ids, sizes = np.concatenate([ids, more[0]]), np.concatenate([sizes, more[1]])
+        return np.concatenate([letters, others]), ids, sizes
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of runs of letters behind a space or a line break, straight from the library's merges."""
         merged, letters, space = self.merges.tokenize, self.letters, self.letters[32]
-        shown = [space + (w if w.isascii() else w.encode().decode("latin-1").translate(letters)) for w in words]
-        return [array("I", [t.id for t in merged(w)]).tobytes() for w in shown]
+        line = [t.id for t in merged(letters[10])]
+        ids, sizes = array("I"), array("q")
+        for word in words:
+            before = len(ids)
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(letters)
+            if word[0] == "\n":
+                ids.extend(line)
+                ids.extend([t.id for t in merged(shown[1:])])
+            else:
+                ids.extend([t.id for t in merged(space + shown)])
+            sizes.append(len(ids) - before)
+        return np.frombuffer(ids, "<u4"), np.frombuffer(sizes, np.int64)
 
     def _marks(self, marks: str) -> bytes:
         if marks not in self.marks:
@@ -194,15 +302,26 @@ class TokenIds:
             self.marks[marks] = ids
         return self.marks[marks]
 
-    def _together(self, chunks: list[str]) -> list[bytes]:
-        """The ids of each chunk behind a space, from one call of the library."""
-        text = " " + " ".join(chunks)
-        made = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    def _together(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of each chunk behind a space, if no line break begins it, from one call of the library."""
+        chunks = [c if c[0] == "\n" else " " + c for c in chunks]
+        made = self.tokenizer.encode_batch_fast(["".join(chunks)], add_special_tokens=False)[0].ids
         ids = np.array(made, dtype="<u4")
-        lengths = np.fromiter((len(c.encode()) + 1 for c in chunks), np.int64, len(chunks))
+        lengths = np.fromiter((len(c.encode()) for c in chunks), np.int64, len(chunks))
         ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum(lengths)) + 1
-        data, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
-        return [data[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+        return ids, np.diff(ends, prepend=0)
+
+
+def _joined(data: np.ndarray, first: np.ndarray, sizes: np.ndarray, block: int = 1 << 16) -> np.ndarray:
+    """The stretches of `data` that begin at `first` and have these sizes, one after another."""
+    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+    out = np.empty(ends[-1], data.dtype)
+    for a in range(0, len(sizes), block):
+        b = min(a + block, len(sizes))
+        places = np.repeat(first[a:b] - ends[a:b], sizes[a:b])
+        places += np.arange(ends[a], ends[b])
+        out[ends[a] : ends[b]] = data[places]
+    return out
 
 
 def _byte_sizes(spec: dict) -> np.ndarray | None:

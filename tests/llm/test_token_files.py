@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from layerkit.llm.queries import QUERIES
 from layerkit.llm.token_files import read_numbers, read_tokens, with_digests, write_tokens
-from layerkit.llm.token_ids import TokenIds, token_ids
+from layerkit.llm.token_ids import Known, TokenIds, token_ids
 from tests.conftest import plan_of
 
 FILE = "byte_bpe_50k.json"
@@ -63,6 +63,38 @@ def test_few_chunks_kept_give_the_same_ids():
     assert len(small.kept) + len(small.old) <= 16
 
 
+@pytest.mark.parametrize("line", ["\n", "\n\n", " \n", "\n ", "\r\n", "\n\t", "\x0b\n", "\xa0\n", "\n\xa0", "\u3000\n", "\x85\n", "\x1c\n", "\n<|endoftext|>", "<|endoftext|>\n"])
+def test_line_breaks(line):
+    words = ["one", "Two.", "três,", "日本", "4!", "don't", ")", "x" * 100, "Ünd"]
+    texts = [f"a {v}{line}{w} {w}{line}{v}{end}" for v in words for w in words for end in ("", line)]
+    texts += [line + t for t in texts] + ["\n".join(words), line]
+    assert ids_of(texts) == [by_library(t) for t in texts]
+
+
+def test_words_at_line_breaks_are_kept_by_themselves():
+    left, right = [f"left{'ab'[k % 2] * k}" for k in range(1, 21)], [f"Right{'ab'[k % 2] * k}" for k in range(1, 21)]
+    text = "so " + " ".join(f"{v}.\n{w}" for v in left for w in right)
+    encoder = TokenIds(FILE)
+    assert ids_of([text], encoder) == [by_library(text)]
+    assert len(encoder.kept) == 41
+
+
+def test_texts_with_odd_white_space_are_looked_up_together(monkeypatch):
+    calls, find = [], Known.find
+    monkeypatch.setattr(Known, "find", lambda self, words: calls.append(len(words)) or find(self, words))
+    texts = [f"some words{i}  and  more of{i % 9} them" for i in range(500)]
+    assert ids_of(texts, TokenIds(FILE)) == [by_library(t) for t in texts]
+    assert len(calls) <= 4
+
+
+def test_long_words_and_many_bytes_do_not_stay():
+    encoder = TokenIds(FILE, limit=100)
+    texts = [f"a {'日本' * 300}{i} b" for i in range(60)]
+    for text in texts:
+        assert ids_of([text], encoder) == [by_library(text)]
+    assert encoder.kept.words.nbytes + encoder.old.words.nbytes < 20_000
+
+
 def test_other_tokenizers_encode_whole_texts():
     texts = ["Some words, and  more.", "Ein Wort\n"]
     assert ids_of(texts, TokenIds("word_bpe_49k.json")) == [by_library(t, "word_bpe_49k.json") for t in texts]
